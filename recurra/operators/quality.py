@@ -19,3 +19,184 @@ def q13_nulls(s: DataFrame) -> DataFrame:
         _flag_sum((F.col("status") == "Churned") & F.col("end_date").isNull())
         .alias("anomalous_churn_dates"),
     )
+
+
+# ---- notebook / script audits -------------------------------------------------------
+
+def aud_null_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, null_count) for every column of every given table.
+
+    One aggregation pass per table (a row of conditional sums), unpivoted with
+    ``stack`` -- no per-column jobs.
+    """
+    out = None
+    for name, df in tables.items():
+        sums = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in df.columns)
+        long = sums.selectExpr(
+            f"stack({len(df.columns)}, {pairs}) as (column_name, null_count)"
+        ).select(F.lit(name).alias("table_name"), "column_name",
+                 F.coalesce(F.col("null_count"), F.lit(0)).cast("long").alias("null_count"))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+def aud_dup_key(df: DataFrame, key: str = "payment_id") -> DataFrame:
+    """Key values that occur more than once, with their counts."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences"))
+            .where(F.col("occurrences") > 1))
+
+
+def aud_dup_count(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(table, key, duplicate_rows): rows beyond the first per key value."""
+    out = None
+    for name, (df, key) in tables.items():
+        one = df.agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("duplicate_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(key).alias("key_column"),
+            F.col("duplicate_rows").cast("long"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def aud_missing_dates(p: DataFrame, col: str = "payment_date") -> DataFrame:
+    return p.agg(_flag_sum(F.col(col).isNull()).alias("missing_dates"))
+
+
+def aud_start_before_signup(s: DataFrame, u: DataFrame) -> DataFrame:
+    """Subscriptions (joined to their user) that start before the user's signup."""
+    per_user_day = s.groupBy("user_id", "start_date").agg(F.count(F.lit(1)).alias("n"))
+    joined = per_user_day.join(u.select("user_id", "signup_date"), "user_id")
+    return joined.agg(
+        F.coalesce(F.sum(F.when(F.col("start_date") < F.col("signup_date"), F.col("n"))),
+                   F.lit(0)).cast("long").alias("start_before_signup"))
+
+
+def aud_end_before_start(s: DataFrame) -> DataFrame:
+    churned = s.where(F.col("status") == "Churned")
+    return churned.agg(_flag_sum(F.col("end_date") < F.col("start_date"))
+                       .alias("end_before_start"))
+
+
+def aud_payment_before_start(p: DataFrame, s: DataFrame) -> DataFrame:
+    """Payments dated before their subscription's start (payments pre-aggregated by
+    subscription and day, so a hot subscription adds at most one row per day)."""
+    per_day = p.groupBy("subscription_id", F.to_date("payment_date").alias("pay_day")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    joined = per_day.join(s.select("subscription_id", "start_date"), "subscription_id")
+    return joined.agg(
+        F.coalesce(F.sum(F.when(F.col("pay_day") < F.col("start_date"), F.col("n"))),
+                   F.lit(0)).cast("long").alias("payment_before_start"))
+
+
+# ---- rule-driven constraint audit ---------------------------------------------------
+
+def constraint_rules(spec, *, domains: dict | None = None, ranges: dict | None = None):
+    """(rule, column, violation predicate) for a TableSpec; ``domains``/``ranges``
+    override the declared IN-lists / bounds by column (pass None to drop a rule)."""
+    from recurra.sources.schema import Range
+    rules = []
+    for c in spec.not_null:
+        rules.append(("not_null", c, F.col(c).isNull()))
+    dom = dict(spec.domains)
+    dom.update(domains or {})
+    for c, values in dom.items():
+        if values is not None:
+            rules.append(("domain", c, ~F.col(c).isin(list(values))))
+    rng = {r.column: r for r in spec.ranges}
+    for c, r in (ranges or {}).items():
+        rng[c] = r if (r is None or isinstance(r, Range)) else Range(c, r[0], r[1])
+    for c, r in rng.items():
+        if r is None:
+            continue
+        bound = F.lit(r.bound).cast(spec.schema[c].dataType)
+        ok = F.col(c) >= bound if r.op == ">=" else F.col(c) > bound
+        rules.append((f"range{r.op}{r.bound}", c, ~ok))
+    for c, n in spec.lengths.items():
+        rules.append((f"length<={n}", c, F.length(c) > n))
+    if spec.end_after_start:
+        a, b = spec.end_after_start
+        rules.append(("end_after_start", b, F.col(b) < F.col(a)))
+    return rules
+
+
+def audit(df: DataFrame, spec, *, domains: dict | None = None,
+          ranges: dict | None = None) -> DataFrame:
+    """All row rules of a table in ONE aggregation pass (a conditional sum per rule),
+    plus key uniqueness; returns (table_name, rule, column_name, violations).
+
+    SQL CHECK semantics: a NULL predicate is not a violation.
+    """
+    rules = constraint_rules(spec, domains=domains, ranges=ranges)
+    aggs = [F.sum(F.when(pred, 1).otherwise(0)).cast("long").alias(f"r{i}")
+            for i, (_, _, pred) in enumerate(rules)]
+    keys = list(spec.primary_key) + list(spec.unique)
+    for j, k in enumerate(keys):
+        aggs.append((F.count(F.lit(1)) - F.countDistinct(k)).cast("long").alias(f"u{j}"))
+    row = df.agg(*aggs)
+    labels = [(r, c, f"r{i}") for i, (r, c, _) in enumerate(rules)]
+    labels += [("unique", k, f"u{j}") for j, k in enumerate(keys)]
+    pairs = ", ".join(f"'{r}', '{c}', `{a}`" for r, c, a in labels)
+    return row.selectExpr(f"stack({len(labels)}, {pairs}) as (rule, column_name, violations)") \
+        .select(F.lit(spec.name).alias("table_name"), "rule", "column_name",
+                F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations"))
+
+
+def audit_model(tables: dict[str, DataFrame], **overrides) -> DataFrame:
+    """``audit`` over every canonical table; ``overrides`` maps table -> kwargs."""
+    from recurra.sources.schema import TABLES
+    out = None
+    for name, df in tables.items():
+        one = audit(df, TABLES[name], **overrides.get(name, {}))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def aud_fk(tables: dict[str, DataFrame]) -> DataFrame:
+    """Orphan counts for every declared foreign key (child, column, parent, orphans).
+
+    The child is first reduced to distinct key values with counts (map-side
+    combined, so hot keys collapse), then anti-joined to the parent keys.
+    """
+    from recurra.sources.schema import TABLES
+    out = None
+    for child_name, spec in TABLES.items():
+        if child_name not in tables:
+            continue
+        for fk in spec.foreign_keys:
+            if fk.parent not in tables:
+                continue
+            child = (tables[child_name].where(F.col(fk.column).isNotNull())
+                     .groupBy(F.col(fk.column).alias("k")).agg(F.count(F.lit(1)).alias("n")))
+            parent = tables[fk.parent].select(F.col(fk.parent_column).alias("k"))
+            orphans = child.join(parent, "k", "left_anti").agg(
+                F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphans"))
+            one = orphans.select(F.lit(child_name).alias("child_table"),
+                                 F.lit(fk.column).alias("column_name"),
+                                 F.lit(fk.parent).alias("parent_table"), "orphans")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+# ---- validation gates (empty / duplicate full rows / overall status) -----------------
+
+def val_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows, is_empty, duplicate_full_rows): duplicate rows are counted by
+    grouping on all columns, which combines map-side even for huge copy groups."""
+    out = None
+    for name, df in tables.items():
+        groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+        one = groups.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("row_count"),
+                         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long")
+                         .alias("duplicate_full_rows")) \
+            .select(F.lit(name).alias("table_name"), "row_count",
+                    (F.col("row_count") == 0).alias("is_empty"), "duplicate_full_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def val_status(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: number of failing tables and the overall pass flag."""
+    v = val_tables(tables)
+    failing = (F.col("is_empty") | (F.col("duplicate_full_rows") > 0)).cast("int")
+    return v.agg(F.sum(failing).cast("long").alias("failures")) \
+        .select("failures", (F.col("failures") == 0).alias("passed"))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from recurra.session import ensure_checkpoint_dir
+
 
 def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str = "prev",
                num_partitions: int | None = None, skew_safe: bool = True) -> DataFrame:
@@ -23,6 +25,10 @@ def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str =
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order]) \
         .withColumn("_pid", F.spark_partition_id())
+    # read twice below (runs and run tails): freeze one partitioning in the
+    # shared checkpoint dir so both see the same range bounds
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     run = W.partitionBy("_pid", key).orderBy(*order)
     local = (ranged.withColumn(out, F.lag(value).over(run))
              .withColumn("_first", F.row_number().over(run) == 1))

@@ -81,14 +81,25 @@ FROM events WHERE event_type = 'error'"""
   CAST(p_retailprice AS DECIMAL(10,2)) AS spend,
   CAST(p_size * 6 AS INTEGER) AS trial_signups, CAST(p_size AS INTEGER) AS paid_conversions
 FROM part"""
+    issue = ("CASE WHEN subscription_id % 40 = 0 THEN 'Missing amount' "
+             "WHEN subscription_id % 41 = 0 THEN 'outlier' END")
+    dirty_p = f"""SELECT *, 0 AS ingest_seq, {issue} AS quality_issue FROM payments
+UNION ALL
+SELECT payment_id, subscription_id, user_id, plan_id, payment_date,
+  CAST(amount + 1 AS DECIMAL(10,2)) AS amount, payment_status, 1 AS ingest_seq, {issue} AS quality_issue
+FROM payments WHERE payment_id % 100 = 1"""
+    dirty_s = """SELECT *, CASE WHEN subscription_id % 40 = 0 THEN 'Missing price' END AS quality_issue
+FROM subscriptions"""
     return {"plans": plans, "users": users, "subscriptions": subs, "payments": pays,
             "churn_events": churn, "product_usage": usage, "support_tickets": tickets,
-            "marketing_campaigns": camps}
+            "marketing_campaigns": camps, "dirty_payments": dirty_p,
+            "dirty_subscriptions": dirty_s}
 
 
 _ORDER = ("plans", "users", "subscriptions", "payments", "churn_events", "product_usage",
-          "support_tickets", "marketing_campaigns")
-_NEEDS = {"churn_events": ("subscriptions",)}
+          "support_tickets", "marketing_campaigns", "dirty_payments", "dirty_subscriptions")
+_NEEDS = {"churn_events": ("subscriptions",), "dirty_payments": ("payments",),
+          "dirty_subscriptions": ("subscriptions",)}
 
 
 def on_model(body: str, tables: tuple[str, ...] | None = None, as_of: str = TEST_AS_OF) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from recurra.operators import billing, churn, cohort, economics, quality, revenue, support
-from recurra.session import apply_sql_conf
+from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, TestModel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ A = TEST_AS_OF
 
 def model(spark: SparkSession, sf_dir: str) -> TestModel:
     apply_sql_conf(spark)
+    ensure_checkpoint_dir(spark)
     return TestModel(spark, sf_dir)
 
 
@@ -61,7 +62,174 @@ def business_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import DecimalType  # noqa: E402
+
+from recurra.operators import (  # noqa: E402
+    cleaning,
+    features,
+    kpis,
+    measures,
+    ml,
+    profile,
+    report,
+)
+
+
+def as_output(df: DataFrame) -> DataFrame:
+    """Result boundary: exact decimals leave as doubles."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _o(fn: Callable[[TestModel], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return as_output(fn(model(spark, sf_dir)))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+RULE_KEYS = {"aud_not_null": "not_null", "aud_unique": "unique", "aud_domain": "domain",
+             "aud_range": "range", "aud_length": "length"}
+
+
+def _rules(m: TestModel, prefix: str) -> DataFrame:
+    a = quality.audit_model(m.tables())
+    keep = F.col("rule").startswith(prefix)
+    if prefix == "range":
+        keep = keep | (F.col("rule") == "end_after_start")
+    return a.where(keep)
+
+
+def _split(m: TestModel) -> DataFrame:
+    return ml.n5_split(features.n5_model_matrix(m.subscriptions, m.product_usage,
+                                                m.support_tickets))
+
+
+def _fit(m: TestModel):
+    data = _split(m)
+    train = data.where(F.col("split") == "train")
+    test = data.where(F.col("split") == "test")
+    return ml.n5_random_forest(train), test
+
+
+def _pred(m: TestModel) -> DataFrame:
+    model_, test = _fit(m)
+    return ml.predictions(model_, test)
+
+
+def _matrix(m: TestModel) -> DataFrame:
+    return features.n3_feature_matrix(m.subscriptions, m.users, m.product_usage,
+                                      m.support_tickets, m.payments, baseline=A)
+
+
+def quality_queries() -> dict[str, Query]:
+    q = {
+        "cln_generic": _o(lambda m: cleaning.cln_generic(m.dirty_payments)),
+        "cln_subs": _o(lambda m: cleaning.cln_subs(m.dirty_subscriptions)),
+        "val_empty": _o(lambda m: quality.val_tables(m.tables())
+                        .select("table_name", "row_count", "is_empty")),
+        "val_dup_rows": _o(lambda m: quality.val_tables(m.tables())
+                           .select("table_name", "duplicate_full_rows")),
+        "val_status": _o(lambda m: quality.val_status(m.tables())),
+        "aud_null_profile": _o(lambda m: quality.aud_null_profile(
+            {"subscriptions": m.subscriptions, "payments": m.payments, "users": m.users})),
+        "aud_dup_key": _o(lambda m: quality.aud_dup_key(m.payments, "payment_id")),
+        "aud_dup_count": _o(lambda m: quality.aud_dup_count(
+            {"subscriptions": (m.subscriptions, "subscription_id"),
+             "users": (m.users, "user_id"), "payments": (m.payments, "payment_id")})),
+        "aud_missing_dates": _o(lambda m: quality.aud_missing_dates(m.payments)),
+        "aud_start_before_signup": _o(lambda m: quality.aud_start_before_signup(
+            m.subscriptions, m.users)),
+        "aud_end_before_start": _o(lambda m: quality.aud_end_before_start(m.subscriptions)),
+        "aud_payment_before_start": _o(lambda m: quality.aud_payment_before_start(
+            m.payments, m.subscriptions)),
+        "aud_fk": _o(lambda m: quality.aud_fk(m.tables())),
+        "cat_rowcounts": _o(lambda m: profile.cat_rowcounts(m.tables())),
+        "prof_shape": _o(lambda m: profile.prof_shape(m.tables())),
+    }
+    for key, prefix in RULE_KEYS.items():
+        q[key] = _o(lambda m, prefix=prefix: _rules(m, prefix))
+    return q
+
+
+def report_queries() -> dict[str, Query]:
+    return {
+        "r1_scorecard": _o(lambda m: report.r1_scorecard(m.subscriptions)),
+        "r2_sla_overall": _o(lambda m: report.r2_sla_overall(m.support_tickets)),
+        "r3_plan_table": _o(lambda m: report.r3_plan_table(m.subscriptions, m.plans)),
+        "r4_last6": _o(lambda m: report.r4_last_months(m.payments)),
+        "r5_format_plans": _o(lambda m: report.r5_format_plans(
+            report.r3_plan_table(m.subscriptions, m.plans))),
+        "r5_format_months": _o(lambda m: report.r5_format_months(
+            report.r4_last_months(m.payments))),
+    }
+
+
+def measure_queries() -> dict[str, Query]:
+    return {
+        "d01_mrr": _o(lambda m: measures.d01_mrr(m.subscriptions)),
+        "d02_arr": _o(lambda m: measures.d02_arr(m.subscriptions)),
+        "d03_arpu": _o(lambda m: measures.d03_arpu(m.subscriptions)),
+        "d04_mrr_growth": _o(lambda m: measures.d04_mrr_growth(m.subscriptions)),
+        "d05_churn_rate": _o(lambda m: measures.d05_churn_rate(m.subscriptions)),
+        "d06_nrr_12m": _o(lambda m: measures.d06_nrr_12m(m.payments, m.churn_events)),
+        "d07_grr_12m": _o(lambda m: measures.d07_grr_12m(m.payments, m.churn_events)),
+        "d08_ltv": _o(lambda m: measures.d08_ltv(m.subscriptions)),
+        "d09_trial_conv": _o(lambda m: measures.d09_trial_conv(m.marketing_campaigns)),
+        "d10_retention": _o(lambda m: measures.d10_retention(m.subscriptions)),
+        "d11_expansion": _o(lambda m: measures.d11_expansion(m.payments)),
+    }
+
+
+def kpi_queries() -> dict[str, Query]:
+    return {
+        "kpi_monthly_snapshot": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions)),
+        "kpi_monthly_paid": _o(lambda m: kpis.kpi_monthly_paid(m.payments)),
+        "kpi_plan": _o(lambda m: kpis.kpi_plan(m.payments, m.plans)),
+        "kpi_usage": _o(lambda m: kpis.kpi_usage(m.product_usage)),
+        "gen_billing_schedule": _o(lambda m: kpis.gen_billing_schedule(m.subscriptions, as_of=A)),
+        "gen_months_active": _o(lambda m: kpis.gen_months_active(m.subscriptions, as_of=A)),
+    }
+
+
+def notebook_queries() -> dict[str, Query]:
+    return {
+        "n1_value_counts": _o(lambda m: profile.n1_value_counts(m.users)),
+        "n1_plan_profile": _o(lambda m: profile.n1_plan_profile(m.subscriptions, m.plans)),
+        "n1_kpi_trend": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions)
+                           .orderBy("month").limit(5)),
+        "n3_tenure": _o(lambda m: features.n3_tenure(m.subscriptions, baseline=A)),
+        "n3_usage_feat": _o(lambda m: features.n3_usage_feat(m.product_usage)),
+        "n3_ticket_feat": _o(lambda m: features.n3_ticket_feat(m.support_tickets)),
+        "n3_payment_feat": _o(lambda m: features.n3_payment_feat(m.payments)),
+        "n3_feature_matrix": _o(_matrix),
+        "n3_describe": _o(lambda m: profile.n3_describe(
+            _matrix(m), features.FEATURE_MATRIX_NUMERIC)),
+        "n4_tier_stats": _o(lambda m: profile.n4_tier_stats(m.subscriptions, m.plans)),
+        "n4_ticket_xtab": _o(lambda m: profile.n4_ticket_xtab(m.support_tickets)),
+        "n4_channel_churn": _o(lambda m: churn.n4_channel_churn(m.subscriptions, m.users)),
+        "n5_cohort_matrix": _o(lambda m: cohort.n5_cohort_matrix(m.payments, m.users)),
+        "n5_cohort_head": _o(lambda m: cohort.n5_cohort_head(m.payments, m.users)),
+        "n5_model_matrix": _o(lambda m: features.n5_model_matrix(
+            m.subscriptions, m.product_usage, m.support_tickets)),
+        "n5_split": _o(_split),
+        "n5_random_forest": _o(_pred),
+        "n5_class_report": _o(lambda m: ml.n5_class_report(_pred(m))),
+        "n5_importances": _o(lambda m: ml.n5_importances(_fit(m)[0])),
+        "n5_auc": _o(lambda m: ml.n5_auc(_pred(m))),
+    }
+
+
+
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(business_queries())
+    q.update(quality_queries())
+    q.update(report_queries())
+    q.update(measure_queries())
+    q.update(kpi_queries())
+    q.update(notebook_queries())
     return q

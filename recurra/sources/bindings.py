@@ -194,6 +194,25 @@ class TestModel:
             F.col("p_size").cast("int").alias("paid_conversions"),
         )
 
+    # ---- dirty fixtures for the cleaners (derived from the bound tables) -------------
+    @cached_property
+    def dirty_payments(self) -> DataFrame:
+        """Payments with an ingest order and quality issues, plus a later second copy
+        (amount + 1) of every payment whose id ends in 01, so keep-first matters."""
+        p = self.payments
+        sub = F.col("subscription_id")
+        issue = F.when(sub % 40 == 0, "Missing amount").when(sub % 41 == 0, "outlier")
+        first = p.select("*", F.lit(0).alias("ingest_seq"), issue.alias("quality_issue"))
+        again = (p.where(F.col("payment_id") % 100 == 1)
+                 .withColumn("amount", (F.col("amount") + 1).cast(MONEY))
+                 .select("*", F.lit(1).alias("ingest_seq"), issue.alias("quality_issue")))
+        return first.unionByName(again)
+
+    @cached_property
+    def dirty_subscriptions(self) -> DataFrame:
+        issue = F.when(F.col("subscription_id") % 40 == 0, "Missing price")
+        return self.subscriptions.select("*", issue.alias("quality_issue"))
+
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in (
             "plans", "users", "subscriptions", "payments", "churn_events",
