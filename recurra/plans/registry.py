@@ -68,6 +68,7 @@ from pyspark.sql.types import DecimalType  # noqa: E402
 
 from recurra.operators import (  # noqa: E402
     cleaning,
+    extensions,
     features,
     kpis,
     measures,
@@ -224,6 +225,19 @@ def notebook_queries() -> dict[str, Query]:
 
 
 
+def extension_queries() -> dict[str, Query]:
+    return {
+        "x_ticket_alert": _o(lambda m: extensions.x_ticket_alert(
+            m.support_tickets, m.subscriptions, m.plans)),
+        # the bound payments recur every 30 days, so the retry window is one cycle
+        "x_retry_recovery": _o(lambda m: extensions.x_retry_recovery(m.payments, days=30)),
+        "x_engagement_target": _o(lambda m: extensions.x_engagement_target(
+            m.subscriptions, m.plans, m.product_usage, window_start=TEST_WINDOW_START)),
+        "x_trend_forecast": _o(lambda m: extensions.x_trend_forecast(
+            kpis.kpi_monthly_paid(m.payments))),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(business_queries())
@@ -232,4 +246,5 @@ def all_queries() -> dict[str, Query]:
     q.update(measure_queries())
     q.update(kpi_queries())
     q.update(notebook_queries())
+    q.update(extension_queries())
     return q
