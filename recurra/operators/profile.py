@@ -74,54 +74,64 @@ def cat_rowcounts(tables: dict[str, DataFrame]) -> DataFrame:
     return prof_shape(tables).select("table_name", "row_count").orderBy("table_name")
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str],
-                    probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column.
-
-    Values of all columns are unpivoted and range-partitioned by (column, value),
-    numbered globally, and the 2 neighbours of each target position are picked by
-    an equi-join against a tiny target table (columns x probs x 2 rows). Nothing is
-    gathered per column in one task, unlike an exact ``percentile`` aggregate.
-    """
+def _ranked_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Unpivot numeric columns to (column_name, v) and number the non-null values
+    in (column, value) order with the range-partitioned numbering (checkpointed)."""
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("kv")).select("kv.column_name", "kv.v").where(F.col("v").isNotNull()))
-    ranked = global_row_number(long, [F.col("column_name"), F.col("v")], out="_rank") \
+    return global_row_number(long, [F.col("column_name"), F.col("v")], out="_rank") \
         .select("column_name", "v", "_rank")
-    counts = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
-    first = counts.select("column_name", "n", (F.coalesce(F.sum("n").over(
-        W.orderBy("column_name").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + 1)
-        .alias("first"))
+
+
+def _quantiles_from(ranked: DataFrame, stats: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Linear interpolation between the two ranks around (n - 1) * q of each column;
+    the targets table has columns x probs rows, joined on (column, rank)."""
     qs = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q")
-    targets = first.select("column_name", "n", "first", qs) \
-        .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("q")) \
-        .withColumn("lo", F.floor("pos")).withColumn("hi", F.ceil("pos")) \
-        .withColumn("frac", F.col("pos") - F.col("lo"))
+    targets = (stats.select("column_name", "n", "first", qs)
+               .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("q"))
+               .withColumn("lo_rank", F.col("first") + F.floor("pos"))
+               .withColumn("hi_rank", F.col("first") + F.ceil("pos"))
+               .withColumn("frac", F.col("pos") - F.floor("pos")))
     lo = ranked.select("column_name", F.col("_rank").alias("lo_rank"), F.col("v").alias("v_lo"))
     hi = ranked.select("column_name", F.col("_rank").alias("hi_rank"), F.col("v").alias("v_hi"))
-    picked = (targets.withColumn("lo_rank", F.col("first") + F.col("lo"))
-              .withColumn("hi_rank", F.col("first") + F.col("hi"))
-              .join(lo, ["column_name", "lo_rank"]).join(hi, ["column_name", "hi_rank"]))
+    picked = targets.join(lo, ["column_name", "lo_rank"]).join(hi, ["column_name", "hi_rank"])
     return picked.select("column_name", "q",
                          (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
                          .alias("value"))
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str],
+                    probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column.
+
+    Values of all columns are unpivoted and range-partitioned by (column, value),
+    numbered globally, and the 2 neighbours of each target position are picked by
+    an equi-join against a tiny target table (columns x probs rows). Nothing is
+    gathered per column in one task, unlike an exact ``percentile`` aggregate.
+    """
+    ranked = _ranked_long(df, cols)
+    stats = ranked.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"),
+                                              F.min("_rank").alias("first"))
+    return _quantiles_from(ranked, stats, probs)
+
+
 def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """pandas-style describe(): count, mean, std (sample), min, 25/50/75 %, max per
-    column (one row per column; values rounded to ``digits`` decimals)."""
-    moments = None
-    for c in cols:
-        x = F.col(c).cast("double")
-        one = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                     F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                     F.max(x).alias("max")).select(F.lit(c).alias("column_name"), "*")
-        moments = one if moments is None else moments.unionByName(one)
-    q = exact_quantiles(df, cols).groupBy("column_name").pivot("q", [0.25, 0.5, 0.75]) \
-        .agg(F.first("value"))
-    q = q.select("column_name", F.col("`0.25`").alias("p25"), F.col("`0.5`").alias("p50"),
-                 F.col("`0.75`").alias("p75"))
-    out = moments.join(q, "column_name", "left")
-    return out.select("column_name", "count",
+    column (one row per column; values rounded to ``digits`` decimals).
+
+    The input is unpivoted and numbered once (a checkpointed frame); moments and
+    quantiles are both read from it, so an expensive input is computed only once.
+    """
+    ranked = _ranked_long(df, cols)
+    stats = ranked.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_rank").alias("first"),
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = _quantiles_from(ranked, stats, (0.25, 0.5, 0.75)).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
+          for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    out = stats.join(q, "column_name", "left")
+    return out.select("column_name", F.col("n").alias("count"),
                       *[pg_round(c, digits).alias(c)
                         for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])

@@ -119,17 +119,28 @@ def constraint_rules(spec, *, domains: dict | None = None, ranges: dict | None =
     return rules
 
 
+def _kind_of(rule: str) -> str:
+    return "range" if rule == "end_after_start" else rule.split("<")[0].split(">")[0]
+
+
 def audit(df: DataFrame, spec, *, domains: dict | None = None,
-          ranges: dict | None = None) -> DataFrame:
+          ranges: dict | None = None, kinds: tuple[str, ...] | None = None) -> DataFrame | None:
     """All row rules of a table in ONE aggregation pass (a conditional sum per rule),
     plus key uniqueness; returns (table_name, rule, column_name, violations).
 
-    SQL CHECK semantics: a NULL predicate is not a violation.
+    SQL CHECK semantics: a NULL predicate is not a violation. ``kinds`` limits the
+    rules evaluated (not_null, unique, domain, range, length); None if none apply.
     """
     rules = constraint_rules(spec, domains=domains, ranges=ranges)
+    if kinds is not None:
+        rules = [r for r in rules if any(_kind_of(r[0]).startswith(k) for k in kinds)]
     aggs = [F.sum(F.when(pred, 1).otherwise(0)).cast("long").alias(f"r{i}")
             for i, (_, _, pred) in enumerate(rules)]
     keys = list(spec.primary_key) + list(spec.unique)
+    if kinds is not None and "unique" not in kinds:
+        keys = []
+    if not rules and not keys:
+        return None
     for j, k in enumerate(keys):
         aggs.append((F.count(F.lit(1)) - F.countDistinct(k)).cast("long").alias(f"u{j}"))
     row = df.agg(*aggs)
@@ -141,12 +152,15 @@ def audit(df: DataFrame, spec, *, domains: dict | None = None,
                 F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations"))
 
 
-def audit_model(tables: dict[str, DataFrame], **overrides) -> DataFrame:
+def audit_model(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = None,
+                **overrides) -> DataFrame:
     """``audit`` over every canonical table; ``overrides`` maps table -> kwargs."""
     from recurra.sources.schema import TABLES
     out = None
     for name, df in tables.items():
-        one = audit(df, TABLES[name], **overrides.get(name, {}))
+        one = audit(df, TABLES[name], kinds=kinds, **overrides.get(name, {}))
+        if one is None:
+            continue
         out = one if out is None else out.unionByName(one)
     return out
 

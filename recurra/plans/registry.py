@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recurra.operators import billing, churn, cohort, economics, quality, revenue, support
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
-from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, TestModel
+from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
 
 Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
 
 
-def model(spark: SparkSession, sf_dir: str) -> TestModel:
+def model(spark: SparkSession, sf_dir: str) -> BoundModel:
     apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
-    return TestModel(spark, sf_dir)
+    return BoundModel(spark, sf_dir)
 
 
-def _q(fn: Callable[[TestModel], DataFrame]) -> Query:
+def _q(fn: Callable[[BoundModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(model(spark, sf_dir))
     run.__doc__ = fn.__doc__
@@ -85,7 +85,7 @@ def as_output(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def _o(fn: Callable[[TestModel], DataFrame]) -> Query:
+def _o(fn: Callable[[BoundModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return as_output(fn(model(spark, sf_dir)))
     run.__doc__ = fn.__doc__
@@ -96,32 +96,28 @@ RULE_KEYS = {"aud_not_null": "not_null", "aud_unique": "unique", "aud_domain": "
              "aud_range": "range", "aud_length": "length"}
 
 
-def _rules(m: TestModel, prefix: str) -> DataFrame:
-    a = quality.audit_model(m.tables())
-    keep = F.col("rule").startswith(prefix)
-    if prefix == "range":
-        keep = keep | (F.col("rule") == "end_after_start")
-    return a.where(keep)
+def _rules(m: BoundModel, kind: str) -> DataFrame:
+    return quality.audit_model(m.tables(), kinds=(kind,))
 
 
-def _split(m: TestModel) -> DataFrame:
+def _split(m: BoundModel) -> DataFrame:
     return ml.n5_split(features.n5_model_matrix(m.subscriptions, m.product_usage,
                                                 m.support_tickets))
 
 
-def _fit(m: TestModel):
+def _fit(m: BoundModel):
     data = _split(m)
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
     return ml.n5_random_forest(train), test
 
 
-def _pred(m: TestModel) -> DataFrame:
+def _pred(m: BoundModel) -> DataFrame:
     model_, test = _fit(m)
     return ml.predictions(model_, test)
 
 
-def _matrix(m: TestModel) -> DataFrame:
+def _matrix(m: BoundModel) -> DataFrame:
     return features.n3_feature_matrix(m.subscriptions, m.users, m.product_usage,
                                       m.support_tickets, m.payments, baseline=A)
 

@@ -49,7 +49,7 @@ def _plan_id(priority: Column) -> Column:
     return F.substring(priority, 1, 1).cast("int")
 
 
-class TestModel:
+class BoundModel:
     """The eight canonical tables derived lazily from one test-data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = TEST_AS_OF):

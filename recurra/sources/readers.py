@@ -40,14 +40,25 @@ def src_csv(spark: SparkSession, path: str, schema: StructType | TableSpec | Non
 
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> list[str]:
-    """File paths of a directory on any Hadoop-compatible store, sorted.
+    """Table paths of a layer directory on any Hadoop-compatible store, sorted.
 
-    Listing goes through Spark's file index (only the path column is read), so it
-    works for HDFS/S3 directories, not just the driver's disk.
+    A table is either a file matching ``glob`` directly in the directory, or a
+    directory of part files named like one (as Spark writes CSV). Listing goes
+    through Spark's file index (only the path column is read), so it works for
+    HDFS/S3 layers, not just the driver's disk.
     """
+    root = directory.rstrip("/")
+    suffix = glob.lstrip("*")
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .load(directory).select("path"))
-    return sorted(r.path for r in listing.collect())
+               .option("recursiveFileLookup", True).load(root).select("path"))
+    tables: set[str] = set()
+    for r in listing.collect():
+        path = r.path
+        rel = path.split(root.split(":", 1)[-1] + "/", 1)[-1]
+        top = rel.split("/", 1)[0]
+        if "/" not in rel or top.endswith(suffix):
+            tables.add(path[: len(path) - len(rel)] + top)
+    return sorted(tables)
 
 
 def table_name_of(path: str) -> str:
@@ -56,7 +67,7 @@ def table_name_of(path: str) -> str:
 
 
 def src_dir(spark: SparkSession, directory: str, glob: str = "*.csv") -> dict[str, DataFrame]:
-    """Every CSV of a layer directory as a DataFrame, keyed by file stem (sorted).
+    """Every CSV table of a layer directory, keyed by file stem (sorted).
     Known canonical tables get their schema; others are inferred."""
     out: dict[str, DataFrame] = {}
     for path in list_files(spark, directory, glob):

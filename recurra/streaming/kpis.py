@@ -12,20 +12,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recurra.operators.extensions import segment_users
+from recurra.session import apply_sql_conf
 from recurra.sources.schema import PAYMENTS, SUPPORT_TICKETS
 
 
 def payments_stream(spark: SparkSession, source_dir: str, max_files: int = 64) -> DataFrame:
+    apply_sql_conf(spark)
     return (spark.readStream.schema(PAYMENTS.schema).option("maxFilesPerTrigger", max_files)
             .parquet(source_dir))
 
 
 def daily_paid(stream: DataFrame, *, lateness: str = "3 days") -> DataFrame:
     """Paid inflow per day with an event-time watermark: a day is emitted once the
-    watermark passes its end, and late rows within ``lateness`` still count."""
+    watermark passes its end, and late rows within ``lateness`` still count.
+
+    Watermarks need a ``timestamp`` event time; the wall-clock ``timestamp_ntz`` is
+    read as UTC (the session time zone the library pins), so 1-day windows start at
+    the same midnights as the batch day buckets.
+    """
     return (stream.where(F.col("payment_status") == "Paid")
-            .withWatermark("payment_date", lateness)
-            .groupBy(F.window("payment_date", "1 day").alias("w"))
+            .withColumn("event_ts", F.col("payment_date").cast("timestamp"))
+            .withWatermark("event_ts", lateness)
+            .groupBy(F.window("event_ts", "1 day").alias("w"))
             .agg(F.sum(F.col("amount").cast("decimal(38,2)")).alias("inflow"),
                  F.count(F.lit(1)).alias("payments"))
             .select(F.to_date(F.col("w.start")).alias("sale_day"), "inflow", "payments"))
