@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recurra.functions import month_start, pg_round, ratio
@@ -70,7 +69,9 @@ def q16_churn_reasons(c: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("mrr").cast("decimal(38,2)")).alias("lost"),
         F.count("mrr").alias("n_mrr"))
-    total = F.sum("n").over(W.partitionBy(F.lit(1)))   # over the few reason rows only
+    # reasons are free text (unbounded): the total is a scalar subquery, not a
+    # global window over all reason rows
+    total = c.agg(F.count(F.lit(1))).scalar()
     return by_reason.select(
         "churn_reason",
         F.col("n").alias("churn_occurrences"),

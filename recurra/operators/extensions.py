@@ -34,23 +34,28 @@ def x_retry_recovery(p: DataFrame, *, days: int = 1) -> DataFrame:
     """Failed payments followed by a Paid one of the same subscription within ``days``
     days (strictly later), per month of the failure: failures, recovered, amount.
 
-    Paid payments are reduced to (subscription, day) -> first/last timestamp; each
-    failure is expanded to its ``days`` + 1 candidate days and equi-joined there,
-    so there is no range join and a busy subscription adds one row per day.
+    Time is cut into ``days``-wide buckets. The window (t, t + days] of a failure
+    in bucket b touches only buckets b and b + 1: a Paid payment in b qualifies iff
+    the bucket's latest Paid time is after t, one in b + 1 iff the bucket's earliest
+    Paid time is within t + days. So Paid rows reduce to (subscription, bucket) ->
+    min/max time and each failure probes exactly 2 buckets by equi-join -- no range
+    join, no per-day fan-out, and a busy subscription adds one row per bucket.
     """
+    width = F.lit(days * 86400)
+    bucket = F.floor(F.unix_seconds(F.col("payment_date").cast("timestamp")) / width)
     paid = (p.where(F.col("payment_status") == "Paid")
-            .groupBy("subscription_id", F.to_date("payment_date").alias("day"))
+            .groupBy("subscription_id", bucket.alias("bucket"))
             .agg(F.min("payment_date").alias("first_ts"), F.max("payment_date").alias("last_ts")))
     fail = p.where(F.col("payment_status") == "Failed").select(
-        "payment_id", "subscription_id", "payment_date", to_money("amount").alias("amount"))
-    cand = fail.select("payment_id", "subscription_id", "payment_date",
-                       F.explode(F.sequence(F.lit(0), F.lit(days))).alias("k")) \
-        .withColumn("day", F.date_add(F.to_date("payment_date"), F.col("k")))
+        "payment_id", "subscription_id", "payment_date", to_money("amount").alias("amount"),
+        bucket.alias("b0"))
+    probe = fail.select("payment_id", "subscription_id", "payment_date",
+                        F.explode(F.array(F.lit(0), F.lit(1))).alias("k"), "b0") \
+        .withColumn("bucket", F.col("b0") + F.col("k"))
     limit = F.col("payment_date") + F.make_dt_interval(F.lit(days))
-    hit = (cand.join(paid, ["subscription_id", "day"])
+    hit = (probe.join(paid, ["subscription_id", "bucket"])
            .where(F.when(F.col("k") == 0, F.col("last_ts") > F.col("payment_date"))
-                  .when(F.col("k") == days, F.col("first_ts") <= limit)
-                  .otherwise(F.lit(True)))
+                  .otherwise(F.col("first_ts") <= limit))
            .select("payment_id").distinct().withColumn("recovered", F.lit(1)))
     flagged = fail.join(hit, "payment_id", "left")
     return (flagged.groupBy(month_start("payment_date").alias("month"))

@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/DBFS); "
+                           "a driver-local scratch folder is not visible to executors")
     path = tempfile.mkdtemp(prefix="recurra-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -99,3 +99,44 @@ def test_deciles_and_expansion_invariants(spark):
     for r in revenue.q04_expansion(p).collect():
         assert abs(r.expansion_mrr - r.contraction_mrr - r.net_expansion_mrr) < 1e-9
     _ = d
+
+
+def test_retry_recovery_matches_brute_force(spark):
+    from helpers import pay
+    from recurra.operators import extensions
+    rnd = random.Random(5)
+    ps = [
+        pay(1, sid=1, when="2025-01-01 23:00:00", status="Failed"),
+        pay(2, sid=1, when="2025-01-02 22:00:00"),                   # within 1 day: recovered
+        pay(3, sid=2, when="2025-01-01 23:00:00", status="Failed"),
+        pay(4, sid=2, when="2025-01-03 00:00:00"),                   # 25 h later: not
+        pay(5, sid=3, when="2025-01-05 10:00:00", status="Failed"),
+        pay(6, sid=3, when="2025-01-05 10:00:00"),                   # same instant: not
+        pay(7, sid=4, when="2025-01-06 00:00:00", status="Failed"),
+        pay(8, sid=4, when="2025-01-07 00:00:00"),                   # exactly 1 day: recovered
+    ]
+    for i in range(9, 400):
+        ps.append(pay(i, sid=rnd.randint(1, 12),
+                      when=f"2025-0{rnd.randint(1, 3)}-{rnd.randint(1, 28):02d} "
+                           f"{rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:00",
+                      status=rnd.choice(["Paid", "Failed"])))
+    p = table(spark, "payments", ps)
+    for days in (1, 3):
+        got = rows(extensions.x_retry_recovery(p, days=days), "month", "failed_payments",
+                   "recovered_payments", "recovered_amount")
+        f = p.where("payment_status = 'Failed'").alias("f")
+        q = p.where("payment_status = 'Paid'").alias("q")
+        cond = ((F.col("f.subscription_id") == F.col("q.subscription_id"))
+                & (F.col("q.payment_date") > F.col("f.payment_date"))
+                & (F.col("q.payment_date") <= F.col("f.payment_date")
+                   + F.make_dt_interval(F.lit(days))))
+        ok = f.join(q, cond, "left_semi").select("payment_id").withColumn("hit", F.lit(1))
+        brute = (f.join(ok, "payment_id", "left")
+                 .groupBy(F.trunc(F.to_date("payment_date"), "month").alias("month"))
+                 .agg(F.count(F.lit(1)).alias("a"), F.count("hit").alias("b"),
+                      F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("amount"))), F.lit(0))
+                      .cast("double").alias("c")))
+        assert sorted(got) == sorted(rows(brute, "month", "a", "b", "c"))
+        if days == 1:
+            jan = [g for g in got if g[0] == d("2025-01-01")][0]
+            assert jan[2] >= 2
