@@ -86,5 +86,5 @@ def n5_model_matrix(s: DataFrame, pu: DataFrame, t: DataFrame) -> DataFrame:
     base = s.select("user_id", "subscription_id",
                     F.col("monthly_price").cast("double").alias("monthly_price"),
                     (F.col("status") == "Churned").cast("int").alias("is_churned"))
-    return (base.join(usage, "user_id", "left").join(tickets, "user_id", "left")
-            .fillna(0, subset=["total_events", "active_minutes", "total_tickets"]))
+    # whole-frame fill after each merge, as in the notebook
+    return base.join(usage, "user_id", "left").fillna(0).join(tickets, "user_id", "left").fillna(0)

@@ -166,29 +166,43 @@ def audit_model(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = No
 
 
 def aud_fk(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphan counts for every declared foreign key (child, column, parent, orphans).
+    """Orphan counts for every declared foreign key: (child, column, parent, orphans).
 
-    The child is first reduced to distinct key values with counts (map-side
-    combined, so hot keys collapse), then anti-joined to the parent keys.
+    One pass for all edges: each child table is scanned once, its FK values are
+    tagged by edge and reduced to distinct (edge, parent, key) -> count (map-side
+    combined, so hot keys collapse); parent keys are reduced to distinct
+    (parent, key); a single left join on (parent, key) finds the orphans.
     """
     from recurra.sources.schema import TABLES
-    out = None
-    for child_name, spec in TABLES.items():
-        if child_name not in tables:
-            continue
-        for fk in spec.foreign_keys:
-            if fk.parent not in tables:
-                continue
-            child = (tables[child_name].where(F.col(fk.column).isNotNull())
-                     .groupBy(F.col(fk.column).alias("k")).agg(F.count(F.lit(1)).alias("n")))
-            parent = tables[fk.parent].select(F.col(fk.parent_column).alias("k"))
-            orphans = child.join(parent, "k", "left_anti").agg(
-                F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphans"))
-            one = orphans.select(F.lit(child_name).alias("child_table"),
-                                 F.lit(fk.column).alias("column_name"),
-                                 F.lit(fk.parent).alias("parent_table"), "orphans")
-            out = one if out is None else out.unionByName(one)
-    return out
+    edges = [(child, fk.column, fk.parent, fk.parent_column)
+             for child, spec in TABLES.items() if child in tables
+             for fk in spec.foreign_keys if fk.parent in tables]
+    if not edges:
+        return None
+    child_keys = None
+    for child in dict.fromkeys(e[0] for e in edges):
+        mine = [(i, e) for i, e in enumerate(edges) if e[0] == child]
+        tagged = tables[child].select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("edge"), F.lit(e[2]).alias("parent"),
+                     F.col(e[1]).cast("long").alias("k")) for i, e in mine])).alias("t"))
+        one = (tagged.select("t.edge", "t.parent", "t.k").where(F.col("k").isNotNull())
+               .groupBy("edge", "parent", "k").agg(F.count(F.lit(1)).alias("n")))
+        child_keys = one if child_keys is None else child_keys.unionByName(one)
+    parent_keys = None
+    for parent, pk in dict.fromkeys((e[2], e[3]) for e in edges):
+        one = tables[parent].select(F.lit(parent).alias("parent"),
+                                    F.col(pk).cast("long").alias("k")).distinct()
+        parent_keys = one if parent_keys is None else parent_keys.unionByName(one)
+    found = parent_keys.withColumn("found", F.lit(True))
+    orphans = (child_keys.join(found, ["parent", "k"], "left")
+               .groupBy("edge")
+               .agg(F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias("o")))
+    spark = child_keys.sparkSession
+    meta = spark.createDataFrame([(i, c, col, par) for i, (c, col, par, _) in enumerate(edges)],
+                                 "edge int, child_table string, column_name string, parent_table string")
+    return (meta.join(orphans, "edge", "left")
+            .select("child_table", "column_name", "parent_table",
+                    F.coalesce(F.col("o"), F.lit(0)).cast("long").alias("orphans")))
 
 
 # ---- validation gates (empty / duplicate full rows / overall status) -----------------

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recurra.session import ensure_checkpoint_dir
+from recurra.session import freeze
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the in-partition row position in the low 33 bits
 
@@ -29,8 +29,7 @@ def global_row_number(df: DataFrame, order: list[Column], num_partitions: int |
     # The partition ids/positions are read twice (counts and rows). Two planned
     # range exchanges could sample different bounds, so freeze them once in the
     # shared checkpoint dir (also cuts lineage for executor-loss recovery).
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = freeze(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(

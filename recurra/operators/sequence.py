@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recurra.session import ensure_checkpoint_dir
+from recurra.session import freeze
 
 
 def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str = "prev",
@@ -27,8 +27,7 @@ def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str =
         .withColumn("_pid", F.spark_partition_id())
     # read twice below (runs and run tails): freeze one partitioning in the
     # shared checkpoint dir so both see the same range bounds
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = freeze(ranged)
     run = W.partitionBy("_pid", key).orderBy(*order)
     local = (ranged.withColumn(out, F.lag(value).over(run))
              .withColumn("_first", F.row_number().over(run) == 1))

@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from recurra.operators import billing, churn, cohort, economics, quality, revenue, support
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
+from recurra.sources.load import load_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
 
 
-def model(spark: SparkSession, sf_dir: str) -> BoundModel:
+def model(spark: SparkSession, sf_dir: str):
+    """The canonical tables for ``sf_dir``, loaded once per process (see sources.load)."""
     apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
-    return BoundModel(spark, sf_dir)
+    return load_model(spark, sf_dir)
 
 
 def _q(fn: Callable[[BoundModel], DataFrame]) -> Query:

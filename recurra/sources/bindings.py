@@ -197,24 +197,68 @@ class BoundModel:
     # ---- dirty fixtures for the cleaners (derived from the bound tables) -------------
     @cached_property
     def dirty_payments(self) -> DataFrame:
-        """Payments with an ingest order and quality issues, plus a later second copy
-        (amount + 1) of every payment whose id ends in 01, so keep-first matters."""
-        p = self.payments
-        sub = F.col("subscription_id")
-        issue = F.when(sub % 40 == 0, "Missing amount").when(sub % 41 == 0, "outlier")
-        first = p.select("*", F.lit(0).alias("ingest_seq"), issue.alias("quality_issue"))
-        again = (p.where(F.col("payment_id") % 100 == 1)
-                 .withColumn("amount", (F.col("amount") + 1).cast(MONEY))
-                 .select("*", F.lit(1).alias("ingest_seq"), issue.alias("quality_issue")))
-        return first.unionByName(again)
+        return dirty_payments(self.payments)
 
     @cached_property
     def dirty_subscriptions(self) -> DataFrame:
-        issue = F.when(F.col("subscription_id") % 40 == 0, "Missing price")
-        return self.subscriptions.select("*", issue.alias("quality_issue"))
+        return dirty_subscriptions(self.subscriptions)
 
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in (
             "plans", "users", "subscriptions", "payments", "churn_events",
             "product_usage", "support_tickets", "marketing_campaigns")}
 
+
+
+MODEL_TABLES = ("plans", "users", "subscriptions", "payments", "churn_events", "product_usage",
+                "support_tickets", "marketing_campaigns")
+
+
+def dirty_payments(p: DataFrame) -> DataFrame:
+    """Payments with an ingest order and quality issues, plus a later second copy
+    (amount + 1) of every payment whose id ends in 01, so keep-first matters."""
+    sub = F.col("subscription_id")
+    issue = F.when(sub % 40 == 0, "Missing amount").when(sub % 41 == 0, "outlier")
+    first = p.select("*", F.lit(0).alias("ingest_seq"), issue.alias("quality_issue"))
+    again = (p.where(F.col("payment_id") % 100 == 1)
+             .withColumn("amount", (F.col("amount") + 1).cast(MONEY))
+             .select("*", F.lit(1).alias("ingest_seq"), issue.alias("quality_issue")))
+    return first.unionByName(again)
+
+
+def dirty_subscriptions(s: DataFrame) -> DataFrame:
+    issue = F.when(F.col("subscription_id") % 40 == 0, "Missing price")
+    return s.select("*", issue.alias("quality_issue"))
+
+
+class StoredModel:
+    """The canonical tables as loaded (Parquet) -- what queries run against, like the
+    reference's queries run against its loaded database tables."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _t(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    plans = property(lambda self: self._t("plans"))
+    users = property(lambda self: self._t("users"))
+    subscriptions = property(lambda self: self._t("subscriptions"))
+    payments = property(lambda self: self._t("payments"))
+    churn_events = property(lambda self: self._t("churn_events"))
+    product_usage = property(lambda self: self._t("product_usage"))
+    support_tickets = property(lambda self: self._t("support_tickets"))
+    marketing_campaigns = property(lambda self: self._t("marketing_campaigns"))
+
+    @cached_property
+    def dirty_payments(self) -> DataFrame:
+        return dirty_payments(self.payments)
+
+    @cached_property
+    def dirty_subscriptions(self) -> DataFrame:
+        return dirty_subscriptions(self.subscriptions)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: getattr(self, n) for n in MODEL_TABLES}
+
