@@ -10,6 +10,7 @@ from recurra.operators import billing, churn, cohort, economics, quality, revenu
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
 from recurra.sources.load import load_model
+from recurra.streaming import kpis as stream_kpis
 
 Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
@@ -233,6 +234,13 @@ def extension_queries() -> dict[str, Query]:
             m.subscriptions, m.plans, m.product_usage, window_start=TEST_WINDOW_START)),
         "x_trend_forecast": _o(lambda m: extensions.x_trend_forecast(
             kpis.kpi_monthly_paid(m.payments))),
+        # Structured Streaming over the stored tables' Parquet folders (availableNow)
+        "x_stream_kpis": _o(lambda m: stream_kpis.run_available_now(
+            m.spark, stream_kpis.start_daily_paid, f"{m.root}/payments",
+            lateness="0 seconds")),
+        "x_stream_ticket_alert": _o(lambda m: stream_kpis.run_available_now(
+            m.spark, stream_kpis.start_ticket_alerts, f"{m.root}/support_tickets",
+            m.subscriptions, m.plans)),
     }
 
 

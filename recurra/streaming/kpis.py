@@ -41,6 +41,7 @@ def daily_paid(stream: DataFrame, *, lateness: str = "3 days") -> DataFrame:
 
 def start_daily_paid(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                      *, available_now: bool = True, lateness: str = "3 days") -> StreamingQuery:
+    """Daily paid inflow from a directory of payments Parquet files into a Parquet sink."""
     q = (daily_paid(payments_stream(spark, source_dir), lateness=lateness)
          .writeStream.format("parquet").outputMode("append")
          .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
@@ -64,8 +65,27 @@ def ticket_alerts(tickets: DataFrame, s: DataFrame, pl: DataFrame, *, hours: flo
 def start_ticket_alerts(spark: SparkSession, source_dir: str, s: DataFrame, pl: DataFrame,
                         sink_dir: str, checkpoint_dir: str, *, hours: float = 12,
                         available_now: bool = True) -> StreamingQuery:
+    """Alerts for streamed tickets (stream-static semi join) into a Parquet sink."""
     q = (ticket_alerts(tickets_stream(spark, source_dir), s, pl, hours=hours)
          .writeStream.format("parquet").outputMode("append")
          .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
+
+
+def run_available_now(spark: SparkSession, start, *args, timeout_s: int = 3600,
+                      **kwargs) -> DataFrame:
+    """Run a stream over everything currently in its source and return the sink
+    contents. Sink and stream checkpoint live in a fresh folder under the shared
+    checkpoint dir."""
+    import uuid
+
+    from recurra.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recurra-stream/{uuid.uuid4().hex}"
+    q = start(spark, *args, sink_dir=f"{base}/out", checkpoint_dir=f"{base}/state", **kwargs)
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream did not drain its source within {timeout_s}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
