@@ -253,4 +253,11 @@ def all_queries() -> dict[str, Query]:
     q.update(kpi_queries())
     q.update(notebook_queries())
     q.update(extension_queries())
+    for alias, key in ALIASES.items():
+        q[alias] = q[key]
     return q
+
+
+# SURVEY key names that are the same operator as another registered key
+ALIASES = {"aud_nulls_q13": "q13_nulls", "aud_dup_payments_q14": "q14_dup_payments",
+           "aud_rowcount_distinct": "k2_quality_profile", "r5_format": "r5_format_months"}
