@@ -71,3 +71,30 @@ def freeze(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_mb: int = 256,
+                 max_initial_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle / scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``target_partition_mb`` keep each task's decoded batch well
+      inside executor memory while keeping the task count reasonable at 100 TB;
+    * the initial shuffle partition count is sized from the input so no reducer
+      starts with more than ~``target_partition_mb`` of data (never fewer than 3
+      waves of the cluster's cores); AQE then coalesces small partitions and splits
+      skewed ones (a partition 5x the median and over 2x the target);
+    * broadcast stays size-checked by Spark (static stats and AQE runtime sizes).
+    """
+    mb = 1024 * 1024
+    initial = max(3 * total_cores, -(-input_bytes // (target_partition_mb * mb)))
+    initial = min(initial, max_initial_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * target_partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }

@@ -61,3 +61,13 @@ def test_notebook_tenure_floor_and_rounding(spark):
                                                           "2026-01-01").alias("t")).collect()]
     assert got[0] == 0.1            # H8: 0 days -> floor 0.1
     assert got[1] == round(365 / 30.4368, 1)
+
+
+def test_cluster_conf_sizes_partitions():
+    from recurra.session import cluster_conf
+    tb = 1024 ** 4
+    conf = cluster_conf(100 * tb, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000          # capped
+    assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = cluster_conf(50 * 1024 * 1024, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24               # 3 waves of cores
