@@ -57,10 +57,9 @@ FROM (
   SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, l.l_returnflag,
          o.o_custkey, o.o_orderpriority, o.o_orderdate,
          row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey,
-                            l.l_suppkey, l.l_extendedprice, l.l_shipdate) AS rn,
-         unnest(CASE WHEN l.l_orderkey % 500 = 0 THEN [0, 1] ELSE [0] END) AS k
+                            l.l_suppkey, l.l_extendedprice, l.l_shipdate) AS rn
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-) x"""
+) x JOIN (VALUES (0), (1)) copies(k) ON copies.k = 0 OR x.l_orderkey % 500 = 0"""
     churn = f"""SELECT subscription_id, user_id, end_date AS churn_date,
   {pick('subscription_id % 5', CHURN_REASONS)} AS churn_reason, mrr
 FROM subscriptions WHERE status = 'Churned' AND end_date IS NOT NULL"""
