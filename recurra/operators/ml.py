@@ -22,22 +22,28 @@ MODEL_FEATURES = ("monthly_price", "total_events", "active_minutes", "total_tick
 def n5_split(df: DataFrame, *, label: str = "is_churned", id_col: str = "subscription_id",
              test: float = 0.3, seed: int = 42) -> DataFrame:
     """Stratified, deterministic hold-out: within each class rows are ordered by a
-    seeded hash of the id; the first ceil(test * n_class) go to 'test'.
+    seeded hash of the id (then the id); the first ceil(test * n_class) are 'test'.
 
-    The per-class position comes from a range-partitioned global numbering
-    (class, hash, id) minus the class offset -- no per-class window in one task.
+    Only the narrow (class, hash, id) keys are numbered (range-partitioned global
+    numbering minus the class offset); that yields one cut-off (hash, id) per class,
+    which is broadcast (one row per class) and compared on every row -- the wide
+    feature rows are never shuffled or sorted.
     """
     h = F.xxhash64(F.col(id_col), F.lit(seed))
-    ranked = global_row_number(df.withColumn("_h", h),
-                               [F.col(label), F.col("_h"), F.col(id_col)], out="_rank")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))   # one row per class
-    offsets = counts.select(label, "_n", F.coalesce(F.sum("_n").over(
-        W.orderBy(label).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = F.col("_rank") - F.col("_off")
-    return (ranked.join(F.broadcast(offsets), label)
-            .withColumn("split", F.when(pos <= F.ceil(F.col("_n") * test), "test")
+    keys = df.select(F.col(label).alias("_y"), h.alias("_h"), F.col(id_col).alias("_id"))
+    ranked = global_row_number(keys, [F.col("_y"), F.col("_h"), F.col("_id")], out="_rank")
+    counts = keys.groupBy("_y").agg(F.count(F.lit(1)).alias("_n"))      # one row per class
+    offsets = counts.select("_y", "_n", F.coalesce(F.sum("_n").over(
+        W.orderBy("_y").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    cut = (ranked.join(F.broadcast(offsets), "_y")
+           .where(F.col("_rank") - F.col("_off") == F.ceil(F.col("_n") * test))
+           .select(F.col("_y").alias(label), F.col("_h").alias("_cut_h"),
+                   F.col("_id").alias("_cut_id")))
+    in_test = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id")))
+    return (df.join(F.broadcast(cut), label, "left")
+            .withColumn("split", F.when(F.coalesce(in_test, F.lit(False)), "test")
                         .otherwise("train"))
-            .drop("_h", "_rank", "_n", "_off"))
+            .drop("_cut_h", "_cut_id"))
 
 
 def n5_random_forest(train: DataFrame, *, features: Sequence[str] = MODEL_FEATURES,

@@ -140,3 +140,17 @@ def test_retry_recovery_matches_brute_force(spark):
         if days == 1:
             jan = [g for g in got if g[0] == d("2025-01-01")][0]
             assert jan[2] >= 2
+
+
+def test_split_matches_per_class_rank_definition(spark):
+    from recurra.operators import ml
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(i, int(rnd.random() < 0.3), rnd.random()) for i in range(997)],
+                               "subscription_id long, is_churned int, x double")
+    got = ml.n5_split(df, test=0.3, seed=42).select("subscription_id", "split")
+    h = F.xxhash64(F.col("subscription_id"), F.lit(42))
+    w = W.partitionBy("is_churned").orderBy(h, "subscription_id")
+    n = F.count(F.lit(1)).over(W.partitionBy("is_churned"))
+    ref = df.select("subscription_id", F.when(F.row_number().over(w) <= F.ceil(n * 0.3), "test")
+                    .otherwise("train").alias("split"))
+    assert sorted(rows(got)) == sorted(rows(ref))
