@@ -116,13 +116,32 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
     return _quantiles_from(ranked, stats, probs)
 
 
-def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6, *,
+                exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """pandas-style describe(): count, mean, std (sample), min, 25/50/75 %, max per
     column (one row per column; values rounded to ``digits`` decimals).
 
-    The input is unpivoted and numbered once (a checkpointed frame); moments and
-    quantiles are both read from it, so an expensive input is computed only once.
+    exact=True (default, equals pandas): the input is unpivoted and numbered once (a
+    checkpointed frame); moments and quantiles are both read from it, so an
+    expensive input is computed only once. exact=False: one aggregation pass with
+    ``percentile_approx`` sketches (bounded memory, no sort) for very large inputs.
     """
+    if not exact:
+        long = (df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+            for c in cols])).alias("kv")).select("kv.column_name", "kv.v")
+            .where(F.col("v").isNotNull()))
+        q = F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy)
+        g = long.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), q.alias("_q"),
+            F.max("v").alias("max"))
+        g = g.select("column_name", "count", "mean", "std", "min",
+                     *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
+                     "max")
+        return g.select("column_name", "count",
+                        *[pg_round(c, digits).alias(c)
+                          for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
     ranked = _ranked_long(df, cols)
     stats = ranked.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n"), F.min("_rank").alias("first"),

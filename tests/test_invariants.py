@@ -154,3 +154,13 @@ def test_split_matches_per_class_rank_definition(spark):
     ref = df.select("subscription_id", F.when(F.row_number().over(w) <= F.ceil(n * 0.3), "test")
                     .otherwise("train").alias("split"))
     assert sorted(rows(got)) == sorted(rows(ref))
+
+
+def test_describe_exact_and_approximate_agree(spark):
+    df = hot_key_frame(spark)
+    a = {r.column_name: r for r in profile.n3_describe(df, ["v", "t"]).collect()}
+    b = {r.column_name: r for r in profile.n3_describe(df, ["v", "t"], exact=False).collect()}
+    for c in ("v", "t"):
+        assert a[c]["count"] == b[c]["count"] == 3000
+        assert abs(a[c]["mean"] - b[c]["mean"]) < 1e-9 and a[c]["max"] == b[c]["max"]
+        assert abs(a[c]["p50"] - b[c]["p50"]) <= (0.01 if c == "v" else 1.0)
