@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recurra.functions import pg_round, ratio
-from recurra.operators.ranking import global_row_number
 
 
 def n1_value_counts(u: DataFrame, cols: Sequence[str] = ("acquisition_channel", "region",
@@ -74,46 +73,79 @@ def cat_rowcounts(tables: dict[str, DataFrame]) -> DataFrame:
     return prof_shape(tables).select("table_name", "row_count").orderBy("table_name")
 
 
-def _ranked_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Unpivot numeric columns to (column_name, v) and number the non-null values
-    in (column, value) order with the range-partitioned numbering (checkpointed)."""
-    long = (df.select(F.explode(F.array(*[
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Unpivot numeric columns to (column_name, v), non-null values only."""
+    return (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("kv")).select("kv.column_name", "kv.v").where(F.col("v").isNotNull()))
-    return global_row_number(long, [F.col("column_name"), F.col("v")], out="_rank") \
-        .select("column_name", "v", "_rank")
-
-
-def _quantiles_from(ranked: DataFrame, stats: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Linear interpolation between the two ranks around (n - 1) * q of each column;
-    the targets table has columns x probs rows, joined on (column, rank)."""
-    qs = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q")
-    targets = (stats.select("column_name", "n", "first", qs)
-               .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("q"))
-               .withColumn("lo_rank", F.col("first") + F.floor("pos"))
-               .withColumn("hi_rank", F.col("first") + F.ceil("pos"))
-               .withColumn("frac", F.col("pos") - F.floor("pos")))
-    lo = ranked.select("column_name", F.col("_rank").alias("lo_rank"), F.col("v").alias("v_lo"))
-    hi = ranked.select("column_name", F.col("_rank").alias("hi_rank"), F.col("v").alias("v_hi"))
-    picked = targets.join(lo, ["column_name", "lo_rank"]).join(hi, ["column_name", "hi_rank"])
-    return picked.select("column_name", "q",
-                         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
-                         .alias("value"))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str],
-                    probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column.
+def _refined_quantiles(long: DataFrame, sketch: DataFrame, probs: Sequence[float],
+                       accuracy: int) -> DataFrame:
+    """Exact linear-interpolated quantiles from a sketch bracket (two passes, no sort).
 
-    Values of all columns are unpivoted and range-partitioned by (column, value),
-    numbered globally, and the 2 neighbours of each target position are picked by
-    an equi-join against a tiny target table (columns x probs rows). Nothing is
-    gathered per column in one task, unlike an exact ``percentile`` aggregate.
+    ``sketch`` holds per column ``n`` and ``_pa`` = percentile_approx at the probe
+    list of ``_probes(probs, accuracy)``. The approximate values at q -/+ 5/accuracy
+    bracket the exact ranks (the sketch's rank error is at most n/accuracy); small
+    columns (n < 10 * accuracy) use the whole range. A second scan counts values
+    below the lower bracket and reduces the values inside it to distinct-value
+    counts (combined map-side, so ties collapse); a running sum over those few
+    values gives every value's rank span. If a bracket ever misses its ranks the
+    query fails instead of returning a wrong number.
     """
-    ranked = _ranked_long(df, cols)
-    stats = ranked.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"),
-                                              F.min("_rank").alias("first"))
-    return _quantiles_from(ranked, stats, probs)
+    probes = _probes(probs, accuracy)
+    small = F.col("n") < 10 * accuracy
+    lo_inf, hi_inf = F.lit(float("-inf")), F.lit(float("inf"))
+    specs = []
+    for q in probs:
+        lo_i, hi_i = probes.index(max(0.0, q - 5.0 / accuracy)), probes.index(min(1.0, q + 5.0 / accuracy))
+        lower = lo_inf if q - 5.0 / accuracy <= 0 else F.col("_pa")[lo_i]
+        upper = hi_inf if q + 5.0 / accuracy >= 1 else F.col("_pa")[hi_i]
+        specs.append(F.struct(F.lit(float(q)).alias("q"),
+                              F.when(small, lo_inf).otherwise(lower).alias("L"),
+                              F.when(small, hi_inf).otherwise(upper).alias("U")))
+    pos = (F.col("n") - 1).cast("double") * F.col("q")
+    bounds = (sketch.select("column_name", "n", F.explode(F.array(*specs)).alias("b"))
+              .select("column_name", "n", "b.q", "b.L", "b.U")
+              .withColumn("lo", F.floor(pos)).withColumn("hi", F.ceil(pos))
+              .withColumn("frac", pos - F.floor(pos)))
+    x = long.join(F.broadcast(bounds), "column_name")        # columns x probs rows
+    below = x.groupBy("column_name", "q").agg(
+        F.sum(F.when(F.col("v") < F.col("L"), 1).otherwise(0)).alias("below"))
+    inside = (x.where((F.col("v") >= F.col("L")) & (F.col("v") <= F.col("U")))
+              .groupBy("column_name", "q", "v").agg(F.count(F.lit(1)).alias("c")))
+    run = W.partitionBy("column_name", "q").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    spans = (inside.join(below, ["column_name", "q"])
+             .withColumn("end", F.col("below") + F.sum("c").over(run))
+             .withColumn("start", F.col("end") - F.col("c"))
+             .join(F.broadcast(bounds.select("column_name", "q", "lo", "hi", "frac")),
+                   ["column_name", "q"]))
+    covers = lambda r: (F.col("start") <= F.col(r)) & (F.col(r) < F.col("end"))
+    picked = spans.groupBy("column_name", "q", "frac").agg(
+        F.max(F.when(covers("lo"), F.col("v"))).alias("v_lo"),
+        F.max(F.when(covers("hi"), F.col("v"))).alias("v_hi"))
+    checked = F.when(F.col("v_lo").isNull() | F.col("v_hi").isNull(),
+                     F.raise_error(F.lit("quantile bracket missed its ranks; raise accuracy")))
+    return picked.select("column_name", "q", F.coalesce(
+        checked.cast("double"),
+        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
+
+
+def _probes(probs: Sequence[float], accuracy: int) -> list[float]:
+    d = 5.0 / accuracy
+    return sorted({max(0.0, q - d) for q in probs} | {min(1.0, q + d) for q in probs})
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str],
+                    probs: Sequence[float] = (0.25, 0.5, 0.75), *,
+                    accuracy: int = 10_000) -> DataFrame:
+    """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column,
+    by sketch bracketing and refinement -- no global sort of the values."""
+    long = _long(df, cols)
+    sketch = long.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("v", _probes(probs, accuracy), accuracy).alias("_pa"))
+    return _refined_quantiles(long, sketch, probs, accuracy)
 
 
 def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6, *,
@@ -121,17 +153,14 @@ def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6, *,
     """pandas-style describe(): count, mean, std (sample), min, 25/50/75 %, max per
     column (one row per column; values rounded to ``digits`` decimals).
 
-    exact=True (default, equals pandas): the input is unpivoted and numbered once (a
-    checkpointed frame); moments and quantiles are both read from it, so an
-    expensive input is computed only once. exact=False: one aggregation pass with
-    ``percentile_approx`` sketches (bounded memory, no sort) for very large inputs.
+    exact=True (default, equals pandas): moments and quantile sketches in one
+    aggregation, then one refinement scan (see ``_refined_quantiles``) -- no global
+    sort. exact=False: the sketch values themselves (one pass).
     """
+    long = _long(df, cols)
+    probs = (0.25, 0.5, 0.75)
     if not exact:
-        long = (df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-            for c in cols])).alias("kv")).select("kv.column_name", "kv.v")
-            .where(F.col("v").isNotNull()))
-        q = F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy)
+        q = F.percentile_approx("v", list(probs), accuracy)
         g = long.groupBy("column_name").agg(
             F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
             F.stddev_samp("v").alias("std"), F.min("v").alias("min"), q.alias("_q"),
@@ -142,14 +171,15 @@ def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6, *,
         return g.select("column_name", "count",
                         *[pg_round(c, digits).alias(c)
                           for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
-    ranked = _ranked_long(df, cols)
-    stats = ranked.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_rank").alias("first"),
-        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = _quantiles_from(ranked, stats, (0.25, 0.5, 0.75)).groupBy("column_name").agg(
-        *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
-          for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    # pass 1: moments and the sketch in one aggregation; pass 2: refinement
+    stats = long.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.percentile_approx("v", _probes(probs, accuracy), accuracy).alias("_pa"))
+    q = _refined_quantiles(long, stats.select("column_name", "n", "_pa"), probs, accuracy) \
+        .groupBy("column_name").agg(
+            *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
+              for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     out = stats.join(q, "column_name", "left")
     return out.select("column_name", F.col("n").alias("count"),
                       *[pg_round(c, digits).alias(c)

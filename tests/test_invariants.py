@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -46,10 +48,12 @@ def test_keep_first_matches_row_number_dedupe(spark):
     assert sorted(rows(got)) == sorted(rows(ref))
 
 
-def test_exact_quantiles_match_percentile(spark):
+@pytest.mark.parametrize("accuracy", [10_000, 50])   # whole-range and bracketed paths
+def test_exact_quantiles_match_percentile(spark, accuracy):
     df = hot_key_frame(spark)
     got = {(r.column_name, r.q): r.value
-           for r in profile.exact_quantiles(df, ["v", "t"], (0.1, 0.25, 0.5, 0.9)).collect()}
+           for r in profile.exact_quantiles(df, ["v", "t"], (0.1, 0.25, 0.5, 0.9),
+                                            accuracy=accuracy).collect()}
     for c in ("v", "t"):
         ref = df.agg(F.percentile(F.col(c).cast("double"),
                                   F.array(*[F.lit(q) for q in (0.1, 0.25, 0.5, 0.9)])).alias("p")
