@@ -1,14 +1,32 @@
-"""Query registry: key -> callable(spark, sf_dir) -> DataFrame over the bound test tables."""
+"""Query registry: key -> callable(spark, sf_dir) -> DataFrame over the canonical tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from recurra.operators import billing, churn, cohort, economics, quality, revenue, support
+from recurra.operators import (
+    billing,
+    churn,
+    cleaning,
+    cohort,
+    economics,
+    extensions,
+    features,
+    kpis,
+    measures,
+    ml,
+    profile,
+    quality,
+    report,
+    revenue,
+    support,
+)
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
-from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
+from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, StoredModel
 from recurra.sources.load import load_model
 from recurra.streaming import kpis as stream_kpis
 
@@ -16,111 +34,89 @@ Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
 
 
-def model(spark: SparkSession, sf_dir: str):
+def model(spark: SparkSession, sf_dir: str) -> StoredModel:
     """The canonical tables for ``sf_dir``, loaded once per process (see sources.load)."""
     apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
     return load_model(spark, sf_dir)
 
 
-def _q(fn: Callable[[BoundModel], DataFrame]) -> Query:
+def as_output(df: DataFrame) -> DataFrame:
+    """Result boundary: exact decimals leave as doubles."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _o(fn: Callable[[StoredModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(model(spark, sf_dir))
+        return as_output(fn(model(spark, sf_dir)))
     run.__doc__ = fn.__doc__
     return run
 
 
+
 def business_queries() -> dict[str, Query]:
     return {
-        "q01_scorecard": _q(lambda m: revenue.q01_scorecard(m.subscriptions)),
-        "q02_mrr_mom": _q(lambda m: revenue.q02_mrr_mom(m.payments)),
-        "q03_logo_churn": _q(lambda m: churn.q03_logo_churn(m.subscriptions, m.churn_events)),
-        "q04_expansion": _q(lambda m: revenue.q04_expansion(m.payments)),
-        "q05_ltv_cac": _q(lambda m: economics.q05_ltv_cac(
+        "q01_scorecard": _o(lambda m: revenue.q01_scorecard(m.subscriptions)),
+        "q02_mrr_mom": _o(lambda m: revenue.q02_mrr_mom(m.payments)),
+        "q03_logo_churn": _o(lambda m: churn.q03_logo_churn(m.subscriptions, m.churn_events)),
+        "q04_expansion": _o(lambda m: revenue.q04_expansion(m.payments)),
+        "q05_ltv_cac": _o(lambda m: economics.q05_ltv_cac(
             m.marketing_campaigns, m.users, m.subscriptions, as_of=A)),
-        "q06_ltv_deciles": _q(lambda m: economics.q06_ltv_deciles(m.subscriptions, as_of=A)),
-        "q07_cohort_counts": _q(lambda m: cohort.q07_cohort_counts(m.payments, m.users)),
-        "q08_tier_metrics": _q(lambda m: economics.q08_tier_metrics(
+        "q06_ltv_deciles": _o(lambda m: economics.q06_ltv_deciles(m.subscriptions, as_of=A)),
+        "q07_cohort_counts": _o(lambda m: cohort.q07_cohort_counts(m.payments, m.users)),
+        "q08_tier_metrics": _o(lambda m: economics.q08_tier_metrics(
             m.subscriptions, m.plans, as_of=A)),
-        "q09_churn_warning": _q(lambda m: churn.q09_churn_warning(
+        "q09_churn_warning": _o(lambda m: churn.q09_churn_warning(
             m.subscriptions, m.plans, m.product_usage, as_of=A, window_start=TEST_WINDOW_START)),
-        "q10_nrr": _q(lambda m: revenue.q10_nrr(m.payments)),
-        "q11_rolling7": _q(lambda m: revenue.q11_rolling7(m.payments)),
-        "q12_outliers": _q(lambda m: economics.q12_outliers(m.subscriptions, m.plans)),
-        "q13_nulls": _q(lambda m: quality.q13_nulls(m.subscriptions)),
-        "q14_dup_payments": _q(lambda m: billing.q14_dup_payments(m.payments)),
-        "q15_segment_ltv": _q(lambda m: economics.q15_segment_ltv(
+        "q10_nrr": _o(lambda m: revenue.q10_nrr(m.payments)),
+        "q11_rolling7": _o(lambda m: revenue.q11_rolling7(m.payments)),
+        "q12_outliers": _o(lambda m: economics.q12_outliers(m.subscriptions, m.plans)),
+        "q13_nulls": _o(lambda m: quality.q13_nulls(m.subscriptions)),
+        "q14_dup_payments": _o(lambda m: billing.q14_dup_payments(m.payments)),
+        "q15_segment_ltv": _o(lambda m: economics.q15_segment_ltv(
             m.subscriptions, m.plans, as_of=A)),
-        "q16_churn_reasons": _q(lambda m: churn.q16_churn_reasons(m.churn_events)),
-        "q17_sla": _q(lambda m: support.q17_sla(m.support_tickets)),
-        "q18_sla_trend": _q(lambda m: support.q18_sla_trend(m.support_tickets)),
-        "q19_arr_forecast": _q(lambda m: revenue.q19_arr_forecast(m.subscriptions, m.users)),
-        "q20_size_tenure": _q(lambda m: economics.q20_size_tenure(
+        "q16_churn_reasons": _o(lambda m: churn.q16_churn_reasons(m.churn_events)),
+        "q17_sla": _o(lambda m: support.q17_sla(m.support_tickets)),
+        "q18_sla_trend": _o(lambda m: support.q18_sla_trend(m.support_tickets)),
+        "q19_arr_forecast": _o(lambda m: revenue.q19_arr_forecast(m.subscriptions, m.users)),
+        "q20_size_tenure": _o(lambda m: economics.q20_size_tenure(
             m.subscriptions, m.users, as_of=A)),
-        "q21_decline_rate": _q(lambda m: billing.q21_decline_rate(m.payments)),
-        "q22_region_matrix": _q(lambda m: economics.q22_region_matrix(m.subscriptions, m.users)),
-        "k1_monthly_records": _q(lambda m: revenue.k1_monthly_records(m.payments)),
-        "k2_quality_profile": _q(lambda m: billing.k2_quality_profile(m.payments)),
-        "k3_mom_growth": _q(lambda m: revenue.k3_mom_growth(m.payments)),
+        "q21_decline_rate": _o(lambda m: billing.q21_decline_rate(m.payments)),
+        "q22_region_matrix": _o(lambda m: economics.q22_region_matrix(m.subscriptions, m.users)),
+        "k1_monthly_records": _o(lambda m: revenue.k1_monthly_records(m.payments)),
+        "k2_quality_profile": _o(lambda m: billing.k2_quality_profile(m.payments)),
+        "k3_mom_growth": _o(lambda m: revenue.k3_mom_growth(m.payments)),
     }
 
 
-# ---------------------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DecimalType  # noqa: E402
-
-from recurra.operators import (  # noqa: E402
-    cleaning,
-    extensions,
-    features,
-    kpis,
-    measures,
-    ml,
-    profile,
-    report,
-)
-
-
-def as_output(df: DataFrame) -> DataFrame:
-    """Result boundary: exact decimals leave as doubles."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
-def _o(fn: Callable[[BoundModel], DataFrame]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_output(fn(model(spark, sf_dir)))
-    run.__doc__ = fn.__doc__
-    return run
-
-
 RULE_KEYS = {"aud_not_null": "not_null", "aud_unique": "unique", "aud_domain": "domain",
              "aud_range": "range", "aud_length": "length"}
 
 
-def _rules(m: BoundModel, kind: str) -> DataFrame:
+def _rules(m: StoredModel, kind: str) -> DataFrame:
     return quality.audit_model(m.tables(), kinds=(kind,))
 
 
-def _split(m: BoundModel) -> DataFrame:
+def _split(m: StoredModel) -> DataFrame:
     return ml.n5_split(features.n5_model_matrix(m.subscriptions, m.product_usage,
                                                 m.support_tickets))
 
 
-def _fit(m: BoundModel):
+def _fit(m: StoredModel):
     data = _split(m)
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
     return ml.n5_random_forest(train), test
 
 
-def _pred(m: BoundModel) -> DataFrame:
+def _pred(m: StoredModel) -> DataFrame:
     model_, test = _fit(m)
     return ml.predictions(model_, test)
 
 
-def _matrix(m: BoundModel) -> DataFrame:
+def _matrix(m: StoredModel) -> DataFrame:
     return features.n3_feature_matrix(m.subscriptions, m.users, m.product_usage,
                                       m.support_tickets, m.payments, baseline=A)
 
