@@ -21,8 +21,13 @@ def _is(status: str) -> Column:
     return F.col("status") == status
 
 
-def _by(df: DataFrame, by: Sequence[str | Column] | None, *aggs: Column) -> DataFrame:
-    return df.groupBy(*(by or [])).agg(*aggs)
+def _by(df: DataFrame, by: Sequence[str | Column], *aggs: Column) -> DataFrame:
+    """Evaluate measure aggregates under a grouping (``[]`` = the whole table)."""
+    return df.groupBy(*by).agg(*aggs)
+
+
+def _default(by, default):
+    return default if by is None else by
 
 
 def _mrr() -> Column:
@@ -45,38 +50,38 @@ def start_month() -> Column:
 
 
 def d01_mrr(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], _mrr().cast("double").alias("mrr"))
+    return _by(s, _default(by, [start_month()]), _mrr().cast("double").alias("mrr"))
 
 
 def d02_arr(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], (_mrr() * 12).cast("double").alias("arr"))
+    return _by(s, _default(by, [start_month()]), (_mrr() * 12).cast("double").alias("arr"))
 
 
 def d03_arpu(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], _arpu().alias("arpu"))
+    return _by(s, _default(by, [start_month()]), _arpu().alias("arpu"))
 
 
 def d05_churn_rate(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], _churn_rate().alias("churn_rate"))
+    return _by(s, _default(by, [start_month()]), _churn_rate().alias("churn_rate"))
 
 
 def d08_ltv(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], dax_divide(_arpu(), _churn_rate()).alias("ltv"))
+    return _by(s, _default(by, [start_month()]), dax_divide(_arpu(), _churn_rate()).alias("ltv"))
 
 
 def d10_retention(s: DataFrame, by=None) -> DataFrame:
-    return _by(s, by or [start_month()], (F.lit(1.0) - _churn_rate()).alias("retention_rate"))
+    return _by(s, _default(by, [start_month()]), (F.lit(1.0) - _churn_rate()).alias("retention_rate"))
 
 
 def d09_trial_conv(m: DataFrame, by=None) -> DataFrame:
-    return _by(m, by if by is not None else ["channel"],
+    return _by(m, _default(by, ["channel"]),
                dax_divide(F.sum("paid_conversions"), F.sum("trial_signups"))
                .alias("trial_conversion_rate"))
 
 
 def d11_expansion(p: DataFrame, by=None) -> DataFrame:
     keep = (F.col("amount") > 0) & (F.col("payment_status") == "Paid")
-    return _by(p, by or [month_start("payment_date").alias("month")],
+    return _by(p, _default(by, [month_start("payment_date").alias("month")]),
                F.sum(F.when(keep, to_money("amount"))).cast("double").alias("expansion_revenue"))
 
 

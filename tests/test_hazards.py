@@ -198,3 +198,18 @@ def test_rolling_seven_rows_not_days(spark):
                                   for i in range(1, 10)])
     got = rows(revenue.q11_rolling7(p), "rolling_7day_average_inflow")
     assert got[6] == (4.0,) and got[8] == (6.0,)      # mean of the last 7 sales days
+
+
+def test_measures_under_any_grouping(spark):
+    s = table(spark, "subscriptions", [
+        sub(1, uid=1, plan=1, status="Active", price=10), sub(2, uid=1, plan=1, status="Active", price=30),
+        sub(3, uid=2, plan=2, status="Churned", end="2025-02-01", price=50),
+        sub(4, uid=3, plan=2, status="Active", price=20), sub(5, uid=4, plan=3, status="Paused")])
+    by_plan = {r.plan_id: (r.mrr, ) for r in measures.d01_mrr(s, by=["plan_id"]).collect()}
+    assert by_plan == {1: (40.0,), 2: (20.0,), 3: (None,)}          # blank without Active
+    arpu = {r.plan_id: r.arpu for r in measures.d03_arpu(s, by=["plan_id"]).collect()}
+    assert arpu == {1: 40.0, 2: 20.0, 3: 0.0}                      # per distinct active user
+    overall = measures.d05_churn_rate(s, by=[]).first()
+    assert overall.churn_rate == 1 / 4                             # Paused excluded
+    ltv = measures.d08_ltv(s, by=[]).first().ltv
+    assert abs(ltv - (60 / 2) / 0.25) < 1e-9
