@@ -18,7 +18,7 @@ SQL_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "recurra") -> SparkSession:
+                  app: str = "recurra", warehouse: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -9,7 +9,8 @@ from recurra.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session(cores="*", shuffle_partitions=8, app="recurra-tests")
+def spark(tmp_path_factory):
+    s = local_session(cores="*", shuffle_partitions=8, app="recurra-tests",
+                      warehouse=str(tmp_path_factory.mktemp("warehouse")))
     yield s
     s.stop()

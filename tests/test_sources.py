@@ -80,3 +80,14 @@ def test_append_report_and_partitioned_model(spark, tmp_path):
     assert back.count() == 1
     blocks = sinks.snk_report({"plans": plans_df(spark)}, str(tmp_path / "report"))
     assert spark.read.json(blocks["plans"]).count() == 2
+
+
+def test_catalog_tables_in_analytics_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS analytics")
+    p = table(spark, "payments", [pay(1), pay(2, amount=5)])
+    sinks.snk_append(p, "analytics.payments")
+    sinks.snk_append(p, "analytics.payments")
+    back = readers.src_table(spark, "payments", database="analytics")
+    assert back.count() == 4 and back.schema.simpleString() == p.schema.simpleString()
+    row = readers.src_sql_row(spark, "SELECT SUM(amount) AS s FROM analytics.payments")
+    assert row.s == D("30.00")
