@@ -237,6 +237,10 @@ def extension_queries() -> dict[str, Query]:
         "x_stream_ticket_alert": _o(lambda m: stream_kpis.run_available_now(
             m.spark, stream_kpis.start_ticket_alerts, f"{m.root}/support_tickets",
             m.subscriptions, m.plans)),
+        "x_stream_ticket_state": _o(lambda m: stream_kpis.run_available_now(
+            m.spark, stream_kpis.start_stateful_ticket_alerts, f"{m.root}/support_tickets",
+            m.subscriptions, m.plans).withColumn(
+                "created_date", F.col("created_date").cast("timestamp_ntz"))),
     }
 
 
