@@ -140,7 +140,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     probs: Sequence[float] = (0.25, 0.5, 0.75), *,
                     accuracy: int = 10_000) -> DataFrame:
     """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column,
-    by sketch bracketing and refinement -- no global sort of the values."""
+    by sketch bracketing and refinement -- no global sort of the values.
+
+    The refinement window holds about 10 * n / ``accuracy`` values per quantile
+    (fewer after ties collapse); for billions of rows raise ``accuracy`` to about
+    n / 1e5 so each window stays around a million values.
+    """
     long = _long(df, cols)
     sketch = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n"),
