@@ -26,7 +26,9 @@ def clean(plan: str) -> str:
     plan = re.sub(r"#\d+L?", "", plan)                         # expression ids
     plan = re.sub(r"\[plan_id=\d+\]", "", plan)
     plan = re.sub(r"Location: [^,\]]+", "Location: …", plan)
-    return "\n".join(line[:200] for line in plan.splitlines())
+    # scan lines stay whole so PushedFilters / ReadSchema remain visible
+    return "\n".join(line if "Scan parquet" in line else line[:200]
+                     for line in plan.splitlines())
 
 
 def main() -> None:
