@@ -17,6 +17,8 @@ from recurra.session import ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, BoundModel, StoredModel
 
 _LOADED: dict[tuple[str, str, str], StoredModel] = {}
+SORT_WITHIN = {"payments": "payment_date", "product_usage": "event_date",
+               "support_tickets": "created_date", "subscriptions": "start_date"}
 LOAD_SECONDS: dict[str, float] = {}
 
 
@@ -38,6 +40,8 @@ def load_model(spark: SparkSession, sf_dir: str, as_of: str = TEST_AS_OF) -> Sto
         root = f"{ckpt.rstrip('/')}/recurra-model/{_fingerprint(sf_dir, as_of)}"
         bound = BoundModel(spark, sf_dir, as_of)
         for name, df in bound.tables().items():
+            if name in SORT_WITHIN:            # local sort, no shuffle: tight row-group
+                df = df.sortWithinPartitions(SORT_WITHIN[name])   # min/max for date filters
             df.write.mode("overwrite").parquet(f"{root}/{name}")
         _LOADED[key] = StoredModel(spark, root)
         LOAD_SECONDS[sf_dir] = time.perf_counter() - t0

@@ -41,7 +41,8 @@ def snk_parquet(df: DataFrame, path: str, name: str | None = None) -> None:
     spec = PARTITION_COLUMNS.get(name or "")
     if spec:
         src, part = spec
-        df.withColumn(part, month_start(src)).write.mode("overwrite").partitionBy(part).parquet(path)
+        (df.withColumn(part, month_start(src)).sortWithinPartitions(part, src)
+         .write.mode("overwrite").partitionBy(part).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
