@@ -1,7 +1,8 @@
 """Benchmark: median of 3 runs per headline query on the bound test tables.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_QUERIES ("headline" default, "all", or a comma list).
+BENCH_RUNS (default 3), BENCH_QUERIES ("headline" default, "all", or a comma list),
+BENCH_EVENTLOG_DIR (optional: write Spark's event log there for stage timings).
 The canonical tables are derived from the inputs and stored once first (the load
 step, reported as ``load_seconds``); each run then builds the query and executes
 it completely into Spark's no-op sink (nothing is collected to the driver).
@@ -41,7 +42,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     pick = os.environ.get("BENCH_QUERIES", "headline")
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="recurra-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENTLOG_DIR"):     # stage/task timings for later reading
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENTLOG_DIR"]}
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="recurra-bench",
+                          extra_conf=extra)
     registry = all_queries()
     if pick == "all":
         keys = list(registry)

@@ -18,7 +18,8 @@ SQL_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "recurra", warehouse: str | None = None) -> SparkSession:
+                  app: str = "recurra", warehouse: str | None = None,
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -31,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
