@@ -1,8 +1,14 @@
-"""Structured Streaming variants: incremental paid revenue and Enterprise ticket alerts.
+"""Structured Streaming: incremental paid revenue and Enterprise ticket alerts.
 
-Both read a directory of Parquet files as they arrive (schema from the canonical
-contract), keep the same semantics as their batch operators, and write to a
-Parquet sink with a checkpoint, so a restarted query continues where it stopped.
+* ``daily_paid``: watermarked 1-day event-time windows of Paid inflow;
+* ``ticket_alerts``: stream-static semi join of streamed tickets with the accounts
+  of a plan segment;
+* ``stateful_ticket_alerts``: a per-ticket state machine (applyInPandasWithState,
+  event-time timeout) fed by 'open' / 'resolved' events.
+
+All read a directory of Parquet files as they arrive (schema from the canonical
+contract), keep the semantics of their batch operators, and write to a Parquet
+sink with a checkpoint, so a restarted query continues where it stopped.
 """
 
 from __future__ import annotations
