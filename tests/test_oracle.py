@@ -31,8 +31,8 @@ def key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
-@pytest.fixture(scope="module")
-def con():
+@pytest.fixture()
+def con():  # one connection per key: a fatal DuckDB error cannot cascade
     c = duckdb.connect()
     for v in VIEWS:
         c.execute(f"CREATE VIEW {v} AS SELECT * FROM read_parquet('{SF}/{v}.parquet')")
