@@ -80,10 +80,12 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     covered = F.expr(
         f"aggregate(p, named_struct('last', -{WINDOW}, 'n', 0L), "
         f"(a, i) -> named_struct('last', i, 'n', a.n + least({WINDOW}, i - a.last)), a -> a.n)")
-    return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        "n_upper", "n_letters",
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    measured = found.select("doc_id", F.struct(
+        "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_upper", "n_letters",
+        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")).alias("m"))
+    # the generator keeps later filters from being pushed below, which would copy the
+    # measuring expressions into every condition and evaluate them many times
+    return measured.select("doc_id", F.explode(F.array("m")).alias("m")).select("doc_id", "m.*")
 
 
 def failure_bits() -> Column:
