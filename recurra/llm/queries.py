@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import bpe, dart_minhash, exact_dedup, mixing, quality_rules
+from recurra.llm import (bpe, dart_minhash, exact_dedup, knn_quality, license_scan, mixing, quality_rules,
+                         revisits, suffix_dedup, url_filter)
 from recurra.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -27,6 +28,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op2_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    scored = knn_quality.score_quality(docs, knn_quality.train(docs, labels))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -54,15 +63,39 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "class_id", "class_size", "kept"))
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(revisits.crawl_records(table(spark, sf_dir, "pages")))
+    listed = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select("record_id", "url_key", "original_id", "outcome", F.array_join(listed, "; ").alias("headers"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.train(spark))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.equal_groups(table(spark, sf_dir, "documents")).drop("text_sha")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_knn_quality": op2_knn_quality,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_revisits": op6_revisits,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -125,6 +158,41 @@ bits AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, failed_bits = 0 AS kept, failed_bits
 FROM bits""",
+    "op6_revisits": r"""
+WITH split AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         regexp_replace(regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS rest
+  FROM pages),
+keyed AS (
+  SELECT page_id, html,
+         regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '')
+           || regexp_replace(regexp_extract(rest, '^[^/?]*(/[^?]*)', 1), '/+$', '') AS place,
+         list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS params
+  FROM split),
+pages2 AS (
+  SELECT page_id, '"' || md5(html) || '"' AS etag, strlen(html) AS bytes,
+         place || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url_key
+  FROM keyed),
+records AS (
+  SELECT 'response-' || page_id AS record_id, page_id AS date, TRUE AS is_full, url_key, etag, bytes FROM pages2
+  UNION ALL
+  SELECT 'revisit-' || page_id, page_id + 1000, FALSE, url_key, etag, 0 FROM pages2),
+carried AS (
+  SELECT *, last_value(CASE WHEN is_full THEN record_id END IGNORE NULLS) OVER (
+      PARTITION BY url_key ORDER BY date, is_full DESC, record_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS original_id
+  FROM records),
+judged AS (
+  SELECT c.record_id, c.url_key, c.original_id, c.date, c.etag, o.bytes AS stored_bytes,
+         CASE WHEN o.record_id IS NULL THEN 'no_original' WHEN o.etag = c.etag THEN 'resolved'
+              ELSE 'validator_mismatch' END AS outcome
+  FROM carried c LEFT JOIN records o ON c.original_id = o.record_id WHERE NOT c.is_full)
+SELECT record_id, url_key, original_id, outcome,
+       CASE WHEN outcome = 'resolved'
+            THEN 'content-length: ' || stored_bytes || '; content-type: text/html; date: ' || date || '; etag: ' || etag
+            ELSE 'content-length: 0; date: ' || date || '; etag: ' || etag END AS headers
+FROM judged""",
     "op10_exact_dedup": r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
