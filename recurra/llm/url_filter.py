@@ -83,15 +83,16 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def terms(host: Column, path: Column) -> Column:
-    """Character n-grams of '^host$' and '^path$', marked by where they come from."""
-    def grams(text: Column, mark: str, n: int) -> Column:
-        chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
+def terms(host_chars: Column, path_chars: Column) -> Column:
+    """Character n-grams of a host and a path given as arrays of characters, marked by
+    where they come from. The arrays must be columns: an expression would be evaluated
+    again for every n-gram."""
+    def grams(chars: Column, mark: str, n: int) -> Column:
         made = F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.concat(
             F.lit(mark), *[F.element_at(chars, i + k) for k in range(n)]))
         return F.when(F.size(chars) >= n, made).otherwise(F.array().cast("array<string>"))
 
-    return reduce(F.concat, [grams(t, m, n) for t, m in ((host, "h"), (path, "p")) for n in NGRAMS])
+    return reduce(F.concat, [grams(t, m, n) for t, m in ((host_chars, "h"), (path_chars, "p")) for n in NGRAMS])
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
@@ -102,8 +103,13 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 
 
 def featured(urls: DataFrame, url_col: str = "url") -> DataFrame:
-    host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    return urls.withColumn("host", host).withColumn("path", path).withColumn("grams", terms(F.col("host"), F.col("path")))
+    """``urls`` with host, path and grams (n-grams of '^host$' and '^path$')."""
+    def chars(name: str) -> Column:
+        return F.split(F.concat(F.lit("^"), F.col(name), F.lit("$")), "")
+
+    split = (urls.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
+             .withColumn("host_chars", chars("host")).withColumn("path_chars", chars("path")))
+    return split.withColumn("grams", terms(F.col("host_chars"), F.col("path_chars"))).drop("host_chars", "path_chars")
 
 
 def train(spark: SparkSession, labelled: DataFrame | None = None) -> PipelineModel:
