@@ -3,9 +3,9 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (default 3), BENCH_QUERIES ("headline" default, "all", or a comma list),
 BENCH_EVENTLOG_DIR (optional: write Spark's event log there for stage timings).
-The canonical tables are derived from the inputs and stored once first (the load
-step, reported as ``load_seconds``); each run then builds the query and executes
-it completely into Spark's no-op sink (nothing is collected to the driver).
+Each run builds the query, derives the canonical tables it uses from the given files,
+and executes it completely into Spark's no-op sink (nothing is collected to the driver):
+a key's time is all it costs.
 Prints one JSON line.
 """
 
@@ -20,8 +20,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from recurra.plans.registry import all_queries, model  # noqa: E402
-from recurra.sources.load import LOAD_SECONDS  # noqa: E402
+from recurra.plans.registry import all_queries  # noqa: E402
 from recurra.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -55,7 +54,6 @@ def main() -> None:
         keys = HEADLINE
     else:
         keys = [k.strip() for k in pick.split(",") if k.strip()]
-    model(spark, sf_dir)          # load step: canonical tables stored once (timed apart)
     times: dict[str, float] = {}
     for key in keys:
         samples = []
@@ -73,7 +71,6 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "runs": runs,
         "cpus": cpus,
-        "load_seconds": round(LOAD_SECONDS.get(sf_dir, 0.0), 3),
     }))
     spark.stop()
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recurra.functions import notebook_tenure_months, ratio
+from recurra.session import freeze
 
 REFERENCE_BASELINE = "2026-01-01"
 
@@ -50,18 +51,17 @@ def n3_feature_matrix(s: DataFrame, u: DataFrame, pu: DataFrame, t: DataFrame, p
                       baseline: str = REFERENCE_BASELINE) -> DataFrame:
     """One row per subscription with user attributes and the per-user features.
 
-    Every feature table is aggregated per user before the left joins, so each
-    join side has at most one row per user (hot users cannot fan out).
+    Every feature table is aggregated per user, and the aggregates are joined with each
+    other (one row per user on every side) and stored. The subscriptions then meet them in
+    a single join of two exchanges, the shape in which adaptive execution splits a hot user.
     Defaults for users without rows: counts 0, response 24.0 h, resolution 48.0 h.
     """
     base = s.select("user_id", "subscription_id", "plan_id",
                     F.col("monthly_price").cast("double").alias("monthly_price"), "status",
                     notebook_tenure_months("start_date", "end_date", baseline).alias("tenure_months"))
-    m = (base.join(u.select("user_id", "company_size", "region", "acquisition_channel"),
-                   "user_id", "left")
-         .join(n3_usage_feat(pu), "user_id", "left")
-         .join(n3_ticket_feat(t), "user_id", "left")
-         .join(n3_payment_feat(p), "user_id", "left"))
+    m = _with_user_features(base, [
+        u.select("user_id", "company_size", "region", "acquisition_channel"),
+        n3_usage_feat(pu), n3_ticket_feat(t), n3_payment_feat(p)])
     m = m.fillna({"total_features_used": 0, "total_usage_events": 0, "total_active_minutes": 0,
                   "avg_active_minutes_per_event": 0.0, "total_support_tickets": 0,
                   "avg_first_response_hours": 24.0, "avg_resolution_hours": 48.0,
@@ -70,6 +70,14 @@ def n3_feature_matrix(s: DataFrame, u: DataFrame, pu: DataFrame, t: DataFrame, p
     return m.withColumn("is_churned", (F.col("status") == "Churned").cast("int"))
 
 
+def _with_user_features(base: DataFrame, per_user: list[DataFrame]) -> DataFrame:
+    """``base`` left-joined with tables of one row per user, in one join."""
+    together = per_user[0]
+    for features in per_user[1:]:
+        together = together.join(features, "user_id", "full")
+    return base.join(freeze(together.where(F.col("user_id").isNotNull())), "user_id", "left")
+
+
 FEATURE_MATRIX_NUMERIC = (
     "user_id", "subscription_id", "plan_id", "monthly_price", "tenure_months",
     "total_features_used", "total_usage_events", "total_active_minutes",
@@ -86,5 +94,5 @@ def n5_model_matrix(s: DataFrame, pu: DataFrame, t: DataFrame) -> DataFrame:
     base = s.select("user_id", "subscription_id",
                     F.col("monthly_price").cast("double").alias("monthly_price"),
                     (F.col("status") == "Churned").cast("int").alias("is_churned"))
-    # whole-frame fill after each merge, as in the notebook
-    return base.join(usage, "user_id", "left").fillna(0).join(tickets, "user_id", "left").fillna(0)
+    # whole-frame fill, as in the notebook
+    return _with_user_features(base, [usage, tickets]).fillna(0)

@@ -22,21 +22,30 @@ MODEL_FEATURES = ("monthly_price", "total_events", "active_minutes", "total_tick
 def n5_split(df: DataFrame, *, label: str = "is_churned", id_col: str = "subscription_id",
              test: float = 0.3, seed: int = 42) -> DataFrame:
     """Stratified, deterministic hold-out: within each class rows are ordered by a
-    seeded hash of the id (then the id); the first ceil(test * n_class) are 'test'.
+    seeded MD5 of the id (then the id) and the first ones are 'test'. Together they are
+    ceil(test * n) rows; a class takes its share by largest remainder (ties: smaller label).
 
     Only the narrow (class, hash, id) keys are numbered (range-partitioned global
     numbering minus the class offset); that yields one cut-off (hash, id) per class,
     which is broadcast (one row per class) and compared on every row -- the wide
     feature rows are never shuffled or sorted.
     """
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     keys = df.select(F.col(label).alias("_y"), h.alias("_h"), F.col(id_col).alias("_id"))
     ranked = global_row_number(keys, [F.col("_y"), F.col("_h"), F.col("_id")], out="_rank")
     counts = keys.groupBy("_y").agg(F.count(F.lit(1)).alias("_n"))      # one row per class
-    offsets = counts.select("_y", "_n", F.coalesce(F.sum("_n").over(
-        W.orderBy("_y").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    share = F.round(F.col("_n") * test, 9)
+    whole = W.partitionBy(F.lit(1))                                        # over the few classes
+    offsets = counts.select(
+        "_y", F.floor(share).alias("_base"), (share - F.floor(share)).alias("_rest"),
+        F.ceil(F.round(F.sum("_n").over(whole) * test, 9)).alias("_want"),
+        F.coalesce(F.sum("_n").over(W.orderBy("_y").rowsBetween(W.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"))
+    spare = F.col("_want") - F.sum("_base").over(whole)
+    place = F.row_number().over(W.orderBy(F.desc("_rest"), "_y"))
+    offsets = offsets.select("_y", "_off", (F.col("_base") + (place <= spare).cast("int")).alias("_take"))
     cut = (ranked.join(F.broadcast(offsets), "_y")
-           .where(F.col("_rank") - F.col("_off") == F.ceil(F.col("_n") * test))
+           .where(F.col("_rank") - F.col("_off") == F.col("_take"))
            .select(F.col("_y").alias(label), F.col("_h").alias("_cut_h"),
                    F.col("_id").alias("_cut_id")))
     in_test = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id")))

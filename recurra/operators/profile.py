@@ -52,9 +52,16 @@ TICKET_PRIORITY_COLUMNS = ("High", "Low", "Medium")   # crosstab column order (s
 
 
 def n4_ticket_xtab(t: DataFrame, priorities: Sequence[str] = TICKET_PRIORITY_COLUMNS) -> DataFrame:
-    """Category x priority ticket counts, 0 where absent (explicit pivot values: one pass)."""
-    return (t.groupBy("category").pivot("priority", list(priorities)).count()
-            .fillna(0).orderBy("category"))
+    """Category x priority ticket counts, 0 where absent (explicit pivot values: one pass).
+
+    A ticket with a NULL priority or one outside ``priorities`` counts under "other"; that
+    column is only there when such tickets exist.
+    """
+    listed = F.when(F.col("priority").isin(*priorities), F.col("priority")).otherwise("other")
+    wide = (t.withColumn("priority", listed).groupBy("category")
+            .pivot("priority", [*priorities, "other"]).count().fillna(0))
+    unlisted = t.where(F.col("priority").isNull() | ~F.col("priority").isin(*priorities))
+    return (wide.drop("other") if unlisted.isEmpty() else wide).orderBy("category")
 
 
 def prof_shape(tables: dict[str, DataFrame]) -> DataFrame:

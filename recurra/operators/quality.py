@@ -222,6 +222,16 @@ def val_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def val_empty(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows, is_empty) by plain counts."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", (F.col("row_count") == 0).alias("is_empty"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def val_status(tables: dict[str, DataFrame]) -> DataFrame:
     """One row: number of failing tables and the overall pass flag."""
     v = val_tables(tables)

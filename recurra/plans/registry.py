@@ -26,19 +26,20 @@ from recurra.operators import (
     support,
 )
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
-from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, StoredModel
-from recurra.sources.load import load_model
+from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
+from recurra.sources.load import stored_folder
 from recurra.streaming import kpis as stream_kpis
 
 Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
 
 
-def model(spark: SparkSession, sf_dir: str) -> StoredModel:
-    """The canonical tables for ``sf_dir``, loaded once per process (see sources.load)."""
+def model(spark: SparkSession, sf_dir: str) -> BoundModel:
+    """The canonical tables for ``sf_dir``, derived lazily: a query reads and computes only
+    the tables and columns it uses, and writes nothing. ``sources.load`` stores them."""
     apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
-    return load_model(spark, sf_dir)
+    return BoundModel(spark, sf_dir)
 
 
 def as_output(df: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def as_output(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def _o(fn: Callable[[StoredModel], DataFrame]) -> Query:
+def _o(fn: Callable[[BoundModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return as_output(fn(model(spark, sf_dir)))
     run.__doc__ = fn.__doc__
@@ -95,28 +96,28 @@ RULE_KEYS = {"aud_not_null": "not_null", "aud_unique": "unique", "aud_domain": "
              "aud_range": "range", "aud_length": "length"}
 
 
-def _rules(m: StoredModel, kind: str) -> DataFrame:
+def _rules(m: BoundModel, kind: str) -> DataFrame:
     return quality.audit_model(m.tables(), kinds=(kind,))
 
 
-def _split(m: StoredModel) -> DataFrame:
+def _split(m: BoundModel) -> DataFrame:
     return ml.n5_split(features.n5_model_matrix(m.subscriptions, m.product_usage,
                                                 m.support_tickets))
 
 
-def _fit(m: StoredModel):
+def _fit(m: BoundModel):
     data = _split(m)
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
     return ml.n5_random_forest(train), test
 
 
-def _pred(m: StoredModel) -> DataFrame:
+def _pred(m: BoundModel) -> DataFrame:
     model_, test = _fit(m)
     return ml.predictions(model_, test)
 
 
-def _matrix(m: StoredModel) -> DataFrame:
+def _matrix(m: BoundModel) -> DataFrame:
     return features.n3_feature_matrix(m.subscriptions, m.users, m.product_usage,
                                       m.support_tickets, m.payments, baseline=A)
 
@@ -125,8 +126,7 @@ def quality_queries() -> dict[str, Query]:
     q = {
         "cln_generic": _o(lambda m: cleaning.cln_generic(m.dirty_payments)),
         "cln_subs": _o(lambda m: cleaning.cln_subs(m.dirty_subscriptions)),
-        "val_empty": _o(lambda m: quality.val_tables(m.tables())
-                        .select("table_name", "row_count", "is_empty")),
+        "val_empty": _o(lambda m: quality.val_empty(m.tables())),
         "val_dup_rows": _o(lambda m: quality.val_tables(m.tables())
                            .select("table_name", "duplicate_full_rows")),
         "val_status": _o(lambda m: quality.val_status(m.tables())),
@@ -231,14 +231,13 @@ def extension_queries() -> dict[str, Query]:
         "x_trend_forecast": _o(lambda m: extensions.x_trend_forecast(
             kpis.kpi_monthly_paid(m.payments))),
         # Structured Streaming over the stored tables' Parquet folders (availableNow)
-        "x_stream_kpis": _o(lambda m: stream_kpis.run_available_now(
-            m.spark, stream_kpis.start_daily_paid, f"{m.root}/payments",
-            lateness="0 seconds")),
+        "x_stream_kpis": _o(lambda m: stream_kpis.run_daily_totals(
+            m.spark, stored_folder(m, "payments"))),
         "x_stream_ticket_alert": _o(lambda m: stream_kpis.run_available_now(
-            m.spark, stream_kpis.start_ticket_alerts, f"{m.root}/support_tickets",
+            m.spark, stream_kpis.start_ticket_alerts, stored_folder(m, "support_tickets"),
             m.subscriptions, m.plans)),
         "x_stream_ticket_state": _o(lambda m: stream_kpis.run_available_now(
-            m.spark, stream_kpis.start_stateful_ticket_alerts, f"{m.root}/support_tickets",
+            m.spark, stream_kpis.start_stateful_ticket_alerts, stored_folder(m, "support_tickets"),
             m.subscriptions, m.plans).withColumn(
                 "created_date", F.col("created_date").cast("timestamp_ntz"))),
     }

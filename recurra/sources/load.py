@@ -1,8 +1,9 @@
 """Load step: derive the canonical tables once and store them as Parquet.
 
-Mirrors the reference's pipeline (files -> load -> query the loaded tables):
-the bound test tables are written once per process under the session's shared
-checkpoint folder and every query then scans the stored canonical tables.
+An explicit step for callers that run many queries over one input (files -> load ->
+query the loaded tables). The registered queries do not need it: they derive the tables
+they use from the given files. Streams read a folder of files, so a stream's one source
+table is stored by ``stored_folder``.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,17 +34,30 @@ def _fingerprint(sf_dir: str, as_of: str) -> str:
 
 
 def load_model(spark: SparkSession, sf_dir: str, as_of: str = TEST_AS_OF) -> StoredModel:
-    """Canonical tables for ``sf_dir``: written once per (checkpoint dir, input), then read."""
+    """Canonical tables for ``sf_dir``: written once per (checkpoint dir, input state), then
+    read. Every load writes a folder of its own, so no other process's tables change."""
     ckpt = ensure_checkpoint_dir(spark)
-    key = (ckpt, os.path.abspath(sf_dir), as_of)
+    key = (ckpt, _fingerprint(sf_dir, as_of), as_of)
     if key not in _LOADED:
         t0 = time.perf_counter()
-        root = f"{ckpt.rstrip('/')}/recurra-model/{_fingerprint(sf_dir, as_of)}"
+        root = f"{ckpt.rstrip('/')}/recurra-model/{key[1]}-{uuid.uuid4().hex}"
         bound = BoundModel(spark, sf_dir, as_of)
-        for name, df in bound.tables().items():
-            if name in SORT_WITHIN:            # local sort, no shuffle: tight row-group
-                df = df.sortWithinPartitions(SORT_WITHIN[name])   # min/max for date filters
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
+        for name in bound.tables():
+            _write(bound, name, f"{root}/{name}")
         _LOADED[key] = StoredModel(spark, root)
         LOAD_SECONDS[sf_dir] = time.perf_counter() - t0
     return _LOADED[key]
+
+
+def _write(model: BoundModel, name: str, path: str) -> None:
+    df = getattr(model, name)
+    if name in SORT_WITHIN:                    # local sort, no shuffle: tight row-group
+        df = df.sortWithinPartitions(SORT_WITHIN[name])   # min/max for date filters
+    df.write.parquet(path)
+
+
+def stored_folder(model: BoundModel, name: str) -> str:
+    """One canonical table written to a new folder: the source of a file stream."""
+    path = f"{ensure_checkpoint_dir(model.spark).rstrip('/')}/recurra-source/{uuid.uuid4().hex}/{name}"
+    _write(model, name, path)
+    return path

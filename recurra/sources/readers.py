@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
@@ -81,8 +82,8 @@ def src_table(spark: SparkSession, name: str, database: str | None = None) -> Da
 
 
 def src_model(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Load the canonical tables in dependency order; a missing table is skipped with
-    a warning (like the loader's per-table try/except)."""
+    """Load the canonical tables in dependency order; a table whose path does not exist is
+    skipped with a warning, any other fault is raised."""
     present = {table_name_of(p) for p in list_files(spark, directory, f"*.{fmt}")} \
         if fmt == "csv" else None
     out: dict[str, DataFrame] = {}
@@ -93,8 +94,10 @@ def src_model(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str
             continue
         try:
             df = src_csv(spark, path, spec) if fmt == "csv" else spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001 -- skip the table, keep loading the rest
-            log.warning("table %s: %s", name, e)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":     # any other fault is the caller's to see
+                raise
+            log.warning("table %s: %s not found, skipped", name, path)
             continue
         out[name] = src_coerce(df, LOAD_COERCIONS.get(name, {}))
     return out

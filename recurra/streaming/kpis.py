@@ -1,6 +1,7 @@
 """Structured Streaming: incremental paid revenue and Enterprise ticket alerts.
 
-* ``daily_paid``: watermarked 1-day event-time windows of Paid inflow;
+* ``daily_paid``: watermarked 1-day event-time windows of Paid inflow (a day is emitted once);
+* ``daily_totals``: the running total of every day, complete after each trigger;
 * ``ticket_alerts``: stream-static semi join of streamed tickets with the accounts
   of a plan segment;
 * ``stateful_ticket_alerts``: a per-ticket state machine (applyInPandasWithState,
@@ -13,19 +14,26 @@ sink with a checkpoint, so a restarted query continues where it stopped.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recurra.operators.extensions import segment_users
-from recurra.session import apply_sql_conf
+from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.schema import PAYMENTS, SUPPORT_TICKETS
 
 
-def payments_stream(spark: SparkSession, source_dir: str, max_files: int = 64) -> DataFrame:
+def payments_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
+    """``max_files`` bounds a micro-batch. A watermarked stream over files that are not in
+    time order must leave it unset: rows older than the watermark of an earlier batch
+    are dropped."""
     apply_sql_conf(spark)
-    return (spark.readStream.schema(PAYMENTS.schema).option("maxFilesPerTrigger", max_files)
-            .parquet(source_dir))
+    reader = spark.readStream.schema(PAYMENTS.schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(source_dir)
 
 
 def daily_paid(stream: DataFrame, *, lateness: str = "3 days") -> DataFrame:
@@ -45,6 +53,30 @@ def daily_paid(stream: DataFrame, *, lateness: str = "3 days") -> DataFrame:
             .select(F.to_date(F.col("w.start")).alias("sale_day"), "inflow", "payments"))
 
 
+def daily_totals(stream: DataFrame) -> DataFrame:
+    """Paid inflow of every day so far. There is no watermark, so no row is ever late and
+    the newest day is there too; the state is one row per calendar day."""
+    return (stream.where(F.col("payment_status") == "Paid")
+            .groupBy(F.to_date("payment_date").alias("sale_day"))
+            .agg(F.sum(F.col("amount").cast("decimal(38,2)")).alias("inflow"),
+                 F.count(F.lit(1)).alias("payments")))
+
+
+def run_daily_totals(spark: SparkSession, source_dir: str, *, max_files: int | None = None) -> DataFrame:
+    """Drain what is in ``source_dir`` now and return the totals of every day: equal to the
+    batch result, in however many micro-batches and whatever order the files come. The
+    complete-mode result (one row per calendar day) is held as an in-memory table."""
+    name = f"daily_totals_{uuid.uuid4().hex}"
+    state = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recurra-stream/{uuid.uuid4().hex}"
+    q = (daily_totals(payments_stream(spark, source_dir, max_files)).writeStream
+         .format("memory").queryName(name).outputMode("complete")
+         .option("checkpointLocation", state).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.table(name)
+
+
 def start_daily_paid(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                      *, available_now: bool = True, lateness: str = "3 days") -> StreamingQuery:
     """Daily paid inflow from a directory of payments Parquet files into a Parquet sink."""
@@ -79,17 +111,16 @@ def start_ticket_alerts(spark: SparkSession, source_dir: str, s: DataFrame, pl:
     return q.start()
 
 
-def run_available_now(spark: SparkSession, start, *args, timeout_s: int = 3600,
+def run_available_now(spark: SparkSession, start, *args, timeout_s: int | None = None,
                       **kwargs) -> DataFrame:
     """Run a stream over everything currently in its source and return the sink
     contents. Sink and stream checkpoint live in a fresh folder under the shared
-    checkpoint dir."""
-    import uuid
-
-    from recurra.session import ensure_checkpoint_dir
+    checkpoint dir. ``timeout_s`` is unset by default: draining takes as long as it takes."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recurra-stream/{uuid.uuid4().hex}"
     q = start(spark, *args, sink_dir=f"{base}/out", checkpoint_dir=f"{base}/state", **kwargs)
-    if not q.awaitTermination(timeout_s):
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not drain its source within {timeout_s}s")
     if q.exception() is not None:

@@ -1,5 +1,7 @@
 """Distributed operators vs their single-task definitions, and model invariants."""
 
+import hashlib
+import math
 import random
 
 import pytest
@@ -151,13 +153,58 @@ def test_split_matches_per_class_rank_definition(spark):
     rnd = random.Random(9)
     df = spark.createDataFrame([(i, int(rnd.random() < 0.3), rnd.random()) for i in range(997)],
                                "subscription_id long, is_churned int, x double")
-    got = ml.n5_split(df, test=0.3, seed=42).select("subscription_id", "split")
-    h = F.xxhash64(F.col("subscription_id"), F.lit(42))
-    w = W.partitionBy("is_churned").orderBy(h, "subscription_id")
-    n = F.count(F.lit(1)).over(W.partitionBy("is_churned"))
-    ref = df.select("subscription_id", F.when(F.row_number().over(w) <= F.ceil(n * 0.3), "test")
-                    .otherwise("train").alias("split"))
-    assert sorted(rows(got)) == sorted(rows(ref))
+    got = dict(rows(ml.n5_split(df, test=0.3, seed=42).select("subscription_id", "split")))
+    classes = {}
+    for r in df.collect():
+        classes.setdefault(r.is_churned, []).append(r.subscription_id)
+    total = math.ceil(997 * 0.3)
+    take = {c: int(len(ids) * 0.3) for c, ids in classes.items()}
+    spare = sorted(classes, key=lambda c: (-(len(classes[c]) * 0.3 % 1), c))[:total - sum(take.values())]
+    for c, ids in classes.items():
+        ordered = sorted(ids, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+        n = take[c] + (c in spare)
+        assert {got[i] for i in ordered[:n]} == {"test"} and {got[i] for i in ordered[n:]} == {"train"}
+    assert sum(v == "test" for v in got.values()) == total
+
+
+def test_feature_join_splits_a_hot_user(spark):
+    """70 % of the subscriptions on one user: the one join of the matrix is skew-split."""
+    from helpers import table
+    from recurra.operators import features
+    n = 60_000
+    s = (spark.range(n).select(
+        F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id")).alias("user_id"), F.col("id").alias("subscription_id"),
+        F.lit(1).alias("plan_id"), F.lit(10).cast("decimal(10,2)").alias("monthly_price"),
+        F.lit("Active").alias("status"), F.lit("2025-01-01").cast("date").alias("start_date"),
+        F.lit(None).cast("date").alias("end_date")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        empty = {t: table(spark, t, []) for t in ("users", "product_usage", "support_tickets", "payments")}
+        users = spark.range(n).select(F.col("id").alias("user_id"), F.lit("S").alias("company_size"),
+                                      F.lit("EU").alias("region"), F.lit("x").alias("acquisition_channel"))
+        m = features.n3_feature_matrix(s, users, empty["product_usage"], empty["support_tickets"], empty["payments"])
+        spread = m.repartition(4, "subscription_id")
+        assert spread.count() == n
+        spread.collect()
+        assert "skew=true" in spread._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_xtab_counts_unlisted_priorities(spark):
+    from helpers import table, ts
+    t = table(spark, "support_tickets", [
+        {"ticket_id": i, "user_id": 1, "created_date": ts("2025-01-01 00:00:00"), "category": "Billing",
+         "priority": p} for i, p in enumerate(["High", "High", "Urgent", None])])
+    assert profile.n4_ticket_xtab(t).first().asDict() == {
+        "category": "Billing", "High": 2, "Low": 0, "Medium": 0, "other": 2}
 
 
 def test_describe_exact_and_approximate_agree(spark):

@@ -27,6 +27,20 @@ def test_stream_daily_paid_equals_batch(spark, tmp_path):
     assert a == b and len(a) > 100
 
 
+def test_daily_totals_equal_batch_whatever_the_files(spark, tmp_path):
+    m = BoundModel(spark, SF)
+    src = str(tmp_path / "in")
+    m.payments.repartition(70).write.parquet(src)          # unordered days in every file
+    batch = sorted((r.sale_day, r.inflow, r.payments) for r in (
+        m.payments.where(F.col("payment_status") == "Paid")
+        .groupBy(F.to_date("payment_date").alias("sale_day"))
+        .agg(F.sum(F.col("amount").cast("decimal(38,2)")).alias("inflow"),
+             F.count(F.lit(1)).alias("payments"))).collect())
+    for max_files in (None, 16):
+        got = stream.run_daily_totals(spark, src, max_files=max_files)
+        assert sorted((r.sale_day, r.inflow, r.payments) for r in got.collect()) == batch
+
+
 def test_stream_ticket_alerts_equal_batch(spark, tmp_path):
     m = BoundModel(spark, SF)
     src = str(tmp_path / "tickets")
