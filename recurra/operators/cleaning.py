@@ -12,14 +12,15 @@ def first_id_column(df: DataFrame) -> str | None:
 
 
 def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per ``key``: the first in ``order``.
+    """One row per ``key``: the first in ``order``, then in the order of all its columns, so
+    that rows tied on ``order`` give the same row on every run.
 
     Uses ``min_by`` over a struct of the row -- an aggregate with map-side partial
     combining -- so a key with very many copies never gathers in a single task
     (a ``row_number`` window would).
     """
     rest = [c for c in df.columns if c != key]
-    ordering = F.struct(*[F.col(c) for c in order])
+    ordering = F.struct(*[F.col(c) for c in [*order, *[c for c in rest if c not in order]]])
     picked = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_r"))
     return picked.select(key, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recurra.functions import pg_round, ratio
+from recurra.session import freeze
 
 
 def n1_value_counts(u: DataFrame, cols: Sequence[str] = ("acquisition_channel", "region",
@@ -80,119 +82,128 @@ def cat_rowcounts(tables: dict[str, DataFrame]) -> DataFrame:
     return prof_shape(tables).select("table_name", "row_count").orderBy("table_name")
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Unpivot numeric columns to (column_name, v), non-null values only."""
-    return (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("kv")).select("kv.column_name", "kv.v").where(F.col("v").isNotNull()))
+# Values inside one quantile's bracket that the last step may order in one task.
+REFINED_VALUES = 1_000_000
 
 
-def _refined_quantiles(long: DataFrame, sketch: DataFrame, probs: Sequence[float],
-                       accuracy: int) -> DataFrame:
-    """Exact linear-interpolated quantiles from a sketch bracket (two passes, no sort).
+def _brackets(values: list[float] | None, probes: list[float], q: float, width: float) -> tuple[float, float]:
+    """Approximate values at q -/+ width; the ends of the range reach to infinity."""
+    low = float("-inf") if q - width <= 0 else values[probes.index(q - width)]
+    high = float("inf") if q + width >= 1 else values[probes.index(q + width)]
+    return low, high
 
-    ``sketch`` holds per column ``n`` and ``_pa`` = percentile_approx at the probe
-    list of ``_probes(probs, accuracy)``. The approximate values at q -/+ 5/accuracy
-    bracket the exact ranks (the sketch's rank error is at most n/accuracy); small
-    columns (n < 10 * accuracy) use the whole range. A second scan counts values
-    below the lower bracket and reduces the values inside it to distinct-value
-    counts (combined map-side, so ties collapse); a running sum over those few
-    values gives every value's rank span. If a bracket ever misses its ranks the
-    query fails instead of returning a wrong number.
+
+def _probes(probs: Sequence[float], width: float) -> list[float]:
+    return sorted({max(0.0, q - width) for q in probs} | {min(1.0, q + width) for q in probs})
+
+
+def _exact(m: DataFrame, counts: dict[str, int], sketch: dict[str, list[float] | None],
+           probs: Sequence[float], accuracy: int) -> dict[tuple[str, float], float | None]:
+    """Exact linear-interpolated quantiles of the columns of ``m`` (a stored table).
+
+    A sketch's values around a quantile bracket its exact ranks. One wide aggregate counts
+    the values below and inside each bracket; while some bracket holds more than
+    ``REFINED_VALUES`` values, a sketch of the values inside narrows it. Then only the
+    values inside are unpivoted and counted by value, and a running count per bracket
+    finds the two ranks. The same steps run at every size; a bracket that misses its
+    ranks is an error, never a wrong number.
     """
-    probes = _probes(probs, accuracy)
-    small = F.col("n") < 10 * accuracy
-    lo_inf, hi_inf = F.lit(float("-inf")), F.lit(float("inf"))
-    specs = []
-    for q in probs:
-        lo_i, hi_i = probes.index(max(0.0, q - 5.0 / accuracy)), probes.index(min(1.0, q + 5.0 / accuracy))
-        lower = lo_inf if q - 5.0 / accuracy <= 0 else F.col("_pa")[lo_i]
-        upper = hi_inf if q + 5.0 / accuracy >= 1 else F.col("_pa")[hi_i]
-        specs.append(F.struct(F.lit(float(q)).alias("q"),
-                              F.when(small, lo_inf).otherwise(lower).alias("L"),
-                              F.when(small, hi_inf).otherwise(upper).alias("U")))
-    pos = (F.col("n") - 1).cast("double") * F.col("q")
-    bounds = (sketch.select("column_name", "n", F.explode(F.array(*specs)).alias("b"))
-              .select("column_name", "n", "b.q", "b.L", "b.U")
-              .withColumn("lo", F.floor(pos)).withColumn("hi", F.ceil(pos))
-              .withColumn("frac", pos - F.floor(pos)))
-    x = long.join(F.broadcast(bounds), "column_name")        # columns x probs rows
-    below = x.groupBy("column_name", "q").agg(
-        F.sum(F.when(F.col("v") < F.col("L"), 1).otherwise(0)).alias("below"))
-    inside = (x.where((F.col("v") >= F.col("L")) & (F.col("v") <= F.col("U")))
-              .groupBy("column_name", "q", "v").agg(F.count(F.lit(1)).alias("c")))
-    run = W.partitionBy("column_name", "q").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    spans = (inside.join(below, ["column_name", "q"])
-             .withColumn("end", F.col("below") + F.sum("c").over(run))
-             .withColumn("start", F.col("end") - F.col("c"))
-             .join(F.broadcast(bounds.select("column_name", "q", "lo", "hi", "frac")),
-                   ["column_name", "q"]))
-    covers = lambda r: (F.col("start") <= F.col(r)) & (F.col(r) < F.col("end"))
-    picked = spans.groupBy("column_name", "q", "frac").agg(
-        F.max(F.when(covers("lo"), F.col("v"))).alias("v_lo"),
-        F.max(F.when(covers("hi"), F.col("v"))).alias("v_hi"))
-    checked = F.when(F.col("v_lo").isNull() | F.col("v_hi").isNull(),
-                     F.raise_error(F.lit("quantile bracket missed its ranks; raise accuracy")))
-    return picked.select("column_name", "q", F.coalesce(
-        checked.cast("double"),
-        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))
-
-
-def _probes(probs: Sequence[float], accuracy: int) -> list[float]:
-    d = 5.0 / accuracy
-    return sorted({max(0.0, q - d) for q in probs} | {min(1.0, q + d) for q in probs})
+    width = 5.0 / accuracy
+    probes = _probes(probs, width)
+    box = {(c, q): _brackets(sketch[c], probes, q, width) for c in counts for q in probs if counts[c]}
+    ranks = {(c, q): (counts[c] - 1) * q for c, q in box}
+    if not box:
+        return {}
+    keys = list(box)
+
+    def inside(k):
+        v = F.col(k[0])
+        return v.isNotNull() & (v >= F.lit(box[k][0])) & (v <= F.lit(box[k][1]))
+
+    while True:
+        row = m.agg(*[F.coalesce(F.sum((F.col(k[0]) < F.lit(box[k][0])).cast("long")), F.lit(0)).alias(f"b{i}")
+                      for i, k in enumerate(keys)],
+                    *[F.coalesce(F.sum(inside(k).cast("long")), F.lit(0)).alias(f"n{i}")
+                      for i, k in enumerate(keys)]).first()
+        below = {k: row[f"b{i}"] for i, k in enumerate(keys)}
+        held = {k: row[f"n{i}"] for i, k in enumerate(keys)}
+        wide = [k for k in keys if held[k] > REFINED_VALUES and box[k][0] < box[k][1]]
+        if not wide:
+            break
+        at = {k: [min(1.0, max(0.0, (r - below[k]) / held[k] + s)) for r, s in (
+            (math.floor(ranks[k]), -width), (math.ceil(ranks[k]), width))] for k in wide}
+        narrow = m.agg(*[F.percentile_approx(F.when(inside(k), F.col(k[0])), at[k], accuracy).alias(f"p{i}")
+                         for i, k in enumerate(wide)]).first()
+        new = {k: (box[k][0] if at[k][0] == 0 else narrow[f"p{i}"][0],
+                   box[k][1] if at[k][1] == 1 else narrow[f"p{i}"][1]) for i, k in enumerate(wide)}
+        if all(new[k] == box[k] for k in wide):
+            break                                   # ties: few distinct values inside
+        box.update(new)
+
+    picked = F.array(*[F.when(inside(k), F.struct(F.lit(i).alias("i"), F.col(k[0]).alias("v")))
+                       for i, k in enumerate(keys)])
+    values = (m.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("x"))
+              .groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")))
+    base = F.element_at(F.array(*[F.lit(int(below[k])) for k in keys]), F.col("i") + 1)
+    lo = F.element_at(F.array(*[F.lit(int(math.floor(ranks[k]))) for k in keys]), F.col("i") + 1)
+    hi = F.element_at(F.array(*[F.lit(int(math.ceil(ranks[k]))) for k in keys]), F.col("i") + 1)
+    run = W.partitionBy("i").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    spans = (values.withColumn("end", base + F.sum("n").over(run)).withColumn("start", F.col("end") - F.col("n")))
+
+    def at_rank(r):
+        return F.max(F.when((F.col("start") <= r) & (r < F.col("end")), F.col("v")))
+
+    found = {r.i: r for r in spans.groupBy("i").agg(at_rank(lo).alias("lo"), at_rank(hi).alias("hi")).collect()}
+    out = {}
+    for i, k in enumerate(keys):
+        r = found.get(i)
+        if r is None or r.lo is None or r.hi is None:
+            raise RuntimeError(f"quantile bracket of {k} missed its ranks; raise accuracy")
+        out[k] = r.lo + (r.hi - r.lo) * (ranks[k] - math.floor(ranks[k]))
+    return out
+
+
+def _one_pass(m: DataFrame, cols: Sequence[str], probes: Sequence[float], accuracy: int):
+    """Moments and a quantile sketch of every column, as one wide aggregate (one row)."""
+    return m.agg(*[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                            F.min(c).alias("min"), F.max(c).alias("max"),
+                            F.percentile_approx(c, list(probes), accuracy).alias("pa")).alias(c)
+                   for c in cols]).first()
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str],
                     probs: Sequence[float] = (0.25, 0.5, 0.75), *,
                     accuracy: int = 10_000) -> DataFrame:
-    """Exact linear-interpolated quantiles (as pandas / quantile_cont) per column,
-    by sketch bracketing and refinement -- no global sort of the values.
-
-    The refinement window holds about 10 * n / ``accuracy`` values per quantile
-    (fewer after ties collapse); for billions of rows raise ``accuracy`` to about
-    n / 1e5 so each window stays around a million values.
-    """
-    long = _long(df, cols)
-    sketch = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("v", _probes(probs, accuracy), accuracy).alias("_pa"))
-    return _refined_quantiles(long, sketch, probs, accuracy)
+    """(column_name, q, value): exact linear-interpolated quantiles (as pandas /
+    quantile_cont) per column, without a global sort of the values. The input's numeric
+    columns are stored once and read once per step."""
+    m = freeze(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    row = _one_pass(m, cols, _probes(probs, 5.0 / accuracy), accuracy)
+    got = _exact(m, {c: row[c]["n"] for c in cols}, {c: row[c]["pa"] for c in cols}, probs, accuracy)
+    return df.sparkSession.createDataFrame([(c, float(q), got[c, q]) for c, q in got],
+                                           "column_name string, q double, value double")
 
 
 def n3_describe(df: DataFrame, cols: Sequence[str], digits: int = 6, *,
-                exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+                exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """pandas-style describe(): count, mean, std (sample), min, 25/50/75 %, max per
     column (one row per column; values rounded to ``digits`` decimals).
 
-    exact=True (default, equals pandas): moments and quantile sketches in one
-    aggregation, then one refinement scan (see ``_refined_quantiles``) -- no global
-    sort. exact=False: the sketch values themselves (one pass).
+    The numeric columns are stored once. exact=True (default, equals pandas) adds the
+    refinement of ``_exact``; exact=False gives the sketch's quantiles. The result, one row
+    per column, is computed when this is called.
     """
-    long = _long(df, cols)
     probs = (0.25, 0.5, 0.75)
-    if not exact:
-        q = F.percentile_approx("v", list(probs), accuracy)
-        g = long.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), q.alias("_q"),
-            F.max("v").alias("max"))
-        g = g.select("column_name", "count", "mean", "std", "min",
-                     *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
-                     "max")
-        return g.select("column_name", "count",
-                        *[pg_round(c, digits).alias(c)
-                          for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
-    # pass 1: moments and the sketch in one aggregation; pass 2: refinement
-    stats = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile_approx("v", _probes(probs, accuracy), accuracy).alias("_pa"))
-    q = _refined_quantiles(long, stats.select("column_name", "n", "_pa"), probs, accuracy) \
-        .groupBy("column_name").agg(
-            *[F.max(F.when(F.col("q") == p, F.col("value"))).alias(name)
-              for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    out = stats.join(q, "column_name", "left")
-    return out.select("column_name", F.col("n").alias("count"),
-                      *[pg_round(c, digits).alias(c)
-                        for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+    m = freeze(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    probes = _probes(probs, 5.0 / accuracy) if exact else list(probs)
+    row = _one_pass(m, cols, probes, accuracy)
+    if exact:
+        got = _exact(m, {c: row[c]["n"] for c in cols}, {c: row[c]["pa"] for c in cols}, probs, accuracy)
+    else:
+        got = {(c, q): v for c in cols if row[c]["n"] for q, v in zip(probs, row[c]["pa"])}
+    data = [(c, row[c]["n"], row[c]["mean"], row[c]["std"], row[c]["min"],
+             *[got.get((c, q)) for q in probs], row[c]["max"]) for c in cols if row[c]["n"]]
+    names = ("mean", "std", "min", "p25", "p50", "p75", "max")
+    out = df.sparkSession.createDataFrame(
+        data, "column_name string, count long, " + ", ".join(f"{n} double" for n in names))
+    return out.select("column_name", "count", *[pg_round(n, digits).alias(n) for n in names])

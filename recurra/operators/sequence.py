@@ -51,7 +51,8 @@ def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str =
            .select(key, F.ceil(F.col("_n") / per_chunk).alias("_m"), "_t0",
                    (F.col("_t1") - F.col("_t0")).alias("_span")))
     width = (F.col("_span") + 1) / F.col("_m")
-    chunk = F.when(F.col("_m").isNull(), F.lit(0)).otherwise(
+    # NULLs of the leading order column sort first, so they belong to the first chunk
+    chunk = F.when(F.col("_m").isNull() | t.isNull(), F.lit(0)).otherwise(
         F.least(F.col("_m") - 1, F.floor((t - F.col("_t0")) / width))).cast("long")
     x = (df.join(F.broadcast(hot), key, "left")          # <= N rows: a proven bound
          .withColumn("_chunk", chunk))

@@ -42,6 +42,15 @@ def test_global_row_number_and_ntile_match_window(spark):
         assert sorted(rows(t)) == sorted(rows(r))
 
 
+def test_lag_with_nulls_in_a_hot_key(spark):
+    """NULLs of the leading order column come first for hot and other keys alike."""
+    data = [(0 if i < 600 else i % 50 + 1, None if i % 50 == 0 else i % 37, i, float(i)) for i in range(900)]
+    df = spark.createDataFrame(data, "k long, t long, id long, v double")
+    got = lag_within(df, "k", ["t", "id"], "v", num_partitions=8)
+    ref = df.withColumn("prev", F.lag("v").over(W.partitionBy("k").orderBy("t", "id")))
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, rows(ref)))
+
+
 def test_keep_first_matches_row_number_dedupe(spark):
     df = hot_key_frame(spark).withColumnRenamed("k", "x_id")
     got = cleaning.keep_first(df, "x_id", ["t", "id"])
@@ -50,8 +59,9 @@ def test_keep_first_matches_row_number_dedupe(spark):
     assert sorted(rows(got)) == sorted(rows(ref))
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 50])   # whole-range and bracketed paths
-def test_exact_quantiles_match_percentile(spark, accuracy):
+@pytest.mark.parametrize("accuracy,refined", [(10_000, 1_000_000), (50, 1_000_000), (50, 20)])
+def test_exact_quantiles_match_percentile(spark, monkeypatch, accuracy, refined):
+    monkeypatch.setattr(profile, "REFINED_VALUES", refined)      # 20: brackets are narrowed again
     df = hot_key_frame(spark)
     got = {(r.column_name, r.q): r.value
            for r in profile.exact_quantiles(df, ["v", "t"], (0.1, 0.25, 0.5, 0.9),
