@@ -26,7 +26,7 @@ def q21_decline_rate(p: DataFrame) -> DataFrame:
                     F.col("failed").cast("long").alias("failed_payments"),
                     pg_round(ratio(F.col("failed") * 100, F.col("payment_attempts")), 2)
                     .alias("payment_decline_rate_percent"))
-            .orderBy(F.desc("payment_decline_rate_percent")))
+            .orderBy(F.desc_nulls_first("payment_decline_rate_percent")))
 
 
 def k2_quality_profile(p: DataFrame, key: str = "payment_id") -> DataFrame:

@@ -57,7 +57,7 @@ def q09_churn_warning(s: DataFrame, pl: DataFrame, pu: DataFrame, *,
                     inactive.alias("inactive_days"))
             .withColumn("retention_risk_level", risk)
             # top-k: each task keeps its best ``limit`` rows, then one small merge
-            .orderBy(F.desc("inactive_days"), F.asc("total_events_last_30_days"),
+            .orderBy(F.desc_nulls_first("inactive_days"), F.asc("total_events_last_30_days"),
                      F.asc("subscription_id"))
             .limit(limit)
             .drop("subscription_id"))
@@ -77,7 +77,7 @@ def q16_churn_reasons(c: DataFrame) -> DataFrame:
         F.col("n").alias("churn_occurrences"),
         pg_round(ratio(F.col("n") * 100, total), 2).alias("churn_percentage"),
         pg_round(ratio("lost", "n_mrr"), 2).alias("average_lost_mrr"),
-    ).orderBy(F.desc("churn_occurrences"))
+    ).orderBy(F.desc_nulls_first("churn_occurrences"))
 
 
 def n4_channel_churn(s: DataFrame, u: DataFrame) -> DataFrame:
@@ -91,4 +91,4 @@ def n4_channel_churn(s: DataFrame, u: DataFrame) -> DataFrame:
                        F.sum("churned").cast("long").alias("churned_customers")))
     return by_channel.withColumn(
         "churn_rate", ratio("churned_customers", "total_customers") * 100
-    ).orderBy(F.desc("churn_rate"))
+    ).orderBy(F.desc_nulls_first("churn_rate"))

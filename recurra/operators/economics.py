@@ -81,7 +81,7 @@ def user_lifetime_spend(s: DataFrame, as_of: str = REFERENCE_AS_OF) -> DataFrame
 def q06_ltv_deciles(s: DataFrame, *, as_of: str = REFERENCE_AS_OF, n: int = 10) -> DataFrame:
     """Spend deciles (NTILE over all users by lifetime spend, desc; ties by user_id)."""
     per_user = user_lifetime_spend(s, as_of)
-    tiles = exact_ntile(per_user, n, [F.desc("ltv"), F.asc("user_id")], out="spend_decile")
+    tiles = exact_ntile(per_user, n, [F.desc_nulls_first("ltv"), F.asc("user_id")], out="spend_decile")
     by_tile = tiles.groupBy("spend_decile").agg(
         F.count("user_id").alias("subscriber_count"),
         F.sum("ltv").alias("rev"), F.count("ltv").alias("rev_n"))
@@ -104,7 +104,7 @@ def q08_tier_metrics(s: DataFrame, pl: DataFrame, *, as_of: str = REFERENCE_AS_O
         pg_round("price_sum", 2).alias("tier_monthly_revenue"),
         pg_round(_avg_price(), 2).alias("tier_arpu"),
         pg_round(_avg_tenure_months(), 1).alias("average_tenure_months"),
-    ).orderBy(F.desc("tier_monthly_revenue"))
+    ).orderBy(F.desc_nulls_first("tier_monthly_revenue"))
 
 
 def q12_outliers(s: DataFrame, pl: DataFrame, *, z: float = 2.0) -> DataFrame:
@@ -122,7 +122,7 @@ def q12_outliers(s: DataFrame, pl: DataFrame, *, z: float = 2.0) -> DataFrame:
                     pg_round("monthly_price", 2).alias("monthly_price"),
                     pg_round(stats["mu"], 2).alias("average_price_benchmark"),
                     pg_round(score, 2).alias("price_z_score"))
-            .orderBy(F.desc("monthly_price")))
+            .orderBy(F.desc_nulls_first("monthly_price")))
 
 
 def q15_segment_ltv(s: DataFrame, pl: DataFrame, *, as_of: str = REFERENCE_AS_OF) -> DataFrame:
@@ -136,7 +136,7 @@ def q15_segment_ltv(s: DataFrame, pl: DataFrame, *, as_of: str = REFERENCE_AS_OF
         pg_round(_avg_price(), 2, 6).alias("average_monthly_spend"),
         pg_round(_avg_tenure_months(), 1).alias("average_lifespan_months"),
         pg_round(_avg_price() * _avg_tenure_months(), 2, 6).alias("calculated_ltv"),
-    ).orderBy(F.desc("calculated_ltv"))
+    ).orderBy(F.desc_nulls_first("calculated_ltv"))
 
 
 def q20_size_tenure(s: DataFrame, u: DataFrame, *, as_of: str = REFERENCE_AS_OF) -> DataFrame:
@@ -149,7 +149,7 @@ def q20_size_tenure(s: DataFrame, u: DataFrame, *, as_of: str = REFERENCE_AS_OF)
         F.col("n").cast("long").alias("subscription_sample"),
         pg_round(_avg_tenure_months(), 1).alias("average_tenure_months"),
         pg_round(_avg_price(), 2).alias("average_monthly_price"),
-    ).orderBy(F.desc("average_tenure_months"))
+    ).orderBy(F.desc_nulls_first("average_tenure_months"))
 
 
 def q22_region_matrix(s: DataFrame, u: DataFrame) -> DataFrame:
@@ -170,4 +170,4 @@ def q22_region_matrix(s: DataFrame, u: DataFrame) -> DataFrame:
         pg_round(F.coalesce("mrr", F.lit(0)), 2).alias("total_active_mrr"),
         pg_round(ratio("mrr", "mrr_n"), 2).alias("arpu"),
         F.col("c").cast("long").alias("cumulative_churn_loss"),
-    ).orderBy(F.desc("total_active_mrr"))
+    ).orderBy(F.desc_nulls_first("total_active_mrr"))

@@ -79,7 +79,7 @@ def kpi_plan(p: DataFrame, pl: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("payments")))
     return (per_plan.join(pl.select("plan_id", "plan_name"), "plan_id")
             .select("plan_name", pg_round("m", 2).alias("mrr"), "customers", "payments")
-            .orderBy(F.desc("mrr")))
+            .orderBy(F.desc_nulls_first("mrr")))
 
 
 def kpi_usage(pu: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def kpi_usage(pu: DataFrame) -> DataFrame:
             .agg(F.sum("events").cast("long").alias("events"),
                  F.countDistinct("user_id").alias("users"),
                  F.sum("active_minutes").cast("long").alias("active_minutes"))
-            .orderBy(F.desc("events")))
+            .orderBy(F.desc_nulls_first("events")))
 
 
 def _months_active(as_of: str):

@@ -85,6 +85,13 @@ def d11_expansion(p: DataFrame, by=None) -> DataFrame:
                F.sum(F.when(keep, to_money("amount"))).cast("double").alias("expansion_revenue"))
 
 
+def subscription_cards(s: DataFrame, by=()) -> DataFrame:
+    """The subscription measures together under one filter context (``()``: grand total)."""
+    return _by(s, list(by), _mrr().cast("double").alias("mrr"), (_mrr() * 12).cast("double").alias("arr"),
+               _arpu().alias("arpu"), _churn_rate().alias("churn_rate"),
+               dax_divide(_arpu(), _churn_rate()).alias("ltv"), (F.lit(1.0) - _churn_rate()).alias("retention_rate"))
+
+
 def d04_mrr_growth(s: DataFrame) -> DataFrame:
     """MRR of each calendar month vs the month before (blank months count as 0)."""
     by_month = s.groupBy(start_month()).agg(_mrr().alias("mrr"))

@@ -55,7 +55,7 @@ def r3_plan_table(s: DataFrame, pl: DataFrame) -> DataFrame:
     return by_name.select(F.col("plan_name").alias("plan"),
                           F.col("logos").cast("long").alias("active_logos"),
                           pg_round("m", 2).alias("mrr"),
-                          pg_round(ratio("m", "m_n"), 2).alias("arpu")).orderBy(F.desc("mrr"))
+                          pg_round(ratio("m", "m_n"), 2).alias("arpu")).orderBy(F.desc_nulls_first("mrr"))
 
 
 def r4_last_months(p: DataFrame, *, n: int = 6) -> DataFrame:

@@ -125,7 +125,7 @@ def q19_arr_forecast(s: DataFrame, u: DataFrame, growth: float | str = "1.15") -
                     pg_round(F.col("mrr") * 12, 2).alias("current_arr"),
                     pg_round(F.col("mrr") * 12 * g, 2)
                     .alias("projected_1year_arr_with_15percent_growth"))
-            .orderBy(F.desc("current_arr")))
+            .orderBy(F.desc_nulls_first("current_arr")))
 
 
 def k1_monthly_records(p: DataFrame) -> DataFrame:

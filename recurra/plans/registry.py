@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from recurra.operators import (
     cleaning,
     cohort,
     economics,
+    etl,
     extensions,
     features,
     kpis,
@@ -27,7 +29,9 @@ from recurra.operators import (
 )
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
+from recurra.sources import readers, sinks
 from recurra.sources.load import stored_folder
+from recurra.sources.schema import TABLES
 from recurra.streaming import kpis as stream_kpis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +155,42 @@ def quality_queries() -> dict[str, Query]:
     return q
 
 
+def _folder(m: BoundModel) -> str:
+    """A new folder of the shared checkpoint storage for a round trip."""
+    return f"{ensure_checkpoint_dir(m.spark).rstrip('/')}/recurra-layer/{uuid.uuid4().hex}"
+
+
+def _csv_round_trip(m: BoundModel) -> DataFrame:
+    path = f"{_folder(m)}/support_tickets.csv"
+    sinks.snk_csv(m.support_tickets, path)
+    return readers.src_csv(m.spark, path, TABLES["support_tickets"])
+
+
+def _append_twice(m: BoundModel) -> DataFrame:
+    path = f"{_folder(m)}/subscriptions"
+    for _ in range(2):
+        sinks.snk_append(m.subscriptions, "subscriptions", path=path)
+    return m.spark.read.parquet(path)
+
+
+def _clean_layer(m: BoundModel) -> DataFrame:
+    """Payments after the whole chain: CSV layer, clean, write, read back."""
+    base = _folder(m)
+    tables = {"payments": m.dirty_payments, "subscriptions": m.dirty_subscriptions}
+    for name, df in tables.items():
+        sinks.snk_csv(df, f"{base}/raw/{name}.csv")
+    return etl.clean_layer(m.spark, f"{base}/raw", f"{base}/clean",
+                           {name: df.schema for name, df in tables.items()})["payments"]
+
+
+def source_queries() -> dict[str, Query]:
+    return {
+        "src_csv": _o(_csv_round_trip),
+        "snk_append": _o(_append_twice),
+        "etl_layer": _o(_clean_layer),
+    }
+
+
 def report_queries() -> dict[str, Query]:
     return {
         "r1_scorecard": _o(lambda m: report.r1_scorecard(m.subscriptions)),
@@ -169,6 +209,11 @@ def measure_queries() -> dict[str, Query]:
         "d01_mrr": _o(lambda m: measures.d01_mrr(m.subscriptions)),
         "d02_arr": _o(lambda m: measures.d02_arr(m.subscriptions)),
         "d03_arpu": _o(lambda m: measures.d03_arpu(m.subscriptions)),
+        "d_cards_total": _o(lambda m: measures.subscription_cards(m.subscriptions)),
+        "d_cards_by_plan": _o(lambda m: measures.subscription_cards(
+            m.subscriptions.join(m.plans.select("plan_id", "plan_name"), "plan_id"), ["plan_name"])),
+        "d_cards_by_region": _o(lambda m: measures.subscription_cards(
+            m.subscriptions.join(m.users.select("user_id", "region"), "user_id"), ["region"])),
         "d04_mrr_growth": _o(lambda m: measures.d04_mrr_growth(m.subscriptions)),
         "d05_churn_rate": _o(lambda m: measures.d05_churn_rate(m.subscriptions)),
         "d06_nrr_12m": _o(lambda m: measures.d06_nrr_12m(m.payments, m.churn_events)),
@@ -247,6 +292,7 @@ def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(business_queries())
     q.update(quality_queries())
+    q.update(source_queries())
     q.update(report_queries())
     q.update(measure_queries())
     q.update(kpi_queries())
