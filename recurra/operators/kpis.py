@@ -19,7 +19,8 @@ def calendar_months(bounds: DataFrame, lo: str = "lo", hi: str = "hi", out: str
 
 def kpi_monthly_snapshot(s: DataFrame, *, from_month: str | None = None,
                          to_month: str | None = None) -> DataFrame:
-    """Per month: active logos, MRR and ARR of subscriptions active in that month.
+    """Per month: active logos, MRR and ARR of subscriptions active in that month, from the
+    first start month to ``to_month`` (a caller's as-of month; by default the last start month).
 
     Active in month m <=> start month <= m and (not Churned or end month >= m);
     a churned row without end_date fails the second test (SQL NULL logic).

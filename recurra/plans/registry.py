@@ -227,7 +227,7 @@ def measure_queries() -> dict[str, Query]:
 
 def kpi_queries() -> dict[str, Query]:
     return {
-        "kpi_monthly_snapshot": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions)),
+        "kpi_monthly_snapshot": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions, to_month=A)),
         "kpi_monthly_paid": _o(lambda m: kpis.kpi_monthly_paid(m.payments)),
         "kpi_plan": _o(lambda m: kpis.kpi_plan(m.payments, m.plans)),
         "kpi_usage": _o(lambda m: kpis.kpi_usage(m.product_usage)),
@@ -240,7 +240,7 @@ def notebook_queries() -> dict[str, Query]:
     return {
         "n1_value_counts": _o(lambda m: profile.n1_value_counts(m.users)),
         "n1_plan_profile": _o(lambda m: profile.n1_plan_profile(m.subscriptions, m.plans)),
-        "n1_kpi_trend": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions)
+        "n1_kpi_trend": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions, to_month=A)
                            .orderBy("month").limit(5)),
         "n3_tenure": _o(lambda m: features.n3_tenure(m.subscriptions, baseline=A)),
         "n3_usage_feat": _o(lambda m: features.n3_usage_feat(m.product_usage)),
