@@ -24,7 +24,9 @@ from recurra.llm.components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 6                  # a pair at 0.8 misses every band with probability 5e-6
-K = BANDS * ROWS
+#: Samples of a signature: the first BANDS * ROWS make the bands, all of them the estimate.
+K = 480
+BITS = 8                             # kept of each sample; two samples agree by chance 1 in 256
 #: Estimated similarity below which a pair is not verified: 3.5 standard deviations of the
 #: estimate under the threshold (a pair at 0.8 falls below with probability 2e-4).
 ESTIMATE_SLACK = 3.5
@@ -117,6 +119,12 @@ def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_
     return sig
 
 
+def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of signature rows, corrected for samples that agree by chance."""
+    chance = 2.0 ** -BITS
+    return ((a == b).mean(axis=-1) - chance) / (1 - chance)
+
+
 def _set_keys(doc: np.ndarray, sh: np.ndarray, n_docs: int) -> list[bytes | None]:
     """128-bit key of each text's shingle set (NULL without shingles)."""
     n = np.bincount(doc, minlength=n_docs)
@@ -139,7 +147,7 @@ def _sketch(weighting: str):
             for at, texts in slices(batch.column("t")):
                 doc, sh, weight = text_shingles(texts, weighting)
                 m = len(texts)
-                sig = dart_signatures(doc, sh, weight, m)
+                sig = dart_signatures(doc, sh, weight, m).astype(np.uint8)
                 part = batch.slice(at, m)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("text_sha"),
@@ -165,7 +173,7 @@ def sketches(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(band key, node) of every band of every signature."""
     for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16)
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8)
         keys = band_keys(sig.reshape(batch.num_rows, K))
         node = np.repeat(np.asarray(batch.column("node")), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node)],
@@ -174,11 +182,12 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """Rows x BANDS matrix of 64-bit bucket keys; a key tells its band too."""
-    wide = sig.reshape(len(sig), BANDS, ROWS).astype(_U)
+    wide = sig[:, :BANDS * ROWS].reshape(len(sig), BANDS, ROWS).astype(_U)
+    key = np.zeros(wide.shape[:2], _U)
+    for i in range(ROWS):
+        key |= wide[..., i] << _U(BITS * i)
     with np.errstate(over="ignore"):
-        a = wide[..., 0] | wide[..., 1] << _U(16) | wide[..., 2] << _U(32)
-        b = wide[..., 3] | wide[..., 4] << _U(16) | wide[..., 5] << _U(32)
-        return mix64(mix64(a + np.arange(BANDS, dtype=_U) * _U(0x9E3779B97F4A7C15)) ^ (b << _U(1)))
+        return mix64(key + (np.arange(BANDS, dtype=_U) + _U(1) << _U(BITS * ROWS)))
 
 
 def _least_estimate(threshold: float) -> float:
@@ -191,10 +200,10 @@ def _likely(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16)
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
                     .reshape(batch.num_rows, K) for c in ("sig_a", "sig_b"))
             na, nb = (np.asarray(batch.column(c)) for c in ("size_a", "size_b"))
-            ok = ((a == b).mean(axis=1) >= least) & (np.minimum(na, nb) >= threshold * np.maximum(na, nb))
+            ok = (estimate(a, b) >= least) & (np.minimum(na, nb) >= threshold * np.maximum(na, nb))
             yield batch.select(["a", "b"]).filter(pa.array(ok))
     return run
 
@@ -207,7 +216,7 @@ def _across(threshold: float):
     def run(block: pa.Table) -> pa.Table:
         node, comp = np.asarray(block["node"]), np.asarray(block["comp"])
         size, side = np.asarray(block["size"]), np.asarray(block["side"])
-        sig = np.frombuffer(b"".join(block["sig"].to_pylist()), np.uint16).reshape(len(node), K)
+        sig = np.frombuffer(b"".join(block["sig"].to_pylist()), np.uint8).reshape(len(node), K)
         band = band_keys(sig)
         here = np.asarray(block["bucket"])[0].view(_U) if len(node) else _U(0)
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -215,7 +224,7 @@ def _across(threshold: float):
         for i in left:
             j = right[(comp[right] != comp[i])
                       & (np.minimum(size[right], size[i]) >= threshold * np.maximum(size[right], size[i]))]
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= least]
+            j = j[estimate(sig[j], sig[i]) >= least]
             if len(j):
                 shared = band[j] == band[i]
                 first = shared.argmax(axis=1)
@@ -338,10 +347,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .groupBy("bucket", "i", "j").applyInArrow(_across(threshold), "a long, b long")
         .join(likely, ["a", "b"], "left_anti"))
     more = freeze(_verified(rest, texts_of(rest), threshold, weighting))
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
-
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if not more.isEmpty():               # these few links join whole components
+        of = roots.select(F.col("node"), F.col("root"))
+        ends = (more.join(of.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
+                .join(of.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
+                .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+        named = (named.join(components(ends).select(F.col("node").alias("root"), F.col("root").alias("top")),
+                            "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
     lowest = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_sha")
     classes = (named.groupBy("root").agg(F.min(lowest).alias("m"), F.sum("copies").alias("class_size"))
                .select("root", F.col("m.doc_id").alias("class_id"), F.col("m.text_sha").alias("keep_sha"),
