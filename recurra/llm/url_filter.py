@@ -38,20 +38,21 @@ free-iphone-win.example.com prize-winner.example.net crypto-scam.example.org dou
 warez-download.example.com crack-keygen.example.net torrent-free.example.org cheap-replica.test
 """.split()
 ALLOW_HOSTS = """
-news.example.com www.example.org blog.example.net docs.example.com m.example.org wiki.example.net
+news.example.com example.org example.net docs.example.com help.example.org wiki.example.net
 library.example.com museum.example.org university.example.net school.example.com physics.example.org
 history.example.net garden.example.com travel.example.org recipes.example.net weather.example.com
 health.example.org science.example.net music.example.com books.example.org forum.example.net
-thehouse.example.com www.thenorth.example.org blog.theriver.example.net m.another.example.com
-thatone.example.org www.station.example.net blog.nation.example.com m.mention.example.org
-theirs.example.com www.thing.example.net blog.other.example.org m.weather.example.com
-onthe.example.org www.andthen.example.com blog.therein.example.net m.stones.example.org
-question.example.com www.reading.example.net blog.entire.example.org m.ending.example.com
-zeitung.example.org www.stadt.example.com blog.garten.example.net m.bericht.example.org
-journal.example.com www.maison.example.net blog.ecole.example.org m.marche.example.com
-noticias.example.org www.ciudad.example.net blog.escuela.example.com m.mercado.example.org
+thehouse.example.com thenorth.example.org theriver.example.net another.example.com
+thatone.example.org station.example.net nation.example.com mention.example.org
+theirs.example.com thing.example.net other.example.org weather.example.com
+onthe.example.org andthen.example.com therein.example.net stones.example.org
+question.example.com reading.example.net entire.example.org ending.example.com
+zeitung.example.org stadt.example.com garten.example.net bericht.example.org
+journal.example.com maison.example.net ecole.example.org marche.example.com
+noticias.example.org ciudad.example.net escuela.example.com mercado.example.org
 opendata.test citycouncil.test parliament.test orchestra.test theatre.test railways.test
 """.split()
+PREFIXES = ("", "www.", "m.", "blog.")
 PATHS = ("/en/17", "/de/240.html", "/fr/8/", "/es/655", "/", "/en/31", "/index.html", "/fr/402")
 
 
@@ -96,8 +97,9 @@ def terms(host_chars: Column, path_chars: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): 1 to block. Each fixed host takes a path in turn."""
-    rows = [(f"http://{h}{PATHS[i % len(PATHS)]}", label)
+    """(url, label): 1 to block. Each fixed host takes a prefix and a path in turn, so that
+    neither tells the label."""
+    rows = [(f"http://{PREFIXES[i % len(PREFIXES)]}{h}{PATHS[i % len(PATHS)]}", label)
             for label, hosts in ((1.0, BLOCK_HOSTS), (0.0, ALLOW_HOSTS)) for i, h in enumerate(hosts)]
     return spark.createDataFrame(rows, "url string, label double")
 
