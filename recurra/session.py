@@ -79,7 +79,7 @@ def freeze(df):
 
 
 def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_mb: int = 256,
-                 max_initial_partitions: int = 200_000) -> dict[str, str]:
+                 max_initial_partitions: int | None = None) -> dict[str, str]:
     """Shuffle / scan sizing for a cluster run over ``input_bytes`` of Parquet.
 
     * scan splits of ``target_partition_mb`` keep each task's decoded batch well
@@ -92,7 +92,8 @@ def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_mb: int
     """
     mb = 1024 * 1024
     initial = max(3 * total_cores, -(-input_bytes // (target_partition_mb * mb)))
-    initial = min(initial, max_initial_partitions)
+    if max_initial_partitions is not None:      # a caller's own limit; reducers then grow
+        initial = min(initial, max_initial_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(initial),

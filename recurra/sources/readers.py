@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
 
 from recurra.operators.ranking import global_row_number
 from recurra.sources.schema import TABLES, TableSpec
@@ -24,9 +24,11 @@ def _schema(schema: StructType | TableSpec | None) -> StructType | None:
 
 
 def src_csv(spark: SparkSession, path: str, schema: StructType | TableSpec | None = None,
-            header: bool = True) -> DataFrame:
+            header: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """Scan CSV with a header; with a schema the types are exact (PERMISSIVE: bad
-    values become NULL), without one the types are inferred."""
+    values become NULL), without one the types are inferred. With ``corrupt_col`` (and a
+    schema) the raw text of every record with an unreadable value is kept in that
+    column, so that a bad value can be told from a missing one."""
     reader = (spark.read.option("header", header).option("mode", "PERMISSIVE")
               .option("dateFormat", DATE_FORMAT).option("timestampFormat", TIMESTAMP_FORMAT)
               .option("timestampNTZFormat", TIMESTAMP_FORMAT))
@@ -34,12 +36,28 @@ def src_csv(spark: SparkSession, path: str, schema: StructType | TableSpec | Non
     if st is not None:
         # declared NOT NULL columns must still load rows with gaps (audits count them)
         st = StructType([f.__class__(f.name, f.dataType, True) for f in st.fields])
+        if corrupt_col is not None:
+            st = st.add(corrupt_col, StringType())
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
         reader = reader.schema(st)
     else:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
+def corrupt_rows(tables: Mapping[str, DataFrame], corrupt_col: str = "_corrupt_record") -> DataFrame:
+    """(table_name, corrupt_rows) of tables read with ``corrupt_col``."""
+    out = None
+    for name, df in tables.items():
+        # a record is only parsed, and found unreadable, if its columns are used: hash them all
+        parsed = F.xxhash64(*[c for c in df.columns if c != corrupt_col]) >= F.lit(-(1 << 63))
+        bad = F.count(F.when(parsed, F.col(corrupt_col)))
+        one = df.agg(bad.alias("corrupt_rows"), F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "corrupt_rows", "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> list[str]:
     """Table paths of a layer directory on any Hadoop-compatible store, sorted.
 
@@ -52,14 +70,14 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> list
     suffix = glob.lstrip("*")
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", True).load(root).select("path"))
-    tables: set[str] = set()
-    for r in listing.collect():
-        path = r.path
-        rel = path.split(root.split(":", 1)[-1] + "/", 1)[-1]
-        top = rel.split("/", 1)[0]
-        if "/" not in rel or top.endswith(suffix):
-            tables.add(path[: len(path) - len(rel)] + top)
-    return sorted(tables)
+    # the part files become their tables on the executors: only table paths are collected
+    marker = root.split(":", 1)[-1] + "/"
+    end = F.locate(marker, F.col("path")) + len(marker)
+    rel = F.substring(F.col("path"), end, F.length("path"))
+    top = F.substring_index(rel, "/", 1)
+    tables = listing.where(~rel.contains("/") | top.endswith(suffix)).select(
+        F.concat(F.substring(F.col("path"), F.lit(1), end - 1), top).alias("t")).distinct()
+    return sorted(r.t for r in tables.collect())
 
 
 def table_name_of(path: str) -> str:

@@ -67,7 +67,7 @@ def test_cluster_conf_sizes_partitions():
     from recurra.session import cluster_conf
     tb = 1024 ** 4
     conf = cluster_conf(100 * tb, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000          # capped
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * 1024 ** 2)   # 256 MB each
     assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
     small = cluster_conf(50 * 1024 * 1024, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24               # 3 waves of cores

@@ -91,3 +91,19 @@ def test_catalog_tables_in_analytics_database(spark):
     assert back.count() == 4 and back.schema.simpleString() == p.schema.simpleString()
     row = readers.src_sql_row(spark, "SELECT SUM(amount) AS s FROM analytics.payments")
     assert row.s == D("30.00")
+
+
+def test_corrupt_csv_records_are_kept_and_counted(spark, tmp_path):
+    from recurra.sources.readers import corrupt_rows, src_csv
+    from recurra.sources.schema import TABLES
+    names = TABLES["subscriptions"].schema.fieldNames()
+    good = {"subscription_id": "1", "user_id": "1", "plan_id": "1", "status": "Active", "start_date": "2025-01-01",
+            "end_date": "", "monthly_price": "10.00", "mrr": "10.00"}
+    bad = {**good, "subscription_id": "2", "end_date": "not a date"}
+    text = "\n".join([",".join(names), *[",".join(r[n] for n in names) for r in (good, bad)]])
+    (tmp_path / "subscriptions.csv").write_text(text + "\n")
+    df = src_csv(spark, str(tmp_path / "subscriptions.csv"), TABLES["subscriptions"], corrupt_col="_corrupt_record")
+    got = corrupt_rows({"subscriptions": df}).first()
+    assert (got.corrupt_rows, got.rows) == (1, 2)
+    rows = {r.subscription_id: r for r in df.collect()}
+    assert rows[1]._corrupt_record is None and "not a date" in rows[2]._corrupt_record
