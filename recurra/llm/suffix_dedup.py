@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -147,7 +148,7 @@ def _of_least(same: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by gram, block, doc: rows (gram, block, doc, mask). Mask -1: the
-    whole block goes. Mask 0: first document of a block whose gram has other blocks too."""
+    whole block goes (the gram is not needed any more and is 0). Mask 0: first document of a block whose gram has other blocks too."""
     before = None                      # (gram, block, doc, emitted) of the current block's first row
 
     def out(gram, block, doc, mask):
@@ -160,7 +161,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(gram) == 0:
             continue
         if known.any():
-            yield out(gram[known], block[known], doc[known], np.full(int(known.sum()), ALL, np.int64))
+            n = int(known.sum())
+            yield out(np.zeros(n, np.int64), block[known], doc[known], np.full(n, ALL, np.int64))
             gram, block, doc = gram[~known], block[~known], doc[~known]
         if len(gram) == 0:
             continue
@@ -180,9 +182,10 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_several = several[-1] or (len(begin) == 1 and done)
         if carried and done:
             several[0] = False         # its row is out already
-        yield out(np.r_[gram[later], g[several]], np.r_[block[later], block[begin][several]],
+        n = int(later.sum())
+        yield out(np.r_[np.zeros(n, np.int64), g[several]], np.r_[block[later], block[begin][several]],
                   np.r_[doc[later], doc[begin][several]],
-                  np.r_[np.full(int(later.sum()), ALL, np.int64), np.zeros(int(several.sum()), np.int64)])
+                  np.r_[np.full(n, ALL, np.int64), np.zeros(int(several.sum()), np.int64)])
         b = begin[-1]
         before = (gram[b], block[b], doc[b], bool(last_several))
 
@@ -404,8 +407,10 @@ def _store(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/spans-{uuid.uuid4().hex}"
     df.write.parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):                 # the listener bus lets go of the finished query a little later
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
     return spark.read.parquet(path)
 
 
