@@ -41,68 +41,73 @@ def canonical_url(url: Column) -> Column:
                     .otherwise(F.lit("")))
 
 
-_CARRIED = ("kind string, pid int, url_key string, record_id string, original_id string, open boolean")
+#: Headers in the sorted pass: entries in order of their names, a type that can be compared.
+_ENTRIES = "array<struct<key:string,value:string>>"
+_CARRIED = (f"kind string, pid int, url_key string, record_id string, headers {_ENTRIES}, copies long, "
+            f"original_id string, stored {_ENTRIES}, open boolean")
 
 
 def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In one sorted partition: each revisit with the latest full response before it, and
     the partition's last full response."""
     pid = TaskContext.get().partitionId()
-    full_key, full_id, first_key = None, None, None
-    seen = False
+    last, first_key = None, None
 
-    def out(kind, keys, ids, originals, opens):
-        n = len(keys)
+    def out(kind, *columns):
+        n = len(columns[0])
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * n), pa.array(np.full(n, pid, np.int32)), keys, ids, originals, opens],
-            names=["kind", "pid", "url_key", "record_id", "original_id", "open"])
+            [pa.array([kind] * n), pa.array(np.full(n, pid, np.int32)), *columns],
+            names=["kind", "pid", "url_key", "record_id", "headers", "copies", "original_id", "stored", "open"])
 
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
-        keys, ids = batch.column("url_key"), batch.column("record_id")
+        columns = [batch.column(c) for c in ("url_key", "record_id", "headers")]
         full = batch.column("full").to_numpy(zero_copy_only=False)
-        if not seen:
-            seen, first_key = True, keys[0].as_py()
+        if last is None:
+            last, first_key = [pa.nulls(1, c.type) for c in columns], columns[0][0].as_py()
         # place 0 stands for what earlier batches carried
-        all_keys = pa.concat_arrays([pa.array([full_key], pa.string()), keys])
-        all_ids = pa.concat_arrays([pa.array([full_id], pa.string()), ids])
+        placed = [pa.concat_arrays([one, c]) for one, c in zip(last, columns)]
         latest = np.maximum.accumulate(np.where(full, np.arange(1, n + 1), 0))
         before = np.r_[0, latest[:-1]]
-        same = np.asarray(pc.fill_null(pc.equal(all_keys.take(pa.array(before)), keys), False))
+        same = np.asarray(pc.fill_null(pc.equal(placed[0].take(pa.array(before)), columns[0]), False))
         revisit = np.flatnonzero(~full)
         pick = pa.array(revisit)
-        original = pc.if_else(pa.array(same[revisit]), all_ids.take(pa.array(before[revisit])),
-                              pa.scalar(None, pa.string()))
-        start = np.asarray(pc.equal(keys.take(pick), pa.scalar(first_key)))
-        yield out("revisit", keys.take(pick), ids.take(pick), original,
-                  pa.array(~same[revisit] & start))
-        full_key, full_id = all_keys[int(latest[-1])].as_py(), all_ids[int(latest[-1])].as_py()
-    if seen:
-        yield out("tail", pa.array([full_key], pa.string()), pa.array([None], pa.string()),
-                  pa.array([full_id], pa.string()), pa.array([False]))
+        original = pa.array(before[revisit], mask=~same[revisit])
+        start = np.asarray(pc.equal(columns[0].take(pick), pa.scalar(first_key)))
+        yield out("revisit", *(c.take(pick) for c in columns), batch.column("copies").take(pick),
+                  placed[1].take(original), placed[2].take(original), pa.array(~same[revisit] & start))
+        last = [c.take(pa.array(latest[-1:])) for c in placed]
+    if last is not None:
+        key, original_id, stored = last
+        yield out("tail", key, pa.nulls(1, pa.string()), pa.nulls(1, stored.type), pa.array([0], pa.int64()),
+                  original_id, stored, pa.array([False]))
 
 
 def latest_earlier(records: DataFrame) -> DataFrame:
-    """(record_id, original_id) of every revisit; ``records`` is (url_key, date, record_id, full).
+    """(url_key, record_id, headers, copies, original_id, stored) of every revisit.
 
-    "Earlier" is by (date, full responses first, record_id); NULL dates sort first.
+    ``records`` is (url_key, date, record_id, full, headers, copies), headers as entries. "Earlier" is
+    by (date, full responses first, record_id, headers); NULL dates and ids sort first. The
+    original travels with its headers, so no id is looked up; ``stored`` is NULL without one.
     """
     small_batches(records.sparkSession, 10_000)
-    key = [F.col("url_key"), F.col("date"), F.col("full").desc(), F.col("record_id")]
+    key = [F.col("url_key"), F.col("date"), F.col("full").desc(), F.col("record_id"), F.col("headers")]
     ranged = records.repartitionByRange(*key).sortWithinPartitions(*key)
-    carried = freeze(ranged.select("url_key", "record_id", "full").mapInArrow(_carry, _CARRIED))
+    carried = freeze(ranged.select("url_key", "record_id", "full", "headers", "copies")
+                     .mapInArrow(_carry, _CARRIED))
     tails = carried.filter("kind = 'tail'").select(
-        "pid", F.when(F.col("original_id").isNotNull(), F.struct("url_key", "original_id")).alias("full"))
+        "pid", F.when(F.col("url_key").isNotNull(), F.struct("url_key", "original_id", "stored")).alias("last"))
     earlier = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    over = tails.select("pid", F.last("full", ignorenulls=True).over(earlier).alias("full"))
+    over = tails.select("pid", F.last("last", ignorenulls=True).over(earlier).alias("last"))
     revisits = carried.filter("kind = 'revisit'")
-    found = revisits.filter("not open").select("record_id", "original_id")
-    late = (revisits.filter("open").select("pid", "url_key", "record_id")
-            .join(over, "pid", "left")
-            .select("record_id", F.when(F.col("full.url_key") == F.col("url_key"), F.col("full.original_id"))
-                    .alias("original_id")))
+    own = ["url_key", "record_id", "headers", "copies"]
+    found = revisits.filter("not open").select(*own, "original_id", "stored")
+    hit = F.col("last.url_key") == F.col("url_key")
+    late = (revisits.filter("open").select("pid", *own).join(over, "pid", "left")
+            .select(*own, F.when(hit, F.col("last.original_id")).alias("original_id"),
+                    F.when(hit, F.col("last.stored")).alias("stored")))
     return found.unionByName(late)
 
 
@@ -113,27 +118,34 @@ def _etag(headers: Column) -> Column:
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, url_key, original_id, outcome, headers.
 
-    ``records``: record_id (string, unique), url, date, status (int), headers (map, names in
+    ``records``: record_id (string), url, date, status (int), headers (map, names in
     lower case). A full response has status 200, a revisit 304; other records are neither.
     ``outcome``: 'resolved' (validators agree), 'unchecked' (no validator on either side),
     'validator_mismatch', or 'no_original'. An ETag decides if both sides have one (weak
     comparison), else Last-Modified. For a resolved or unchecked revisit ``headers`` are the
     original's, overwritten by the revisit's except for ``NOT_MERGED``; otherwise the
-    revisit's own. NULL urls share the empty canonical URL; NULL headers are no headers. A
-    record id that repeats among the full responses stands for one of them (the one with
-    the smallest headers). An empty table gives no rows.
+    revisit's own. NULL urls share the empty canonical URL; NULL headers are no headers. An
+    empty table gives no rows.
+
+    Ids need not be unique: records that share an id but differ in canonical URL, date or
+    headers are records of their own, each with its own original. Records equal in all of
+    these are one record stored more than once and give one row; without an id (NULL) they
+    are counted as different records and each gives a row. ``original_id`` is NULL where the
+    original has no id, too: ``outcome`` tells.
     """
-    empty = F.create_map().cast("map<string,string>")
-    base = records.select(F.col("record_id").cast("string").alias("record_id"), "date", "status",
-                          canonical_url(F.col("url")).alias("url_key"),
-                          F.coalesce("headers", empty).alias("headers"))
-    kinds = base.filter("status in (200, 304)")
-    pairs = latest_earlier(kinds.select("url_key", "date", "record_id", (F.col("status") == 200).alias("full")))
-    listed = F.array_sort(F.map_entries("headers"))
-    originals = (kinds.filter("status = 200").groupBy(F.col("record_id").alias("original_id"))
-                 .agg(F.map_from_entries(F.min(listed)).alias("stored")))
-    own = kinds.filter("status = 304").select("record_id", "url_key", "headers").dropDuplicates(["record_id"])
-    joined = own.join(pairs.distinct(), "record_id").join(originals, "original_id", "left")
+    listed = F.array_sort(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>"))))
+    kinds = records.filter("status in (200, 304)").select(
+        F.col("record_id").cast("string").alias("record_id"), "date", (F.col("status") == 200).alias("full"),
+        canonical_url(F.col("url")).alias("url_key"), listed.cast(_ENTRIES).alias("headers"))
+    # records without an id are counted by task, so that a hot one comes out in many places
+    part = F.when(F.col("record_id").isNull(), F.spark_partition_id())
+    counted = (kinds.withColumn("part", part).groupBy(*kinds.columns, "part")
+               .agg(F.count("*").alias("copies")).drop("part"))
+    joined = latest_earlier(counted).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.when(F.col("record_id").isNull(), F.col("copies"))
+                                     .otherwise(F.lit(1).cast("long"))))).select(
+        "record_id", "url_key", "original_id", F.map_from_entries("headers").alias("headers"),
+        F.map_from_entries("stored").alias("stored"))
     h, s = F.col("headers"), F.col("stored")
     agree = F.when(_etag(h).isNotNull() & _etag(s).isNotNull(), _etag(h) == _etag(s)).when(
         F.element_at(h, "last-modified").isNotNull() & F.element_at(s, "last-modified").isNotNull(),
@@ -148,16 +160,16 @@ def resolve(records: DataFrame) -> DataFrame:
 
 def crawl_records(pages: DataFrame, recrawl_after: int = 1000) -> DataFrame:
     """WARC-like records of ``pages``: a full response at second ``page_id``, whose ETag is the
-    MD5 of the page, and a 304 revisit of it ``recrawl_after`` seconds later."""
+    MD5 of the page, and a 304 revisit of it ``recrawl_after`` seconds later. A page without
+    an id (NULL) has records without id and date."""
     tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
     first = F.create_map(F.lit("etag"), tag, F.lit("content-type"), F.lit("text/html"),
                          F.lit("content-length"), F.octet_length(F.coalesce("html", F.lit(""))).cast("string"),
                          F.lit("date"), F.col("page_id").cast("string"))
     again = F.create_map(F.lit("etag"), tag, F.lit("content-length"), F.lit("0"),
                          F.lit("date"), (F.col("page_id") + recrawl_after).cast("string"))
-    # two plain projections, so that a consumer of ids and dates alone never reads the pages
     def made(kind: str, date: Column, status: int, headers: Column) -> DataFrame:
-        return pages.select(F.concat_ws("-", F.lit(kind), F.col("page_id").cast("string")).alias("record_id"), "url",
+        return pages.select(F.concat(F.lit(f"{kind}-"), F.col("page_id").cast("string")).alias("record_id"), "url",
                             date.alias("date"), F.lit(status).alias("status"), headers.alias("headers"))
 
     return made("response", F.col("page_id"), 200, first).unionByName(

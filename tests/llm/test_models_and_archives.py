@@ -282,3 +282,29 @@ def test_revisit_edges(spark):
     only = [("a", "http://x/", 1, 304, None, "e"), ("a", "http://x/", 1, 304, None, "e"), ("b", None, None, None, None, "e")]
     got = revisits.resolve(spark.createDataFrame(only, REC)).collect()
     assert [(r.record_id, r.outcome) for r in got] == [("a", "no_original")]
+
+
+def test_revisits_with_repeated_and_null_ids(spark):
+    rows = [("full", "http://a.org/", 1, 200, {"etag": '"a"', "x": "a"}, "e"),
+            ("full", "http://b.org/", 1, 200, {"etag": '"b"', "x": "b"}, "e"),
+            (None, "http://c.org/", 1, 200, {"etag": '"c"', "x": "c"}, "e"),
+            *[(rid, f"http://{host}.org/", 2, 304, {"etag": f'"{host}"'}, "e")
+              for rid in ("again", None) for host in "abcd"],
+            (None, "http://d.org/", 2, 304, {"etag": '"d"'}, "e")]
+    got = revisits.resolve(spark.createDataFrame(rows, REC).repartition(5)).collect()
+    assert len(got) == 9
+    for rid in ("again", None):
+        assert sorted((r.url_key, r.original_id or "", r.outcome, r.headers.get("x", "")) for r in got
+                      if r.record_id == rid) == [
+            ("a.org", "full", "resolved", "a"), ("b.org", "full", "resolved", "b"), ("c.org", "", "resolved", "c"),
+            *[("d.org", "", "no_original", "")] * (1 if rid else 2)]
+
+
+def test_revisits_of_pages_with_repeated_and_null_ids(spark):
+    rows = [(7, f"http://x{i}.org/", f"page {i}") for i in range(20)]
+    rows += [(None, f"http://y{i}.org/", f"page {i}") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = revisits.resolve(revisits.crawl_records(pages)).collect()
+    assert sorted((r.url_key, r.record_id, r.original_id, r.outcome) for r in got) == sorted(
+        (url.removeprefix("http://").rstrip("/"), rid and f"revisit-{rid}", rid and f"response-{rid}", "resolved")
+        for rid, url, _ in rows)
