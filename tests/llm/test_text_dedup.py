@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -150,6 +151,24 @@ def test_near_empty_table(spark):
     assert dart_minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_estimate_loses_no_more_links_than_the_bands():
+    k, chance = dart_minhash.K, 2.0 ** -dart_minhash.BITS
+    agree = 0.8 + 0.2 * chance
+    least = dart_minhash._least_estimate(0.8)
+    lost = sum(math.comb(k, n) * agree ** n * (1 - agree) ** (k - n) for n in range(k + 1)
+               if (n / k - chance) / (1 - chance) < least)
+    assert lost <= (1 - agree ** dart_minhash.ROWS) ** dart_minhash.BANDS
+
+
+def test_equal_sets_with_different_counts_are_apart_by_count(spark):
+    cycle = "one two three four five six "
+    rows = [(1, cycle * 3), (2, cycle * 60), (3, cycle * 60 + " ")]       # the same six shingles
+    by_set = dart_minhash.near_duplicates(frame(spark, rows)).collect()
+    by_count = dart_minhash.near_duplicates(frame(spark, rows), weighting="count").collect()
+    assert {r.doc_id: r.class_id for r in by_set} == {1: 1, 2: 1, 3: 1}
+    assert {r.doc_id: r.class_id for r in by_count} == {1: 1, 2: 2, 3: 2}
+
+
 def test_dart_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     element = rng.integers(0, 2 ** 63, 400).astype(np.uint64)
