@@ -13,8 +13,8 @@ shuffled one by one:
    the later documents' copies go. What is left are grams with several different blocks,
    and of each such block the first document.
 3. The bytes of those blocks are fetched and shuffled by gram. In each task the suffixes at
-   all windows are sorted deep-shallow: multikey quicksort by 8-byte words to a shallow
-   depth, then blind tries (branch positions found by skipping the shared prefix) for the
+   all windows are sorted deep-shallow: lexsort by 8-byte words to a shallow
+   depth, then rounds of lexsort at branch positions (found by skipping the shared prefix) for the
    groups that still agree.
 4. The verdicts are gathered per document, and the covered bytes are cut out of the text.
 """
@@ -39,7 +39,7 @@ LENGTH = 50                      # bytes of a string that counts
 GRAM = 16
 #: A gram with more different blocks than this is sorted window by window, spread over tasks.
 HOT_BLOCKS = 2_000
-#: Depth in 8-byte words to which multikey quicksort goes before the tries take over.
+#: Depth in 8-byte words of the first lexsort, before the rounds at branch positions.
 SHALLOW_WORDS = 2
 #: A task sorts the blocks of complete grams in portions of about this many.
 PORTION = 20_000
@@ -247,8 +247,9 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deep_shallow_groups(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sort the suffixes at ``start`` by their first LENGTH bytes: (order, group of each place).
 
-    ``data`` has at least LENGTH + 8 bytes from every start. Multikey quicksort orders by
-    words to the shallow depth; the groups that agree so far go to blind tries, all at once:
+    ``data`` has at least LENGTH + 8 bytes from every start. A vectorised stand-in for
+    multikey quicksort and blind tries: one lexsort orders by words to the shallow depth; the
+    groups that agree so far are split in rounds, all at once:
     a group's branch position is the least depth at which a member leaves the leader, the
     bytes before it are never looked at again, and the members branch on the word there.
     """
