@@ -1,40 +1,25 @@
 """Sequential (previous-row) logic per key that survives hot keys.
 
 ``LAG(v) OVER (PARTITION BY key ORDER BY ...)`` puts every row of a key in one
-task. ``lag_within`` computes the same column with hot keys cut into chunks:
-
-1. per-key row count and min/max of the leading order column (exact aggregates,
-   combined map-side);
-2. a key is hot when it holds more than total/N rows (N = shuffle partitions), so
-   there are at most N hot keys -- a table safe to broadcast. A hot key with n rows
-   is cut into ceil(n / (total/N)) chunks of equal width along the leading order
-   column; every other key is one chunk;
-3. one hash shuffle on (key, chunk) feeds the window that computes the local LAG;
-4. the first row of a later chunk takes the last value of the previous non-empty
-   chunk of its key, from a carry table with one row per hot chunk (at most 2N
-   rows, broadcast).
-
-Chunks are a pure function of exact aggregates, so every pass and every task retry
-sees the same assignment; no checkpoint is needed and the input is shuffled once.
+task. ``lag_within`` computes the same column over range partitions:
+
+1. the rows are range-partitioned by (key, full order), so a hot key spreads over as
+   many partitions as it needs, also where its rows share one leading value. The
+   layout comes from a sample, so it is checkpointed: both passes below must see the
+   same partitions;
+2. a window per (partition, key) computes the local LAG;
+3. the first row of a partition takes the last value of the previous non-empty
+   partition if the keys agree, from a carry table with one row per partition
+   (broadcast).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
-
 
-def _as_number(df: DataFrame, col: str) -> Column:
-    t = df.schema[col].dataType
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    if isinstance(t, NumericType):
-        return F.col(col).cast("double")
-    raise TypeError(f"leading order column {col} must be numeric, date or timestamp")
+from recurra.session import freeze
 
 
 def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str = "prev",
@@ -43,28 +28,15 @@ def lag_within(df: DataFrame, key: str, order: list[str], value: str, out: str =
     if not skew_safe:
         return df.withColumn(out, F.lag(value).over(W.partitionBy(key).orderBy(*order)))
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    t = _as_number(df, order[0])
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_t0"),
-                                F.max(t).alias("_t1"))
-    per_chunk = F.ceil(stats.agg(F.sum("_n")).scalar() / F.lit(n_parts))   # target rows/chunk
-    hot = (stats.where(F.col("_n") > per_chunk)
-           .select(key, F.ceil(F.col("_n") / per_chunk).alias("_m"), "_t0",
-                   (F.col("_t1") - F.col("_t0")).alias("_span")))
-    width = (F.col("_span") + 1) / F.col("_m")
-    # NULLs of the leading order column sort first, so they belong to the first chunk
-    chunk = F.when(F.col("_m").isNull() | t.isNull(), F.lit(0)).otherwise(
-        F.least(F.col("_m") - 1, F.floor((t - F.col("_t0")) / width))).cast("long")
-    x = (df.join(F.broadcast(hot), key, "left")          # <= N rows: a proven bound
-         .withColumn("_chunk", chunk))
-    run = W.partitionBy(key, "_chunk").orderBy(*order)
-    local = (x.withColumn(out, F.lag(value).over(run))
+    placed = freeze(df.repartitionByRange(n_parts, key, *order)
+                    .withColumn("_part", F.spark_partition_id()))
+    run = W.partitionBy("_part", key).orderBy(*order)
+    local = (placed.withColumn(out, F.lag(value).over(run))
              .withColumn("_first", F.row_number().over(run) == 1))
-    order_key = F.struct(*[F.col(c) for c in order])
-    tails = (x.where(F.col("_m").isNotNull()).groupBy(key, "_chunk")
-             .agg(F.max_by(value, order_key).alias("_last")))
-    carry = tails.select(key, "_chunk", F.lag("_last").over(
-        W.partitionBy(key).orderBy("_chunk")).alias("_carry"))      # one row per hot chunk
-    return (local.join(F.broadcast(carry), [key, "_chunk"], "left")
-            .withColumn(out, F.when(F.col("_first") & (F.col("_chunk") > 0), F.col("_carry"))
-                        .otherwise(F.col(out)))
-            .drop("_chunk", "_first", "_carry", "_m", "_t0", "_span"))
+    last = F.max_by(F.struct(F.col(key).alias("key"), F.col(value).alias("value")), F.struct(key, *order))
+    tails = placed.groupBy("_part").agg(last.alias("_last"))
+    carry = tails.select("_part", F.lag("_last").over(W.orderBy("_part")).alias("_carry"))  # one row per partition
+    over = F.col("_first") & F.col("_carry").isNotNull() & F.col("_carry.key").eqNullSafe(F.col(key))
+    return (local.join(F.broadcast(carry), "_part", "left")
+            .withColumn(out, F.when(over, F.col("_carry.value")).otherwise(F.col(out)))
+            .drop("_part", "_first", "_carry"))

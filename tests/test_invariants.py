@@ -51,6 +51,24 @@ def test_lag_with_nulls_in_a_hot_key(spark):
     assert sorted(map(repr, rows(got))) == sorted(map(repr, rows(ref)))
 
 
+def test_lag_splits_a_hot_key_of_one_date(spark, monkeypatch):
+    """Half of the rows share one key and one date: no window group holds much more than a
+    partition's share of them, and the values are those of the plain window."""
+    data = [(0 if i % 2 else None if i % 14 == 0 else i % 50 + 1, 5, i, float(i)) for i in range(4000)]
+    df = spark.createDataFrame(data, "k long, t long, id long, v double")
+    groups = []
+    partition_by = W.partitionBy
+    monkeypatch.setattr(W, "partitionBy", lambda *cols: groups.append(cols) or partition_by(*cols))
+    kept = []
+    drop = type(df).drop
+    monkeypatch.setattr(type(df), "drop", lambda self, *cols: kept.append(self) or drop(self, *cols))
+    got = lag_within(df, "k", ["t", "id"], "v", num_partitions=8)
+    monkeypatch.undo()
+    ref = df.withColumn("prev", F.lag("v").over(W.partitionBy("k").orderBy("t", "id")))
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, rows(ref)))
+    assert kept[-1].groupBy(*groups[0]).count().agg(F.max("count")).first()[0] < 1000
+
+
 def test_keep_first_matches_row_number_dedupe(spark):
     df = hot_key_frame(spark).withColumnRenamed("k", "x_id")
     got = cleaning.keep_first(df, "x_id", ["t", "id"])
