@@ -9,6 +9,7 @@ Conventions of the whole subpackage
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,18 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table of the shared checkpoint folder, and read from there.
+
+    Cuts the lineage as ``freeze`` does, but computes ``df`` a single time and lets later
+    stages read only the columns and rows they use.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def norm_space(col: Column) -> Column:
     """Every white-space run replaced by one space (runs that already are one space are skipped)."""
     return F.regexp_replace(col, f"[\\x09-\\x0D][{WS}]*|\\x20[{WS}]+", " ")

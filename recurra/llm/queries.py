@@ -5,15 +5,17 @@ Each query applies its operator, with production parameters, to the whole of its
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import (bpe, dart_minhash, exact_dedup, knn_quality, license_scan, mixing, quality_rules,
-                         revisits, suffix_dedup, url_filter)
+from recurra.llm import (bpe, collocations, dart_minhash, exact_dedup, knn_quality, license_scan, mixing,
+                         quality_rules, revisits, spelling_variants, suffix_dedup, token_shards, url_filter)
 from recurra.llm.common import table
+from recurra.session import ensure_checkpoint_dir
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -86,6 +88,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.equal_groups(table(spark, sf_dir, "documents")).drop("text_sha")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/token-shards-{uuid.uuid4().hex}"
+    token_shards.write_shards(table(spark, sf_dir, "documents"), path, vocabulary_path())
+    return token_shards.read_documents(spark, path)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_knn_quality": op2_knn_quality,
@@ -97,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_shards": op12_token_shards,
+    "op13_collocations": op13_collocations,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -202,4 +221,46 @@ ranked AS (
   SELECT doc_id, t, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) AS rn FROM norm)
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, rn = 1 AS kept, sha256(t) AS text_sha256
 FROM ranked JOIN grouped USING (t)""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+runs AS (
+  SELECT lang, 1 AS words, unnest(ws) AS phrase FROM split
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM split
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+  FROM split),
+grams AS (SELECT lang, words, phrase, count(*) AS f FROM runs GROUP BY lang, words, phrase HAVING count(*) >= 10),
+cands AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS ws FROM grams WHERE words >= 2),
+sides AS (
+  SELECT lang, words, phrase, a, 1 AS cut, ws[1] AS lp, ws[2] AS rp FROM cands WHERE words = 2
+  UNION ALL
+  SELECT lang, words, phrase, a, 1, ws[1], ws[2] || ' ' || ws[3] FROM cands WHERE words = 3
+  UNION ALL
+  SELECT lang, words, phrase, a, 2, ws[1] || ' ' || ws[2], ws[3] FROM cands WHERE words = 3),
+cuts AS (
+  SELECT c.lang, c.words, c.phrase, c.a, c.cut, l.f AS l, r.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM sides c JOIN grams l ON l.lang = c.lang AND l.phrase = c.lp
+  JOIN grams r ON r.lang = c.lang AND r.phrase = c.rp),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts),
+parts AS (
+  SELECT lang, ws[1] || ' ' || ws[2] AS phrase, a FROM cands WHERE words = 3
+  UNION ALL SELECT lang, ws[2] || ' ' || ws[3], a FROM cands WHERE words = 3),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM parts GROUP BY lang, phrase),
+kept AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score
+  FROM lowest s LEFT JOIN longer o ON s.words = 2 AND o.lang = s.lang AND o.phrase = s.phrase
+  WHERE s.nth = 1 AND (o.longer IS NULL OR 100 * o.longer < 50 * s.a)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM split GROUP BY lang)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }

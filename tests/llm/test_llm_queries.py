@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, name):
 def test_query_runs_over_every_row(spark, name):
     df = QUERIES[name](spark, SF)
     n = df.count()
-    if name == "op8_license_scan":
+    if name in ("op8_license_scan", "op11_spelling_variants"):
         assert n > 0
     else:
         source = "pages" if name == "op9_url_filter" else "documents"
