@@ -149,3 +149,84 @@ def d07_grr_12m(p: DataFrame, c: DataFrame, *, months: int = 12) -> DataFrame:
     start = F.coalesce(F.col("paid_back"), z)
     lost = F.coalesce(F.col("lost_window"), z)
     return x.select("month", dax_divide(start - lost, start).alias("grr"))
+
+
+# ---- time intelligence under any grouping --------------------------------------------------
+
+def _group_calendar(monthly: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., month): every calendar month from a group's first to its last."""
+    bounds = monthly.groupBy(*by).agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
+    return bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
+
+
+def _months_back(value: str, by: Sequence[str], months: int) -> Column:
+    """The value of the calendar month ``months`` earlier in the same group, found by a RANGE
+    frame of that one month (a blank month has no row there)."""
+    over = f"partition by {', '.join(f'`{c}`' for c in by)} " if by else ""
+    return F.expr(f"sum({value}) over ({over}order by month range between interval {months} months preceding "
+                  f"and interval {months} months preceding)")
+
+
+def mrr_growth(s: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``d04_mrr_growth`` of every group: (by..., month, mrr, mrr_growth). A group's calendar
+    runs from its first to its last start month; blank months count as 0."""
+    monthly = s.groupBy(*by, start_month()).agg(_mrr().alias("mrr"))
+    full = _group_calendar(monthly, by).join(monthly, [*by, "month"], "left")
+    prev = F.coalesce(_months_back("mrr", by, 1), F.lit(0))
+    cur = F.coalesce(F.col("mrr"), F.lit(0))
+    return (full.withColumn("prev", prev)
+            .select(*by, "month", F.col("mrr").cast("double").alias("mrr"),
+                    dax_divide(cur - F.col("prev"), F.col("prev")).alias("mrr_growth")))
+
+
+def retention_12m(p: DataFrame, c: DataFrame, by: Sequence[str], *, months: int = 12) -> DataFrame:
+    """``d06`` and ``d07`` of every group: (by..., month, nrr, grr).
+
+    ``p`` and ``c`` both have the columns ``by``. Payments reduce to one row per group and month,
+    churn to one per group and day; the two look-backs are RANGE frames inside a group, over its
+    calendar from the first to the last paid month, so no range join is built.
+    """
+    paid = (p.where(F.col("payment_status") == "Paid").groupBy(*by, month_start("payment_date").alias("month"))
+            .agg(F.sum(to_money("amount")).alias("paid")))
+    full = (_group_calendar(paid, by).join(paid, [*by, "month"], "left")
+            .withColumn("paid_back", _months_back("paid", by, months)))
+    daily = c.groupBy(*by, F.col("churn_date").alias("day")).agg(F.sum(to_money("mrr")).alias("lost"))
+    ends = full.select(*by, F.last_day("month").alias("day"), F.lit(None).cast("decimal(38,2)").alias("lost"))
+    days = daily.unionByName(ends).groupBy(*by, "day").agg(F.sum("lost").alias("lost"))
+    over = f"partition by {', '.join(f'`{x}`' for x in by)} " if by else ""
+    trailing = F.expr(f"sum(lost) over ({over}order by day range between interval {months} months preceding and current row)")
+    lost = (days.withColumn("lost_window", trailing).where(F.col("day") == F.last_day("day"))
+            .select(*by, F.trunc("day", "month").alias("month"), "lost_window"))
+    z = F.lit(0)
+    now, back, gone = (F.coalesce(F.col(x), z) for x in ("paid", "paid_back", "lost_window"))
+    return full.join(lost, [*by, "month"], "left").select(
+        *by, "month", dax_divide(back + (now - back) - gone, back).alias("nrr"), dax_divide(back - gone, back).alias("grr"))
+
+
+# ---- many filter contexts in one scan ------------------------------------------------------
+
+def cards_by_context(s: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The subscription cards under every combination of the columns ``by``, from one scan:
+    (by..., all_<column>..., mrr, arr, arpu, churn_rate, ltv, retention_rate).
+
+    ``all_<column>`` is 1 where the context does not filter that column (its value is NULL
+    there). Rows are first reduced to one per user and finest context; GROUPING SETS then run
+    over those, once per user and once more over the users, so the distinct count of active
+    users is a plain count and stays exact.
+    """
+    per_user = s.groupBy(*by, "user_id").agg(
+        _mrr().alias("m"), F.count(F.when(_is("Active"), 1)).alias("active"),
+        F.count(F.when(_is("Churned"), 1)).alias("churned"))
+    sets = [[c for i, c in enumerate(by) if bits >> i & 1] for bits in range(1 << len(by))]
+    per_context = per_user.groupingSets([["user_id", *some] for some in sets], "user_id", *by).agg(
+        *[F.grouping(c).cast("int").alias(f"all_{c}") for c in by],
+        F.sum("m").alias("m"), F.sum("active").alias("active"), F.sum("churned").alias("churned"))
+    flags = [f"all_{c}" for c in by]
+    sums = per_context.groupBy(*by, *flags).agg(
+        F.sum("m").alias("m"), F.sum("active").alias("active"), F.sum("churned").alias("churned"),
+        F.count(F.when(F.col("active") > 0, F.col("user_id"))).alias("users"))
+    arpu = dax_divide("m", "users")
+    rate = dax_divide("churned", F.col("active") + F.col("churned"))
+    return sums.select(*by, *flags, F.col("m").cast("double").alias("mrr"), (F.col("m") * 12).cast("double").alias("arr"),
+                       arpu.alias("arpu"), rate.alias("churn_rate"), dax_divide(arpu, rate).alias("ltv"),
+                       (F.lit(1.0) - rate).alias("retention_rate"))

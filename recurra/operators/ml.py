@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recurra.functions import ratio
-from recurra.operators.ranking import global_row_number
+from recurra.operators.ranking import global_row_number, running_sums
 
 MODEL_FEATURES = ("monthly_price", "total_events", "active_minutes", "total_tickets")
 
@@ -128,3 +128,31 @@ def n5_auc(pred: DataFrame) -> DataFrame:
                                        metricName="areaUnderROC")
     value = ev.evaluate(pred.withColumn("label", F.col("label").cast("double")))
     return SparkSession.getActiveSession().createDataFrame([(float(value),)], "auc double")
+
+
+def exact_auc(df: DataFrame, score: str, label: str) -> DataFrame:
+    """(auc, positives, negatives): the exact area under the ROC curve of a score.
+
+    It is the share of (positive, negative) pairs that the score orders rightly, ties counting
+    half. Rows reduce to one per distinct score; the negatives below each come from running
+    sums over score ranges, all in exact integers. Rows without a score or a label do not
+    count; without positives or without negatives the area is NULL.
+    """
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    per = known.groupBy(F.col(score).alias("score")).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg"))
+    placed = running_sums(per, ["score"], ["neg"])
+    whole = "decimal(38,0)"
+    twice = F.col("pos").cast("decimal(19,0)") * (2 * F.col("before_neg") + F.col("neg")).cast("decimal(19,0)")
+    sums = placed.agg(F.sum(twice.cast(whole)).alias("twice"), F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+                      F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"))
+    pairs = F.col("positives").cast("double") * F.col("negatives").cast("double") * 2
+    return sums.select(ratio(F.col("twice"), pairs).alias("auc"), "positives", "negatives")
+
+
+def fixed_score(matrix: DataFrame, *, threshold: float = 60.0) -> DataFrame:
+    """A score of the model matrix that needs no fitting: (subscription_id, label, prediction, score).
+    Many tickets and little activity raise it; it has many ties."""
+    score = (3 * F.col("total_tickets") - F.col("total_events") + F.pmod(F.col("active_minutes"), F.lit(97))).cast("double")
+    return matrix.select("subscription_id", F.col("is_churned").alias("label"),
+                         (score >= threshold).cast("int").alias("prediction"), score.alias("score"))

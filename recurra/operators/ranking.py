@@ -57,3 +57,20 @@ def exact_ntile(df: DataFrame, buckets: int, order: list[Column], out: str = "ti
     ranked = global_row_number(df, order, num_partitions, out="_rank")
     return ranked.withColumn(out, ntile_of_rank(F.col("_rank"), F.col("_total"), buckets)) \
         .drop("_rank", "_total")
+
+
+def running_sums(df: DataFrame, order: list[str], values: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``before_<value>``: the sum of each value over all rows earlier in ``order``
+    (columns that make a total order). Distributed as ``global_row_number`` is: local windows
+    over ordered ranges, and one broadcast row of offsets per range."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = freeze(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranged.groupBy("_pid").agg(*[F.sum(v).alias(v) for v in values])
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_off_{v}") for v in values])
+    local = W.partitionBy("_pid").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    summed = ranged.select("*", *[F.coalesce(F.sum(v).over(local), F.lit(0)).alias(f"before_{v}") for v in values])
+    joined = summed.join(F.broadcast(offsets), "_pid")
+    for v in values:
+        joined = joined.withColumn(f"before_{v}", F.col(f"before_{v}") + F.col(f"_off_{v}"))
+    return joined.drop("_pid", *[f"_off_{v}" for v in values])

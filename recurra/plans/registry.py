@@ -14,15 +14,18 @@ from recurra.operators import (
     churn,
     cleaning,
     cohort,
+    distinct,
     economics,
     etl,
     extensions,
     features,
+    intervals,
     kpis,
     measures,
     ml,
     profile,
     quality,
+    rejects,
     report,
     revenue,
     support,
@@ -33,6 +36,8 @@ from recurra.sources import readers, sinks
 from recurra.sources.load import stored_folder
 from recurra.sources.schema import TABLES
 from recurra.streaming import kpis as stream_kpis
+from recurra.streaming import tickets as stream_tickets
+from recurra.streaming import upsert as stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 A = TEST_AS_OF
@@ -121,6 +126,10 @@ def _pred(m: BoundModel) -> DataFrame:
     return ml.predictions(model_, test)
 
 
+def _fixed_score(m: BoundModel) -> DataFrame:
+    return ml.fixed_score(features.n5_model_matrix(m.subscriptions, m.product_usage, m.support_tickets))
+
+
 def _matrix(m: BoundModel) -> DataFrame:
     return features.n3_feature_matrix(m.subscriptions, m.users, m.product_usage,
                                       m.support_tickets, m.payments, baseline=A)
@@ -183,8 +192,27 @@ def _clean_layer(m: BoundModel) -> DataFrame:
                            {name: df.schema for name, df in tables.items()})["payments"]
 
 
+#: The bound tables do not follow the declared region list and date floor: the rules that the
+#: checked load of the test tables applies instead, one of them stricter than declared.
+LOAD_RULES = {"users": {"domains": {"region": ("AFRICA", "AMERICA", "ASIA", "EUROPE")},
+                        "ranges": {"signup_date": (">=", "1995-06-01")}},
+              "payments": {"ranges": {"amount": (">=", 1000)}}}
+
+
+def _checked_layer(m: BoundModel) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All eight tables through the chain: CSV layer, clean, check, store good and rejected rows."""
+    base = _folder(m)
+    tables = {**m.tables(), "payments": m.dirty_payments, "subscriptions": m.dirty_subscriptions}
+    for name, df in tables.items():
+        sinks.snk_csv(df, f"{base}/raw/{name}.csv")
+    return etl.load_layer(m.spark, f"{base}/raw", f"{base}/loaded",
+                          {name: df.schema for name, df in tables.items()}, LOAD_RULES)
+
+
 def source_queries() -> dict[str, Query]:
     return {
+        "etl_status": _o(lambda m: etl.layer_status(*_checked_layer(m))),
+        "etl_rejects": _o(lambda m: rejects.reject_counts(_checked_layer(m)[1])),
         "src_csv": _o(_csv_round_trip),
         "snk_append": _o(_append_twice),
         "etl_layer": _o(_clean_layer),
@@ -204,8 +232,31 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def _with_group(m: BoundModel, column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(subscriptions, payments, churn events) with the plan's name or the user's region."""
+    if column == "plan_name":
+        names = m.plans.select("plan_id", "plan_name")
+        subs = m.subscriptions.join(names, "plan_id")
+        return subs, m.payments.join(names, "plan_id"), m.churn_events.join(
+            subs.select("subscription_id", "plan_name"), "subscription_id")
+    names = m.users.select("user_id", "region")
+    return (m.subscriptions.join(names, "user_id"), m.payments.join(names, "user_id"),
+            m.churn_events.join(names, "user_id"))
+
+
+def _cards_by_context(m: BoundModel) -> DataFrame:
+    s = (m.subscriptions.join(m.plans.select("plan_id", "plan_name"), "plan_id")
+         .join(m.users.select("user_id", "region"), "user_id"))
+    return measures.cards_by_context(s, ["plan_name", "region"])
+
+
 def measure_queries() -> dict[str, Query]:
     return {
+        "d_cards_contexts": _o(_cards_by_context),
+        "d04_mrr_growth_by_plan": _o(lambda m: measures.mrr_growth(_with_group(m, "plan_name")[0], ["plan_name"])),
+        "d04_mrr_growth_by_region": _o(lambda m: measures.mrr_growth(_with_group(m, "region")[0], ["region"])),
+        "d06_d07_by_plan": _o(lambda m: measures.retention_12m(*_with_group(m, "plan_name")[1:], ["plan_name"])),
+        "d06_d07_by_region": _o(lambda m: measures.retention_12m(*_with_group(m, "region")[1:], ["region"])),
         "d01_mrr": _o(lambda m: measures.d01_mrr(m.subscriptions)),
         "d02_arr": _o(lambda m: measures.d02_arr(m.subscriptions)),
         "d03_arpu": _o(lambda m: measures.d03_arpu(m.subscriptions)),
@@ -225,12 +276,23 @@ def measure_queries() -> dict[str, Query]:
     }
 
 
+def _paying_rollup(m: BoundModel) -> DataFrame:
+    """The state is stored once; every level is merged from it."""
+    path = f"{_folder(m)}/paying_state"
+    distinct.paying_state(m.payments).write.parquet(path)
+    return distinct.paying_rollup(m.spark.read.parquet(path))
+
+
 def kpi_queries() -> dict[str, Query]:
     return {
         "kpi_monthly_snapshot": _o(lambda m: kpis.kpi_monthly_snapshot(m.subscriptions, to_month=A)),
         "kpi_monthly_paid": _o(lambda m: kpis.kpi_monthly_paid(m.payments)),
         "kpi_plan": _o(lambda m: kpis.kpi_plan(m.payments, m.plans)),
         "kpi_usage": _o(lambda m: kpis.kpi_usage(m.product_usage)),
+        "kpi_distinct_rollup": _o(_paying_rollup),
+        "iv_activity_within": _o(lambda m: intervals.activity_within(
+            m.subscriptions, m.product_usage, m.support_tickets, as_of=A)),
+        "iv_plan_overlaps": _o(lambda m: intervals.plan_overlaps(m.subscriptions, m.plans, as_of=A)),
         "gen_billing_schedule": _o(lambda m: kpis.gen_billing_schedule(m.subscriptions, as_of=A)),
         "gen_months_active": _o(lambda m: kpis.gen_months_active(m.subscriptions, as_of=A)),
     }
@@ -261,6 +323,8 @@ def notebook_queries() -> dict[str, Query]:
         "n5_class_report": _o(lambda m: ml.n5_class_report(_pred(m))),
         "n5_importances": _o(lambda m: ml.n5_importances(_fit(m)[0])),
         "n5_auc": _o(lambda m: ml.n5_auc(_pred(m))),
+        "n5_auc_exact": _o(lambda m: ml.exact_auc(_fixed_score(m), "score", "label")),
+        "n5_class_report_fixed": _o(lambda m: ml.n5_class_report(_fixed_score(m))),
     }
 
 
@@ -281,10 +345,12 @@ def extension_queries() -> dict[str, Query]:
         "x_stream_ticket_alert": _o(lambda m: stream_kpis.run_available_now(
             m.spark, stream_kpis.start_ticket_alerts, stored_folder(m, "support_tickets"),
             m.subscriptions, m.plans)),
-        "x_stream_ticket_state": _o(lambda m: stream_kpis.run_available_now(
-            m.spark, stream_kpis.start_stateful_ticket_alerts, stored_folder(m, "support_tickets"),
-            m.subscriptions, m.plans).withColumn(
-                "created_date", F.col("created_date").cast("timestamp_ntz"))),
+        "x_stream_ticket_state": _o(lambda m: stream_tickets.run_unresolved(
+            m.spark, m.support_tickets, m.subscriptions, m.plans, close_at=f"{A} 00:00:00")),
+        "x_stream_monthly_paid": _o(lambda m: stream_upsert.run_monthly(
+            m.spark, stored_folder(m, "payments"), stream_upsert.PAID)),
+        "x_stream_monthly_sla": _o(lambda m: stream_upsert.run_monthly(
+            m.spark, stored_folder(m, "support_tickets"), stream_upsert.sla())),
     }
 
 

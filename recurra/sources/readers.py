@@ -17,6 +17,7 @@ log = logging.getLogger(__name__)
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CORRUPT = "_corrupt_record"
 
 
 def _schema(schema: StructType | TableSpec | None) -> StructType | None:
@@ -85,23 +86,35 @@ def table_name_of(path: str) -> str:
     return name.rsplit(".", 1)[0]
 
 
-def src_dir(spark: SparkSession, directory: str, glob: str = "*.csv") -> dict[str, DataFrame]:
+def src_dir(spark: SparkSession, directory: str, glob: str = "*.csv", *,
+            rejects_dir: str | None = None) -> dict[str, DataFrame]:
     """Every CSV table of a layer directory, keyed by file stem (sorted).
-    Known canonical tables get their schema; others are inferred."""
+    Known canonical tables get their schema; others are inferred. With ``rejects_dir``
+    each canonical table is stored there, unreadable records and rows that break the table's
+    rules apart (``operators.rejects``), and the good rows are returned."""
     out: dict[str, DataFrame] = {}
     for path in list_files(spark, directory, glob):
         name = table_name_of(path)
-        out[name] = src_csv(spark, path, TABLES.get(name))
+        if rejects_dir is not None and name in TABLES:
+            out[name] = _checked(spark, src_csv(spark, path, TABLES[name], corrupt_col=CORRUPT), name, rejects_dir)
+        else:
+            out[name] = src_csv(spark, path, TABLES.get(name))
     return out
 
 
+def _checked(spark: SparkSession, df: DataFrame, name: str, rejects_dir: str) -> DataFrame:
+    from recurra.operators.rejects import split_write
+    return split_write(df, TABLES[name], f"{rejects_dir.rstrip('/')}/{name}")[0]
+
+
 def src_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     return spark.table(f"{database}.{name}" if database else name)
 
 
-def src_model(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def src_model(spark: SparkSession, directory: str, fmt: str = "csv", *,
+              rejects_dir: str | None = None) -> dict[str, DataFrame]:
     """Load the canonical tables in dependency order; a table whose path does not exist is
-    skipped with a warning, any other fault is raised."""
+    skipped with a warning, any other fault is raised. ``rejects_dir`` as in ``src_dir``."""
     present = {table_name_of(p) for p in list_files(spark, directory, f"*.{fmt}")} \
         if fmt == "csv" else None
     out: dict[str, DataFrame] = {}
@@ -111,13 +124,15 @@ def src_model(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str
             log.warning("table %s: %s not found, skipped", name, path)
             continue
         try:
-            df = src_csv(spark, path, spec) if fmt == "csv" else spark.read.parquet(path)
+            corrupt = CORRUPT if rejects_dir is not None else None
+            df = src_csv(spark, path, spec, corrupt_col=corrupt) if fmt == "csv" else spark.read.parquet(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":     # any other fault is the caller's to see
                 raise
             log.warning("table %s: %s not found, skipped", name, path)
             continue
-        out[name] = src_coerce(df, LOAD_COERCIONS.get(name, {}))
+        df = src_coerce(df, LOAD_COERCIONS.get(name, {}))
+        out[name] = _checked(spark, df, name, rejects_dir) if rejects_dir is not None else df
     return out
 
 

@@ -3,9 +3,10 @@
 * ``daily_paid``: watermarked 1-day event-time windows of Paid inflow (a day is emitted once);
 * ``daily_totals``: the running total of every day, complete after each trigger;
 * ``ticket_alerts``: stream-static semi join of streamed tickets with the accounts
-  of a plan segment;
-* ``stateful_ticket_alerts``: a per-ticket state machine (applyInPandasWithState,
-  event-time timeout) fed by 'open' / 'resolved' events.
+  of a plan segment.
+
+Monthly tables that a replayed batch does not change are in ``upsert``, alerts from the two
+feeds of opened and resolved tickets in ``tickets``.
 
 All read a directory of Parquet files as they arrive (schema from the canonical
 contract), keep the semantics of their batch operators, and write to a Parquet
@@ -126,89 +127,3 @@ def run_available_now(spark: SparkSession, start, *args, timeout_s: int | None =
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(f"{base}/out")
-
-
-# ---- per-ticket state with an event-time timeout ---------------------------------------
-
-ALERT_SCHEMA = ("ticket_id long, user_id long, created_date timestamp, priority string, "
-                "category string, alert_reason string")
-_STATE_SCHEMA = "user_id long, created_ms long, priority string, category string"
-
-
-def ticket_events(tickets: DataFrame) -> DataFrame:
-    """Each ticket row becomes its event stream: 'open' at creation and, when known,
-    'resolved' at creation + resolution hours (event time as ``timestamp``)."""
-    created = F.col("created_date").cast("timestamp")
-    resolved_at = created + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (F.col("resolution_hours") * 3600).cast("decimal(18,6)"))
-    opened = F.struct(F.lit("open").alias("kind"), created.alias("event_ts"))
-    done = F.struct(F.lit("resolved").alias("kind"), resolved_at.alias("event_ts"))
-    events = F.when(F.col("resolution_hours").isNull(), F.array(opened)) \
-        .otherwise(F.array(opened, done))
-    return tickets.select("ticket_id", "user_id", "priority", "category",
-                          F.explode(events).alias("e")).select(
-        "ticket_id", "user_id", "priority", "category", "e.kind", "e.event_ts")
-
-
-def _alert_state_fn(hours: float):
-    import pandas as pd
-
-    limit_ms = int(hours * 3600 * 1000)
-    cols = ["ticket_id", "user_id", "created_date", "priority", "category", "alert_reason"]
-
-    def fn(key, batches, state):
-        (ticket_id,) = key
-        if state.hasTimedOut:                     # still open when the deadline passed
-            user_id, created_ms, priority, category = state.get
-            state.remove()
-            yield pd.DataFrame([[ticket_id, user_id, pd.Timestamp(created_ms, unit="ms"),
-                                 priority, category, "open past deadline"]], columns=cols)
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        opened = pdf[pdf["kind"] == "open"]
-        resolved = pdf[pdf["kind"] == "resolved"]
-        if state.exists:
-            user_id, created_ms, priority, category = state.get
-        elif len(opened):
-            r = opened.iloc[0]
-            user_id, priority, category = int(r["user_id"]), r["priority"], r["category"]
-            created_ms = int(pd.Timestamp(r["event_ts"]).value // 1_000_000)
-        else:                                     # a resolution without its ticket: ignore
-            return
-        if len(resolved):
-            state.remove()
-            done_ms = int(pd.Timestamp(resolved["event_ts"].min()).value // 1_000_000)
-            if done_ms - created_ms > limit_ms:
-                yield pd.DataFrame([[ticket_id, user_id, pd.Timestamp(created_ms, unit="ms"),
-                                     priority, category, "resolved late"]], columns=cols)
-            return
-        state.update((user_id, created_ms, priority, category))
-        state.setTimeoutTimestamp(created_ms + limit_ms)
-
-    return fn
-
-
-def stateful_ticket_alerts(tickets: DataFrame, s: DataFrame, pl: DataFrame, *,
-                           hours: float = 12, lateness: str = "0 seconds",
-                           segment: str = "Enterprise") -> DataFrame:
-    """Per-ticket state machine (applyInPandasWithState, event-time timeout): alert
-    when a segment account's ticket is resolved after ``hours``, or when the
-    watermark passes creation + ``hours`` with no resolution seen."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    events = (ticket_events(tickets).withWatermark("event_ts", lateness)
-              .join(segment_users(s, pl, segment), "user_id", "left_semi"))
-    return events.groupBy("ticket_id").applyInPandasWithState(
-        _alert_state_fn(hours), outputStructType=ALERT_SCHEMA, stateStructType=_STATE_SCHEMA,
-        outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
-
-
-def start_stateful_ticket_alerts(spark: SparkSession, source_dir: str, s: DataFrame,
-                                 pl: DataFrame, sink_dir: str, checkpoint_dir: str, *,
-                                 hours: float = 12, lateness: str = "0 seconds",
-                                 available_now: bool = True) -> StreamingQuery:
-    q = (stateful_ticket_alerts(tickets_stream(spark, source_dir), s, pl, hours=hours,
-                                lateness=lateness)
-         .writeStream.format("parquet").outputMode("append")
-         .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    return q.start()

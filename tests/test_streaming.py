@@ -52,36 +52,3 @@ def test_stream_ticket_alerts_equal_batch(spark, tmp_path):
     ref = sorted(r.ticket_id for r in extensions.x_ticket_alert(
         m.support_tickets, m.subscriptions, m.plans).collect())
     assert got == ref and len(got) > 0
-
-
-def test_stateful_ticket_alert_boundaries(spark, tmp_path):
-    from decimal import Decimal
-
-    from helpers import d, sub, table, ts
-    tickets = table(spark, "support_tickets", [
-        {"ticket_id": 1, "user_id": 1, "created_date": ts("2025-01-01 00:00:00"),
-         "category": "Billing", "priority": "High", "resolution_hours": Decimal("12.00")},
-        {"ticket_id": 2, "user_id": 1, "created_date": ts("2025-01-01 00:00:00"),
-         "category": "Billing", "priority": "High", "resolution_hours": Decimal("12.01")},
-        {"ticket_id": 3, "user_id": 1, "created_date": ts("2025-01-01 00:00:00"),
-         "category": "Billing", "priority": "High", "resolution_hours": None},
-        {"ticket_id": 4, "user_id": 1, "created_date": ts("2025-01-03 00:00:00"),
-         "category": "Billing", "priority": "Low", "resolution_hours": Decimal("1.00")},
-        {"ticket_id": 5, "user_id": 1, "created_date": ts("2025-01-02 20:00:00"),
-         "category": "Billing", "priority": "Low", "resolution_hours": None},   # deadline > watermark
-        {"ticket_id": 6, "user_id": 2, "created_date": ts("2025-01-01 00:00:00"),
-         "category": "Billing", "priority": "Low", "resolution_hours": None},   # not Enterprise
-    ])
-    s = table(spark, "subscriptions", [sub(1, uid=1, plan=1), sub(2, uid=2, plan=2)])
-    pl = table(spark, "plans", [
-        {"plan_id": 1, "plan_name": "Top", "monthly_price": Decimal("499.00"),
-         "target_segment": "Enterprise", "max_seats": 9},
-        {"plan_id": 2, "plan_name": "Low", "monthly_price": Decimal("15.00"),
-         "target_segment": "SMB", "max_seats": 1}])
-    src = str(tmp_path / "tickets")
-    tickets.write.parquet(src)
-    out = stream.run_available_now(spark, stream.start_stateful_ticket_alerts, src, s, pl)
-    got = sorted((r.ticket_id, r.alert_reason) for r in out.collect())
-    # watermark = latest event 2025-01-03 01:00: ticket 3's deadline passed, ticket 5's not
-    assert got == [(2, "resolved late"), (3, "open past deadline")]
-    _ = d
