@@ -1,5 +1,5 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, exact
-shingle containment verifies them.
+shingle containment verifies them and gives the spans.
 
 A text is cut into windows of words that overlap by half, at each of a few widths that
 double. A template is looked for in the windows of the least width that holds it whatever
@@ -27,7 +27,8 @@ MAX_TEMPLATES = 2_000
 _SEEDS = seeded(BANDS, 77)
 _STEP = seeded(SHINGLE, 41) | _U(1)
 
-# Templates of license notices (fixed values).
+# Templates of license notices (fixed values): one-line notices, and the notices that files
+# commonly carry, as a whole. Full license texts are not among them.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
@@ -45,6 +46,24 @@ TEMPLATES: dict[str, str] = {
     "ISC-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
                  "without fee is hereby granted",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of "
+                      "the GNU General Public License as published by the Free Software Foundation, either version 3 "
+                      "of the License, or (at your option) any later version. This program is distributed in the hope "
+                      "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                      "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for "
+                      "more details.",
+    "LGPL-3.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of "
+                       "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+                       "version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of "
+                       "the GNU Affero General Public License as published by the Free Software Foundation, either "
+                       "version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+                      "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "BSD-clauses": "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+                   "the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+                   "this list of conditions and the following disclaimer in the documentation and/or other materials "
+                   "provided with the distribution.",
 }
 
 #: Words are runs of ASCII letters and digits and of any byte above 127, in lower case.
@@ -108,45 +127,101 @@ class Matcher:
         self.signature = signatures(flat, end - size, end) if len(flat) else np.empty((0, BANDS), _U)
         # the width of window in which a template is looked for
         self.width = 2 ** np.ceil(np.log2(np.maximum(2 * self.length, 16))).astype(np.int64)
+        # per width, the band keys of its templates as one sorted array
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in np.unique(self.width).tolist():
+            group = np.flatnonzero(self.width == width)
+            key = band_keys(self.signature[group])
+            order = np.argsort(key.ravel(), kind="stable")
+            self.keys[width] = key.ravel()[order], np.repeat(group, BANDS)[order]
+
+    def retrieve(self, width: int, sig: np.ndarray) -> list[tuple[int, int]]:
+        """(window, template) of all windows and templates that share a band."""
+        known, owner = self.keys[width]
+        key = band_keys(sig).ravel()
+        lo = np.searchsorted(known, key)
+        many = np.searchsorted(known, key, side="right") - lo
+        hit = np.flatnonzero(many)
+        many = many[hit]
+        nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        found = np.stack([np.repeat(hit // BANDS, many), owner[np.repeat(lo[hit], many) + nth]], axis=1)
+        return list(map(tuple, np.unique(found, axis=0).tolist()))
 
     def scan(self, texts: pa.Array) -> list[tuple[int, str, float, int, int]]:
-        """(row, template, containment, first byte, end byte) of every verified match."""
+        """(row, template, containment, first byte, end byte) of every verified notice."""
         doc, h, start, end = word_hashes(texts)
         if len(doc) == 0 or not self.names:
             return []
         sh = runs(doc, h)
         begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
         count = np.diff(np.r_[begin, len(doc)])
-        best: dict[tuple[int, str], tuple[float, int, int]] = {}
-        for width in np.unique(self.width):
-            group = np.flatnonzero(self.width == width)
-            step = int(width) // 2
+        found: dict[tuple[int, int], set[tuple[float, int, int]]] = {}
+        for width in self.keys:
+            step = width // 2
             per = np.maximum(1, -(-(count - step) // step))       # windows of each text
             text = np.repeat(np.arange(len(begin)), per)
             at = begin[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))
             to = np.minimum(at + width, begin[text] + count[text])
-            sig = signatures(sh, at, to)
-            for t in group:
-                hit = np.flatnonzero((sig == self.signature[t]).any(axis=1))
-                for w in hit.tolist():
-                    inside = sh[at[w]:to[w]]
-                    mine = np.isin(inside, self.shingles[t])
-                    share = len(np.unique(inside[mine])) / len(self.shingles[t])
-                    if share >= self.containment:
-                        place = np.flatnonzero(mine)
-                        first, last = at[w] + place[0], min(at[w] + place[-1] + SHINGLE, to[w]) - 1
-                        key = (int(doc[at[w]]), self.names[t])
-                        found = (share, -int(start[first]), int(end[last]))
-                        best[key] = max(best.get(key, found), found)
-        return [(row, name, share, -neg, stop) for (row, name), (share, neg, stop) in sorted(best.items())]
+            for w, t in self.retrieve(width, signatures(sh, at, to)):
+                which = np.searchsorted(self.shingles[t], sh[at[w]:to[w]])
+                which[which == len(self.shingles[t])] = 0
+                place = np.flatnonzero(self.shingles[t][which] == sh[at[w]:to[w]])
+                spans = dense_spans((place + at[w]).tolist(), which[place].tolist(), len(self.shingles[t]) * self.containment)
+                if spans:
+                    found.setdefault((int(doc[at[w]]), t), set()).update(
+                        (n / len(self.shingles[t]), first, last) for n, first, last in spans)
+        out = []
+        for (row, t), spans in found.items():
+            taken: list[tuple[int, int]] = []
+            for share, first, last in sorted(spans, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+                stop = min(last + SHINGLE, int(begin[np.searchsorted(begin, first, side="right") - 1]
+                                               + count[np.searchsorted(begin, first, side="right") - 1])) - 1
+                if all(stop < a or b < first for a, b in taken):      # windows see one notice twice
+                    taken.append((first, stop))
+                    out.append((row, self.names[t], share, int(start[first]), int(end[stop])))
+        return sorted(out, key=lambda x: (x[0], x[1], x[3]))
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """Signature values made different from band to band."""
+    with np.errstate(over="ignore"):
+        return mix64(sig ^ _SEEDS[None, :])
+
+
+def dense_spans(place: list[int], which: list[int], least: float) -> list[tuple[int, int, int]]:
+    """(distinct shingles, first place, last place) of the notices among a template's shingles
+    found at ``place`` (ascending; ``which`` shingle each is).
+
+    The shortest run that holds as many distinct shingles as there are is a notice, if they
+    are enough; then the places before it and after it are looked through in the same way.
+    Shingles that stray around a notice are therefore outside its span.
+    """
+    need = len(set(which))
+    if need == 0 or need < least:
+        return []
+    seen: dict[int, int] = {}
+    best, lo = None, 0
+    for hi, x in enumerate(which):
+        seen[x] = seen.get(x, 0) + 1
+        while seen[which[lo]] > 1:
+            seen[which[lo]] -= 1
+            lo += 1
+        if len(seen) == need and (best is None or place[hi] - place[lo] < place[best[1]] - place[best[0]]):
+            best = lo, hi
+    lo, hi = best
+    return [*dense_spans(place[:lo], which[:lo], least), (need, place[lo], place[hi]),
+            *dense_spans(place[hi + 1:], which[hi + 1:], least)]
 
 
 def scan_licenses(docs: DataFrame, *, templates: Mapping[str, str] = TEMPLATES, containment: float = 0.8,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, template, containment, first_byte, end_byte): each template found in each row.
+    """(doc_id, template, containment, first_byte, end_byte): every notice found in each row.
 
     Found means: a window holds at least ``containment`` of the template's distinct 3-word
-    shingles (exact check). Of several windows the best, then the first, gives the span.
+    shingles (exact check). The span is the shortest run of shingles that holds them, without
+    stray shingles around it; notices that repeat in one text are reported each, and of
+    overlapping spans of one template the fullest, then the shortest, then the first. A template
+    is looked for in windows that hold it whole with room for as many words again.
     Rows without a match, NULL and empty texts among them, give no rows; repeated rows are
     reported each. Windows of any text are made in the task that reads it: no shuffle.
     """
