@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import (PrefixHash, freeze, keep_rows, mix64, raw_bytes, shingles, slices,
-                                small_batches, text_of, words)
+from recurra.llm.common import (PrefixHash, keep_rows, mix64, raw_bytes, shingles, slices, small_batches,
+                                stored, text_of, words)
 from recurra.llm.components import components
 
 SHINGLE = 5
@@ -27,11 +27,11 @@ BANDS, ROWS = 40, 6                  # a pair at 0.8 misses every band with prob
 #: Samples of a signature: the first BANDS * ROWS make the bands, all of them the estimate.
 K = 480
 BITS = 8                             # kept of each sample; two samples agree by chance 1 in 256
-#: Estimated similarity below which a pair is not verified: 5 standard deviations of the
+#: Estimated similarity below which a pair is not likely: 5 standard deviations of the
 #: estimate under the threshold (a pair at 0.8 falls below with probability 9e-7, less than
 #: it misses all bands).
 ESTIMATE_SLACK = 5.0
-#: Members of one bucket are compared in blocks of this many rows.
+#: Members of a bucket, and nodes of a cluster, are compared in blocks of this many rows.
 BLOCK = 512
 _U = np.uint64
 
@@ -209,62 +209,179 @@ def _likely(threshold: float):
     return run
 
 
+class Forest:
+    """Union-find over small integers; a root is the least member of its tree."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether x and y were apart."""
+        x, y = sorted((self.root(x), self.root(y)))
+        self.up[y] = x
+        return x != y
+
+
 def _across(threshold: float):
-    """Of one (bucket, block of stragglers, block of members): the likely pairs whose two
-    components differ and whose first shared band is this bucket."""
+    """Of one (bucket, block of stragglers, block of members): likely pairs that join different
+    components, only as many as it takes to connect what they connect."""
     least = _least_estimate(threshold)
 
     def run(block: pa.Table) -> pa.Table:
         node, comp = np.asarray(block["node"]), np.asarray(block["comp"])
         size, side = np.asarray(block["size"]), np.asarray(block["side"])
         sig = np.frombuffer(b"".join(block["sig"].to_pylist()), np.uint8).reshape(len(node), K)
-        band = band_keys(sig)
-        here = np.asarray(block["bucket"])[0].view(_U) if len(node) else _U(0)
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        _, number = np.unique(comp, return_inverse=True)
+        forest = Forest(len(node))
+        top = number.copy()                            # a root of every row's component, kept up to date
         out_a, out_b = [], []
         for i in left:
-            j = right[(comp[right] != comp[i])
+            j = right[(top[right] != top[i])
                       & (np.minimum(size[right], size[i]) >= threshold * np.maximum(size[right], size[i]))]
             j = j[estimate(sig[j], sig[i]) >= least]
+            for k in j.tolist():
+                if forest.join(int(number[i]), int(number[k])):
+                    out_a.append(min(node[i], node[k]))
+                    out_b.append(max(node[i], node[k]))
             if len(j):
-                shared = band[j] == band[i]
-                first = shared.argmax(axis=1)
-                j = j[band[i][first] == here]
-            # two stragglers meet twice: keep the pair once
-            j = j[~(np.asarray(block["straggler"])[j] & (node[j] < node[i]))]
-            out_a.append(np.minimum(node[i], node[j]))
-            out_b.append(np.maximum(node[i], node[j]))
-        empty = np.empty(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+                roots = np.fromiter((forest.root(x) for x in range(int(number.max()) + 1)), np.int64)
+                top = roots[number]
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    return run
+
+
+# --- exact links ----------------------------------------------------------------------------
+
+def elements_of(texts: pa.Array, weighting: str) -> list[bytes]:
+    """Each text's elements as sorted 64-bit integers: its shingles, or (``count``) one element
+    for each time a shingle occurs, so that the Jaccard similarity of element sets is that of
+    the shingle sets or multisets."""
+    doc, sh, weight = text_shingles(texts, weighting)
+    times = weight.astype(np.int64)
+    own = np.repeat(np.arange(len(sh)), times)
+    nth = np.arange(len(own)) - np.repeat(np.cumsum(times) - times, times)
+    doc = doc[own]
+    with np.errstate(over="ignore"):
+        element = np.where(nth == 0, sh[own], mix64(sh[own] + nth.astype(_U) * _U(0x9E3779B97F4A7C15)))
+    order = np.lexsort((element, doc))
+    to = np.cumsum(np.bincount(doc, minlength=len(texts)))
+    raw = element[order].tobytes()
+    return [raw[8 * x:8 * y] for x, y in zip([0, *to[:-1].tolist()], to.tolist())]
+
+
+def _elements(weighting: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(batch.column("text")):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(at, len(texts)), pa.array(elements_of(texts, weighting), pa.binary())],
+                    names=["node", "elements"])
     return run
 
 
-def _verify(threshold: float, weighting: str):
-    """Exact similarity of pairs that carry both texts; the pairs that reach the threshold."""
+def exact_links(elements: list[bytes], left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
+    """Pairs (one of ``left``, one of ``right``) whose element sets reach the threshold.
+
+    Common elements are counted by products of 0/1 matrices, a portion of the elements at a
+    time; elements of a single text are in no product. Counts are exact in 32-bit floats.
+    """
+    size = np.array([len(e) // 8 for e in elements], np.int64)
+    flat = np.frombuffer(b"".join(elements), _U)
+    row = np.repeat(np.arange(len(elements)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    new = np.r_[True, flat[1:] != flat[:-1]] if len(flat) else np.empty(0, bool)
+    begin = np.flatnonzero(new)
+    often = np.diff(np.r_[begin, len(flat)]) > 1
+    number = np.cumsum(often) - 1
+    which = np.cumsum(new) - 1
+    pick = often[which] if len(which) else np.empty(0, bool)
+    row, column = row[pick], number[which[pick]]
+    common = np.zeros((len(left), len(right)), np.float32)
+    place_l, place_r = np.full(len(elements), -1), np.full(len(elements), -1)
+    place_l[left], place_r[right] = np.arange(len(left)), np.arange(len(right))
+    shared = int(often.sum())
+    width = min(shared, max(256, (8 << 20) // max(1, len(left) + len(right))))
+    for lo in range(0, shared, max(1, width)):
+        x, y = np.searchsorted(column, [lo, lo + width])
+        r, c = row[x:y], column[x:y] - lo
+        a, b = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        some = place_l[r] >= 0
+        a[place_l[r[some]], c[some]] = 1
+        some = place_r[r] >= 0
+        b[place_r[r[some]], c[some]] = 1
+        common += a @ b.T
+    either = size[left][:, None] + size[right][None, :] - common
+    hit_l, hit_r = np.nonzero(common >= threshold * either - 1e-6)
+    return zip(left[hit_l].tolist(), right[hit_r].tolist())
+
+
+def _link_blocks(threshold: float):
+    """From a partition sorted by (cluster, i, j): the exact links of each block pair, as links to the
+    least node of every component of the block. (cluster, a, b)."""
+    def block(cluster: int, same: bool, node: np.ndarray, side: np.ndarray, elements: list[bytes]) -> pa.RecordBatch:
+        left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if not same else (np.arange(len(node)),) * 2
+        order = np.argsort(node, kind="stable")
+        place = np.empty(len(node), np.int64)
+        place[order] = np.arange(len(node))                  # the forest's roots are least nodes
+        forest = Forest(len(node))
+        for x, y in exact_links(elements, left, right, threshold):
+            forest.join(int(place[x]), int(place[y]))
+        root = np.fromiter((forest.root(x) for x in range(len(node))), np.int64, len(node))
+        linked = np.flatnonzero(root != np.arange(len(node)))
+        by_place = node[order]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(linked), cluster)), pa.array(by_place[root[linked]]), pa.array(by_place[linked])],
+            names=["cluster", "a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done() -> pa.RecordBatch:
+            return block(key[0], key[1] == key[2], np.array([h[0] for h in held], np.int64),
+                         np.array([h[1] for h in held]), [h[2] for h in held])
+
         for batch in batches:
-            for at, left in slices(batch.column("text_a")):
-                part = batch.slice(at, len(left))
-                da, sa, wa = text_shingles(left, weighting)
-                db, sb, wb = text_shingles(part.column("text_b"), weighting)
-                m = len(left)
-                with np.errstate(over="ignore"):       # one key space per pair
-                    ka = np.stack([da.astype(_U), sa], axis=1).view("V16").ravel()
-                    kb = np.stack([db.astype(_U), sb], axis=1).view("V16").ravel()
-                _, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-                both = np.bincount(da[ia], weights=np.minimum(wa[ia], wb[ib]), minlength=m)
-                either = (np.bincount(da, weights=wa, minlength=m)
-                          + np.bincount(db, weights=wb, minlength=m) - both)
-                ok = both >= threshold * either - 1e-9
-                yield part.select(["a", "b"]).filter(pa.array(ok))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j", "node", "side", "elements")))
+            for cluster, i, j, node, side, elements in rows:
+                if held and (cluster, i, j) != key:
+                    yield done()
+                    held = []
+                key = (cluster, i, j)
+                held.append((node, side, elements))
+        if held:
+            yield done()
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, weighting: str) -> DataFrame:
-    """(a, b) of ``pairs`` that reach the threshold; ``texts`` is (node, text)."""
-    full = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(threshold, weighting), "a long, b long")
+def linked_roots(clusters: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of the nodes with an exact link; ``clusters`` is (node, cluster, n): every pair of
+    likely links is in one cluster, of n nodes.
+
+    All pairs of a cluster are compared. A cluster of up to BLOCK nodes is one group and its
+    components are final; a larger one is cut into blocks, each pair of blocks is a group of its
+    own, and the groups' links (fewer than their rows) go through ``components``.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = (clusters.withColumn("blocks", blocks)
+            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(elements, "node"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = rows.select("cluster", "node", "elements", "mine", others).select(
+        "cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node",
+        (F.col("mine") > F.col("other")).cast("int").alias("side"), "elements")
+    found = stored(pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+                   .mapInArrow(_link_blocks(threshold), "cluster long, a long, b long"))
+    large = clusters.filter(F.col("n") > BLOCK).select("cluster").distinct()
+    small = found.join(large, "cluster", "left_anti")
+    roots = small.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    cut = found.join(large, "cluster", "left_semi").select("a", "b")
+    return roots if cut.isEmpty() else roots.unionByName(components(cut))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -278,18 +395,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     words, NULL included, is a class of its own. Rows with the same shingle set (or
     multiset) are first reduced to one node, so copies never meet in pairs. An empty table gives no rows.
 
-    In a band bucket the smallest node is the pivot; every member is compared with it, and
-    the verified links give components. The pairs that are left are those of one bucket
-    whose two components differ. They are found in blocks of the bucket's stragglers
-    (members outside its largest component) against its members, each pair only in its
-    first shared band, so that a bucket of any size is spread over tasks and pairs
-    inside a component are never built.
+    In a band bucket the smallest node is the pivot, and every member is compared with it by
+    signature; then, in blocks, the bucket's stragglers (members outside its largest
+    component) with its members, and a block hands on only the links that connect it. Nodes
+    connected by likely links make a cluster. Inside a cluster all pairs are compared exactly, so
+    that no likely pair needs a row, a join or a text of its own: rows grow with the nodes.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    sketched = freeze(sketches(docs, id_col=id_col, text_col=text_col, weighting=weighting)
+    sketched = stored(sketches(docs, id_col=id_col, text_col=text_col, weighting=weighting)
                       .withColumn("doc_id", F.col("id").cast(id_type)).drop("id"))
-    nodes = freeze(
+    nodes = stored(
         sketched.filter("set_key is not null").groupBy("set_key")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_sha")).alias("m"),
              F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"))
@@ -298,7 +414,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     banded = nodes.select("node", "sig").mapInArrow(_band_rows, "bucket long, node long")
     shared = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    members = freeze(banded.join(shared, "bucket").select("bucket", "node", "pivot"))
+    members = stored(banded.join(shared, "bucket").select("bucket", "node", "pivot"))
     sigs = nodes.select("node", "size", "sig")
 
     def side(name: str) -> DataFrame:
@@ -306,22 +422,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                            F.col("sig").alias(f"sig_{name}"))
 
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    likely = freeze(stars.join(side("a"), "a").join(side("b"), "b")
+    likely = stored(stars.join(side("a"), "a").join(side("b"), "b")
                     .mapInArrow(_likely(threshold), "a long, b long"))
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """(node, text) of the nodes in ``pairs``: one row of the input each."""
-        wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-                  .distinct().join(nodes.select("node", "doc_id", "text_sha"), "node"))
-        key = F.struct("doc_id", "text_sha").alias("key")
-        rows = docs.select(F.struct(F.col(id_col).alias("doc_id"),
-                                    F.sha2(text_of(text_col), 256).alias("text_sha")).alias("key"),
-                           text_of(text_col).alias("text"))
-        found = rows.join(wanted.select(key, "node"), "key")
-        return found.groupBy("node").agg(F.first("text").alias("text"))
-
-    links = freeze(_verified(likely, texts_of(likely), threshold, weighting))
-    roots = components(links)
+    roots = components(likely)
 
     # what the stars left open: pairs of one bucket in different components
     placed = (members.join(roots, "node", "left")
@@ -337,25 +440,37 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = (placed.join(open_buckets, "bucket").withColumn("straggler", F.col("comp") != F.col("big"))
             .withColumn("m_block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("s_block", F.pmod(F.xxhash64("node"), F.col("s_blocks")).cast("int")))
-    as_member = rows.select("bucket", "node", "comp", "straggler", F.lit(1).alias("side"),
-                            F.col("m_block").alias("j"),
+    as_member = rows.select("bucket", "node", "comp", F.lit(1).alias("side"), F.col("m_block").alias("j"),
                             F.explode(F.sequence(F.lit(0), F.col("s_blocks") - 1)).alias("i"))
     as_straggler = rows.filter("straggler").select(
-        "bucket", "node", "comp", "straggler", F.lit(0).alias("side"), F.col("s_block").alias("i"),
+        "bucket", "node", "comp", F.lit(0).alias("side"), F.col("s_block").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-    rest = freeze(
+    rest = stored(
         as_member.unionByName(as_straggler).join(sigs, "node")
-        .groupBy("bucket", "i", "j").applyInArrow(_across(threshold), "a long, b long")
-        .join(likely, ["a", "b"], "left_anti"))
-    more = freeze(_verified(rest, texts_of(rest), threshold, weighting))
-    named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    if not more.isEmpty():               # these few links join whole components
-        of = roots.select(F.col("node"), F.col("root"))
-        ends = (more.join(of.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
-                .join(of.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
+        .groupBy("bucket", "i", "j").applyInArrow(_across(threshold), "a long, b long"))
+
+    placed_in = roots.select("node", F.col("root").alias("cluster"))
+    if not rest.isEmpty():                                # these links join whole components
+        ends = (rest.join(roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
+                .join(roots.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
                 .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
-        named = (named.join(components(ends).select(F.col("node").alias("root"), F.col("root").alias("top")),
-                            "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
+        tops = components(ends)
+        known = roots.unionByName(tops.join(roots.select("node"), "node", "left_anti"))
+        placed_in = (known.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+                     .select("node", F.coalesce("top", "root").alias("cluster")))
+    placed_in = stored(placed_in)
+    clusters = stored(placed_in.join(placed_in.groupBy("cluster").agg(F.count("*").alias("n")), "cluster"))
+
+    # one text of every node in a cluster, as elements
+    key = F.struct("doc_id", "text_sha").alias("key")
+    wanted = clusters.select("node").join(nodes.select("node", "doc_id", "text_sha"), "node").select("node", key)
+    texts = docs.select(F.struct(F.col(id_col).alias("doc_id"),
+                                 F.sha2(text_of(text_col), 256).alias("text_sha")).alias("key"),
+                        text_of(text_col).alias("text"))
+    elements = stored(texts.join(wanted, "key").select("node", "text")
+                      .mapInArrow(_elements(weighting), "node long, elements binary").dropDuplicates(["node"]))
+    linked = linked_roots(clusters, elements, threshold)
+    named = nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_sha")
     classes = (named.groupBy("root").agg(F.min(lowest).alias("m"), F.sum("copies").alias("class_size"))
                .select("root", F.col("m.doc_id").alias("class_id"), F.col("m.text_sha").alias("keep_sha"),

@@ -147,6 +147,55 @@ def test_near_repeated_rows_and_null_ids(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [5, 9]
 
 
+def family(n, unique, seed):
+    """Texts of one template, each with some sentences of its own: similarity just under or over 0.8."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(200)]
+    return [(i, " ".join(base + [f"u{i}_{k}" for k in range(unique + rng.randint(0, 1))])) for i in range(n)]
+
+
+def test_family_just_under_the_threshold_matches_brute_force(spark):
+    rows = family(120, 24, 3) + [(500 + i, t) for i, t in family(60, 20, 4)]
+    got = {}
+    for r in dart_minhash.near_duplicates(frame(spark, rows)).collect():
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert sorted(map(sorted, got.values())) == brute_classes(rows)
+
+
+def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dart_minhash, "BLOCK", 16)
+    rows = family(90, 24, 5) + make_corpus(6, 8)[:30]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    got = {}
+    for r in dart_minhash.near_duplicates(frame(spark, rows)).collect():
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert sorted(map(sorted, got.values())) == brute_classes(rows)
+
+
+@pytest.mark.parametrize("n", [40, 80, 160])
+def test_rows_of_a_family_grow_with_its_texts(spark, monkeypatch, n):
+    """A family just under the threshold: no table has more rows than texts times bands."""
+    most = []
+    plain = dart_minhash.stored
+
+    def counting(df):
+        out = plain(df)
+        most.append(out.count())
+        return out
+    monkeypatch.setattr(dart_minhash, "stored", counting)
+    dart_minhash.near_duplicates(frame(spark, family(n, 24, 7))).count()
+    assert max(most) <= n * dart_minhash.BANDS
+
+
+def test_exact_links_are_the_pairs_that_reach_the_threshold():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))).astype(np.uint64) for _ in range(60)]
+    raw = [x.tobytes() for x in sets]
+    left, right = np.arange(0, 35), np.arange(20, 60)
+    want = {(i, j) for i in left for j in right if len(np.intersect1d(sets[i], sets[j])) >= 0.5 * len(np.union1d(sets[i], sets[j]))}
+    assert set(dart_minhash.exact_links(raw, left, right, 0.5)) == want
+
+
 def test_near_empty_table(spark):
     assert dart_minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
