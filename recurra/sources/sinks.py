@@ -17,10 +17,18 @@ PARTITION_COLUMNS = {
 }
 
 
+def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows brought together by the partition columns of a write, so that it does not make a
+    file per task and partition. The rebalancing shuffle is adaptive: a large partition is
+    split over several tasks and files, small ones share a task."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def snk_append(df: DataFrame, table: str, *, path: str | None = None,
                partition_by: list[str] | None = None) -> None:
-    """Append rows to a table (catalog table, or a Parquet directory when ``path``)."""
-    w = df.write.mode("append")
+    """Append rows to a table (catalog table, or a Parquet directory when ``path``); with
+    ``partition_by`` the rows are clustered by those columns first."""
+    w = (clustered(df, partition_by) if partition_by else df).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path:
@@ -37,11 +45,11 @@ def snk_csv(df: DataFrame, path: str) -> None:
 
 
 def snk_parquet(df: DataFrame, path: str, name: str | None = None) -> None:
-    """Overwrite a Parquet directory; known fact tables are partitioned by month."""
+    """Overwrite a Parquet directory; known fact tables are clustered and partitioned by month."""
     spec = PARTITION_COLUMNS.get(name or "")
     if spec:
         src, part = spec
-        (df.withColumn(part, month_start(src)).sortWithinPartitions(part, src)
+        (clustered(df.withColumn(part, month_start(src)), [part]).sortWithinPartitions(part, src)
          .write.mode("overwrite").partitionBy(part).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)

@@ -107,3 +107,28 @@ def test_corrupt_csv_records_are_kept_and_counted(spark, tmp_path):
     assert (got.corrupt_rows, got.rows) == (1, 2)
     rows = {r.subscription_id: r for r in df.collect()}
     assert rows[1]._corrupt_record is None and "not a date" in rows[2]._corrupt_record
+
+
+def test_month_partitioned_writes_make_few_files(spark, tmp_path):
+    """One file per month where months are small, several where one is large; nothing is lost."""
+    rows = [pay(i, when=f"2025-{1 + i % 6:02d}-05 00:00:00") for i in range(600)]
+    scattered = table(spark, "payments", rows).repartition(16)
+    sinks.snk_parquet(scattered, str(tmp_path / "payments"), "payments")
+    sinks.snk_append(scattered.withColumn("status", F.col("payment_status")), "x", path=str(tmp_path / "appended"),
+                     partition_by=["status", "plan_id"])
+    files = [f for _, _, names in os.walk(tmp_path / "payments") for f in names if f.endswith(".parquet")]
+    assert 6 <= len(files) <= 12                      # 16 tasks x 6 months without clustering
+    appended = [f for _, _, names in os.walk(tmp_path / "appended") for f in names if f.endswith(".parquet")]
+    assert len(appended) <= 2
+    back = spark.read.parquet(str(tmp_path / "payments"))
+    assert sorted(r.payment_id for r in back.collect()) == list(range(600))
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        hot = table(spark, "payments", [pay(i, when="2025-01-05 00:00:00") for i in range(5000)]).repartition(16)
+        sinks.snk_parquet(hot, str(tmp_path / "hot"), "payments")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    split = [f for _, _, names in os.walk(tmp_path / "hot") for f in names if f.endswith(".parquet")]
+    assert len(split) > 1                             # a hot month is not one task
