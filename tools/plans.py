@@ -13,13 +13,16 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from recurra.plans.registry import all_queries, model  # noqa: E402
+from recurra.plans import registry  # noqa: E402
+from recurra.plans.registry import all_queries  # noqa: E402
 from recurra.session import local_session  # noqa: E402
+from recurra.sources.load import load_model  # noqa: E402
 
 BIG = {"cln_generic", "n3_feature_matrix"}
 KEYS = ["q02_mrr_mom", "q04_expansion", "q06_ltv_deciles", "q07_cohort_counts", "q09_churn_warning",
         "q10_nrr", "q12_outliers", "q19_arr_forecast", "cln_generic", "aud_fk",
-        "kpi_monthly_snapshot", "d06_nrr_12m", "n3_feature_matrix", "x_retry_recovery"]
+        "kpi_monthly_snapshot", "d06_nrr_12m", "n3_feature_matrix", "x_retry_recovery",
+        "d_cards_contexts", "d06_d07_by_region", "kpi_distinct_rollup", "iv_activity_within", "n5_auc_exact"]
 
 
 def clean(plan: str) -> str:
@@ -35,7 +38,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     keys = sys.argv[2:] or KEYS
     spark = local_session(cores=8, shuffle_partitions=16)
-    model(spark, sf_dir)
+    registry.model = load_model                     # keys read the stored tables
     q = all_queries()
     out = [f"# Final physical plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n",
            "Generated by `tools/plans.py`; expression ids stripped. Inputs are the stored "
