@@ -49,10 +49,11 @@ def source_targets(sized: DataFrame, weights: Sequence[int], max_repeat: int) ->
     level = ((F.col("total") - F.col("caps_before")).cast("double")
              / (F.col("weights") - F.col("weights_before")).cast("double"))
     per = per.withColumn("level", level)
-    # the first source whose cap is not reached fixes the level of itself and all after it
+    # the first source, in the order of the sums above, whose cap is not reached fixes the level
+    # of itself and all after it (sources that tie on cap / weight are ordered by name)
     free = F.col("cap").cast("double") >= F.col("level") * F.col("weight")
-    per = (per.withColumn("free_level", F.min_by("level", F.when(free, F.col("cap") / F.col("weight")))
-                          .over(whole))
+    per = (per.withColumn("place", F.row_number().over(by_ratio))
+           .withColumn("free_level", F.min_by("level", F.when(free, F.col("place"))).over(whole))
            .withColumn("target", F.least(F.col("cap").cast("double"),
                                          F.coalesce(F.col("free_level") * F.col("weight"),
                                                     F.col("cap").cast("double")))))
@@ -71,9 +72,10 @@ def plan_copies(docs: DataFrame, *, weights: Sequence[int] = (5, 2, 1), max_repe
     """One row per document: (row, size, source_size, target, copies); ``row`` is the input row.
 
     ``copies`` is floor(rate) plus one where the document's coin is below the fraction,
-    rate = target / source_size (0 for a source without words). Every document with the
-    same id has the same coin, so reruns agree and a repeated row is treated alike; a NULL
-    id is an id of its own. Documents without words count 0 but are emitted at their
+    rate = target / source_size (0 for a source without words). The coin comes from the id and
+    the text, so reruns agree, rows without an id have coins of their own, and rows that repeat
+    an id and its text are treated alike. Sources that tie on cap / weight are both capped or
+    both share. Documents without words count 0 but are emitted at their
     source's rate. NULL sources form one source, the last. An empty table gives no rows.
 
     The text is read twice (sizes per source, then emission); between the two only the
@@ -91,7 +93,7 @@ def plan_copies(docs: DataFrame, *, weights: Sequence[int] = (5, 2, 1), max_repe
                         F.col("source").eqNullSafe(F.col("plan_source")))
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     whole = F.floor(rate)
-    extra = (coin(seed, F.col(f"row.{id_col}")) < rate - whole).cast("long")
+    extra = (coin(seed, F.col(f"row.{id_col}"), F.md5(text_of(F.col(f"row.{text_col}")))) < rate - whole).cast("long")
     return joined.select("row", "size", "source_size", "target", (whole + extra).alias("copies"))
 
 

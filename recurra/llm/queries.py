@@ -124,29 +124,30 @@ _BITS = " + ".join(f"CASE WHEN {cond} THEN {1 << i} ELSE 0 END"
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": f"""
-WITH sized AS (
-  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(text, '')) AS text_md5 FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
   FROM sized GROUP BY source),
-placed AS (
-  SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
-         coalesce(sum(3 * source_size) OVER w, 0) AS caps_before, coalesce(sum(weight) OVER w, 0) AS weights_before
-  FROM per
-  WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-levels AS (
-  SELECT *, CAST(total - caps_before AS DOUBLE) / CAST(weights - weights_before AS DOUBLE) AS level FROM placed),
-fixed AS (
-  SELECT arg_min(level, cap / weight) AS level FROM levels WHERE CAST(cap AS DOUBLE) >= level * weight),
+shared(round, source, source_size, weight, capped) AS (
+  SELECT 0, source, source_size, weight, FALSE FROM per
+  UNION ALL
+  SELECT round + 1, source, source_size, weight,
+         capped OR 3.0::DOUBLE * source_size < weight * (
+           CAST(sum(source_size) OVER () - coalesce(sum(CASE WHEN capped THEN 3 * source_size END) OVER (), 0) AS DOUBLE)
+           / CAST(sum(CASE WHEN NOT capped THEN weight END) OVER () AS DOUBLE))
+  FROM shared WHERE round < (SELECT count(*) FROM per)),
 plan AS (
   SELECT source, source_size,
-         least(CAST(cap AS DOUBLE), coalesce((SELECT level FROM fixed) * weight, CAST(cap AS DOUBLE))) AS target
-  FROM levels),
+         CASE WHEN capped THEN 3.0::DOUBLE * source_size ELSE weight * (
+           CAST(sum(source_size) OVER () - coalesce(sum(CASE WHEN capped THEN 3 * source_size END) OVER (), 0) AS DOUBLE)
+           / CAST(sum(CASE WHEN NOT capped THEN weight END) OVER () AS DOUBLE)) END AS target
+  FROM shared WHERE round = (SELECT count(*) FROM per)),
 rated AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate,
-         CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '~')), 1, 13) AS BIGINT)
+         CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '~') || ':' || text_md5), 1, 13) AS BIGINT)
            / 4503599627370496.0::DOUBLE AS coin
   FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source),
 copied AS (

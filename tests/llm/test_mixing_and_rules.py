@@ -49,6 +49,27 @@ def test_targets_match_repeated_sharing(spark, seed):
     assert sum(want.values()) == pytest.approx(sum(sizes.values()))
 
 
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100, "d": 100}, {"a": 100, "b": 40}, {"a": 100, "b": 20, "c": 10, "d": 100, "e": 30},
+    {"only": 50}, {"a": 5, "b": 2, "c": 1, "d": 5, "e": 2, "f": 1, None: 900}, {"a": 1, "b": 1, "c": 0, "d": 7}])
+def test_ties_between_sources(spark, sizes):
+    """Equal sizes, equal caps per weight, a single source: all sizes are shared out, none negative."""
+    rows = [(i, s, "w " * n) for i, (s, n) in enumerate(sizes.items())]
+    got = {r.row.source: r for r in mixing.plan_copies(frame(spark, rows)).collect()}
+    want = brute_targets(sizes)
+    assert {s: r.target for s, r in got.items()} == pytest.approx(want)
+    assert sum(r.target for r in got.values()) == pytest.approx(sum(sizes.values()))
+    assert all(r.target >= 0 and r.copies >= 0 for r in got.values())
+
+
+def test_rows_without_ids_have_coins_of_their_own(spark):
+    rows = [(i if i % 3 else None, s, f"text {i} of {s} with words") for i in range(900) for s in ("a", "b")]
+    got = [r for r in mixing.plan_copies(frame(spark, rows)).collect() if r.row.doc_id is None]
+    taken = [r.copies - int(r.target / r.source_size) for r in got if r.row.source == "b"]
+    rate = got[0].target / got[0].source_size
+    assert 0 < sum(taken) < len(taken) and len(got) == 600 and rate > 0
+
+
 def test_mix_emits_the_copies_and_reruns_agree(spark):
     rows = [(i, f"s{i % 4}", "one two three " * (i % 7 + 1)) for i in range(400)]
     docs = frame(spark, rows)
