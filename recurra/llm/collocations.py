@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 
 from recurra.llm.common import PrefixHash, mix64, raw_bytes, slices, small_batches, stored, text_of, words
 
-#: Suffixes of one group; on a larger corpus the budget grows so that there are at most
-#: MAX_GROUPS groups: their borders (8 bytes each) and the long prefixes (at most twice as
-#: many) are broadcast.
+#: Suffixes of one group that a task holds in memory. A small corpus is cut into some 256 groups
+#: all the same, so that they spread over the cluster; on a very large one the budget grows so
+#: that there are at most MAX_GROUPS: their borders (8 bytes each) and the long prefixes (at
+#: most twice as many) are broadcast.
 GROUP_SUFFIXES = 1 << 20
-MAX_GROUPS = 1 << 20
+GROUPS, MAX_GROUPS = 256, 1 << 20
 #: Suffixes that a task holds before it adds up equal ones and hands them on.
-PORTION = 1 << 19
+PORTION = 1 << 20
 #: Partial rankings of a language; only each one's best rows meet.
 SALTS = 64
 _U = np.uint64
@@ -164,21 +165,33 @@ def _suffixes(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count_prefixes(long_words: np.ndarray, long_pairs: np.ndarray | None):
     """(k1, k2, k3, r, n) of the suffixes below long prefixes, to depth 2 or, below long pairs, 3."""
+    def below(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        k1, k2, k3 = _suffixes(w)
+        pick = _in(k1, long_words)
+        if long_pairs is None:
+            return k1[pick], k2[pick], np.zeros(int(pick.sum()), _U)
+        pick &= k3 != 0
+        pick[pick] = _in(pair_key(k1[pick], k2[pick]), long_pairs)
+        return k1[pick], k2[pick], k3[pick]
+
+    def flush(held: list) -> pa.RecordBatch:
+        k1, k2, k3 = (np.concatenate([h[i] for h in held]) for i in range(3))
+        some, n = _sums([k1, k2, k3], np.ones(len(k1), np.int64))
+        k1, k2, k3 = k1[some], k2[some], k3[some]
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(x.view(np.int64)) for x in (k1, k2, k3, pair_key(k1, k2))), pa.array(n)],
+            names=["k1", "k2", "k3", "r", "n"])
+
     def run(parts: Iterator[Words]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for w in parts:
-            k1, k2, k3 = _suffixes(w)
-            pick = _in(k1, long_words)
-            if long_pairs is not None:
-                pick &= k3 != 0
-                pick[pick] = _in(pair_key(k1[pick], k2[pick]), long_pairs)
-            k1, k2, k3 = k1[pick], k2[pick], k3[pick] if long_pairs is not None else np.zeros(int(pick.sum()), _U)
-            if not len(k1):
-                continue
-            some, n = _sums([k1, k2, k3], np.ones(len(k1), np.int64))
-            k1, k2, k3 = k1[some], k2[some], k3[some]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x.view(np.int64)) for x in (k1, k2, k3, pair_key(k1, k2))), pa.array(n)],
-                names=["k1", "k2", "k3", "r", "n"])
+            held.append(below(w))
+            size += len(held[-1][0])
+            if size >= PORTION:
+                yield flush(held)
+                held, size = [], 0
+        if size:
+            yield flush(held)
     return run
 
 
@@ -346,8 +359,8 @@ def phrase_counts(rows: DataFrame, least: int, group_suffixes: int = GROUP_SUFFI
         counted = stored(counted.withColumn("key", F.when(hit, again("lang", "word")).otherwise(F.col("key"))))
 
     n = counted.agg(F.sum("n")).first()[0] or 0
-    budget = max(group_suffixes, n // MAX_GROUPS)
-    half = budget // 2
+    budget = max(min(group_suffixes, n // GROUPS), n // MAX_GROUPS, 1)
+    half = max(1, budget // 2)
     long_words = _unsigned(counted.filter(F.col("n") > half).select("key").collect(), "key")
     light = counted.filter(F.col("n") <= half).select(F.col("key").alias("r"), "n")
     long_pairs, known = np.empty(0, _U), None
