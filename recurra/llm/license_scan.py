@@ -24,6 +24,9 @@ SHINGLE = 3
 #: a quarter or more; 96 bands of one row miss a share of 0.2 with probability 5e-10.
 BANDS = 96
 MAX_TEMPLATES = 2_000
+#: Words of a text whose windows are compared at a time (a power of two, as all widths are).
+TILE = 1 << 15
+LOW_BITS = _U(0xFFFF)
 _SEEDS = seeded(BANDS, 77)
 _STEP = seeded(SHINGLE, 41) | _U(1)
 
@@ -94,18 +97,26 @@ def runs(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
 def signatures(sh: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """len(begin) x BANDS matrix: least seeded hash of the shingles in [begin, end)."""
     out = np.empty((len(begin), BANDS), _U)
-    edges = np.stack([begin, end], axis=1).ravel()
-    padded = np.r_[sh, _U(0)]
+    edges = np.stack([begin, end], axis=1).ravel() - begin[0]
+    sh = np.r_[sh[begin[0]:end[-1]], _U(0)]
+    leaves = np.where(sh == 0, ~_U(0), _U(0))       # words without a shingle never give the least
+    x, high = np.empty_like(sh), np.empty_like(sh)
     for b in range(BANDS):
-        with np.errstate(over="ignore"):
-            x = padded ^ _SEEDS[b]
-            x = x * _U(0x9E3779B97F4A7C15)
-            x ^= x >> _U(32)
-        x[padded == 0] = np.iinfo(np.uint64).max
+        np.bitwise_xor(sh, _SEEDS[b], out=x)
+        np.multiply(x, _U(0x9E3779B97F4A7C15), out=x)
+        np.right_shift(x, _U(32), out=high)
+        np.bitwise_xor(x, high, out=x)
+        np.bitwise_or(x, leaves, out=x)
         out[:, b] = np.minimum.reduceat(x, edges)[::2]
     return out
 
 
+def ordinals(many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, nth from 0) of the members of groups of ``many`` each."""
+    which = np.repeat(np.arange(len(many)), many)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+
+
 class Matcher:
     """The templates' bands and shingles; small, sent to every task."""
 
@@ -128,25 +139,70 @@ class Matcher:
         # the width of window in which a template is looked for
         self.width = 2 ** np.ceil(np.log2(np.maximum(2 * self.length, 16))).astype(np.int64)
         # per width, the band keys of its templates as one sorted array
-        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        # and by their low bits which keys cannot be there; the same shingle has another value in every band
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for width in np.unique(self.width).tolist():
             group = np.flatnonzero(self.width == width)
-            key = band_keys(self.signature[group])
-            order = np.argsort(key.ravel(), kind="stable")
-            self.keys[width] = key.ravel()[order], np.repeat(group, BANDS)[order]
+            key = self.signature[group].ravel()
+            order = np.argsort(key, kind="stable")
+            maybe = np.zeros(int(LOW_BITS) + 1, bool)
+            maybe[key & LOW_BITS] = True
+            self.keys[width] = key[order], np.repeat(group, BANDS)[order], maybe
 
     def retrieve(self, width: int, sig: np.ndarray) -> list[tuple[int, int]]:
         """(window, template) of all windows and templates that share a band."""
-        known, owner = self.keys[width]
-        key = band_keys(sig).ravel()
-        lo = np.searchsorted(known, key)
-        many = np.searchsorted(known, key, side="right") - lo
-        hit = np.flatnonzero(many)
-        many = many[hit]
-        nth = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-        found = np.stack([np.repeat(hit // BANDS, many), owner[np.repeat(lo[hit], many) + nth]], axis=1)
+        known, owner, maybe = self.keys[width]
+        key = sig.ravel()
+        hit = np.flatnonzero(maybe[key & LOW_BITS])
+        lo = np.searchsorted(known, key[hit])
+        many = np.searchsorted(known, key[hit], side="right") - lo
+        hit, lo, many = hit[many > 0], lo[many > 0], many[many > 0]
+        which, nth = ordinals(many)
+        found = np.stack([hit[which] // BANDS, owner[lo[which] + nth]], axis=1)
         return list(map(tuple, np.unique(found, axis=0).tolist()))
 
+    def tiles(self, begin: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(first, end) words of stretches that hold every window of every text, a few tiles
+        at a time, so that the signatures of a very long text are never all in memory."""
+        over = int(self.width.max()) // 2
+        tile = max(TILE, over)
+        text, nth = ordinals(np.maximum(1, -(-(count - over) // tile)))
+        at = begin[text] + tile * nth
+        to = np.minimum(at + tile + over, (begin + count)[text])
+        lo = 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(to, at[lo] + 4 * tile, side="right")))
+            yield at[lo:hi], to[lo:hi]
+            lo = hi
+
+    def windows(self, sh: np.ndarray, at: np.ndarray, to: np.ndarray
+                ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(width, first words, end words, signatures) of the windows of the stretches [at, to).
+
+        A window is two neighbouring halves, and two halves of one width make one of the next,
+        so the shingles are hashed once for all widths.
+        """
+        step, most = min(self.keys) // 2, max(self.keys)
+        many = -(-(to - at) // step)
+        text, nth = ordinals(many)
+        first = at[text] + step * nth
+        halves = signatures(sh, first, np.minimum(first + step, to[text]))
+        while True:
+            row = np.cumsum(many) - many                              # first half of every stretch
+            if 2 * step in self.keys:
+                text, nth = ordinals(np.maximum(1, many - 1))
+                one = row[text] + nth
+                two = row[text] + np.minimum(nth + 1, many[text] - 1)
+                first = at[text] + step * nth
+                yield (2 * step, first, np.minimum(first + 2 * step, to[text]),
+                       np.minimum(halves[one], halves[two]))
+            if 2 * step == most:
+                return
+            text, nth = ordinals(-(-many // 2))
+            one = row[text] + 2 * nth
+            two = row[text] + np.minimum(2 * nth + 1, many[text] - 1)
+            halves, many, step = np.minimum(halves[one], halves[two]), -(-many // 2), 2 * step
+
     def scan(self, texts: pa.Array) -> list[tuple[int, str, float, int, int]]:
         """(row, template, containment, first byte, end byte) of every verified notice."""
         doc, h, start, end = word_hashes(texts)
@@ -156,20 +212,17 @@ class Matcher:
         begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
         count = np.diff(np.r_[begin, len(doc)])
         found: dict[tuple[int, int], set[tuple[float, int, int]]] = {}
-        for width in self.keys:
-            step = width // 2
-            per = np.maximum(1, -(-(count - step) // step))       # windows of each text
-            text = np.repeat(np.arange(len(begin)), per)
-            at = begin[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per))
-            to = np.minimum(at + width, begin[text] + count[text])
-            for w, t in self.retrieve(width, signatures(sh, at, to)):
-                which = np.searchsorted(self.shingles[t], sh[at[w]:to[w]])
-                which[which == len(self.shingles[t])] = 0
-                place = np.flatnonzero(self.shingles[t][which] == sh[at[w]:to[w]])
-                spans = dense_spans((place + at[w]).tolist(), which[place].tolist(), len(self.shingles[t]) * self.containment)
-                if spans:
-                    found.setdefault((int(doc[at[w]]), t), set()).update(
-                        (n / len(self.shingles[t]), first, last) for n, first, last in spans)
+        for at, to in self.tiles(begin, count):
+            for width, first, last, sig in self.windows(sh, at, to):
+                for w, t in self.retrieve(width, sig):
+                    which = np.searchsorted(self.shingles[t], sh[first[w]:last[w]])
+                    which[which == len(self.shingles[t])] = 0
+                    place = np.flatnonzero(self.shingles[t][which] == sh[first[w]:last[w]])
+                    spans = dense_spans((place + first[w]).tolist(), which[place].tolist(),
+                                        len(self.shingles[t]) * self.containment)
+                    if spans:
+                        found.setdefault((int(doc[first[w]]), t), set()).update(
+                            (n / len(self.shingles[t]), a, z) for n, a, z in spans)
         out = []
         for (row, t), spans in found.items():
             taken: list[tuple[int, int]] = []
@@ -182,12 +235,6 @@ class Matcher:
         return sorted(out, key=lambda x: (x[0], x[1], x[3]))
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    """Signature values made different from band to band."""
-    with np.errstate(over="ignore"):
-        return mix64(sig ^ _SEEDS[None, :])
-
-
 def dense_spans(place: list[int], which: list[int], least: float) -> list[tuple[int, int, int]]:
     """(distinct shingles, first place, last place) of the notices among a template's shingles
     found at ``place`` (ascending; ``which`` shingle each is).

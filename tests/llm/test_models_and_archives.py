@@ -267,6 +267,32 @@ def test_dense_spans_match_brute_force():
         assert license_scan.dense_spans(place, which, 4) == brute(0, len(which))
 
 
+def test_license_windows_are_those_of_every_width(monkeypatch):
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, 0.8)
+    rng = np.random.default_rng(5)
+    many = [1, 2, 7, 8, 9, 15, 16, 17, 300, 1000, 4099]
+    doc, h, _, _ = license_scan.word_hashes(pa.array([" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in many]))
+    sh = license_scan.runs(doc, h)
+    begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    want = set()
+    for b, n in zip(begin.tolist(), many):
+        for width in matcher.keys:
+            step = width // 2
+            want |= {(width, b + k * step, min(b + k * step + width, b + n)) for k in range(max(1, -(-n // step) - 1))}
+    for tile in (1, 512, 1 << 15):
+        monkeypatch.setattr(license_scan, "TILE", tile)
+        got = set()
+        for at, to in matcher.tiles(begin, np.array(many)):
+            for width, first, last, sig in matcher.windows(sh, at, to):
+                got |= set(zip([width] * len(first), first.tolist(), last.tolist()))
+                for f, z, row in zip(first, last, sig):
+                    assert (row == license_scan.signatures(sh, np.array([f]), np.array([z]))[0]).all()
+        # stretches of one text that overlap add only windows that end with a stretch
+        assert want <= got
+        if tile == 1 << 15:
+            assert want == got
+
+
 def test_licenses_of_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = {}
