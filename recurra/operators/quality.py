@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recurra.session import freeze
+
 
 def _flag_sum(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
@@ -207,19 +209,46 @@ def aud_fk(tables: dict[str, DataFrame]) -> DataFrame:
 
 # ---- validation gates (empty / duplicate full rows / overall status) -----------------
 
+def _fingerprints(df: DataFrame) -> tuple:
+    """Two 64-bit hashes over all columns (the second chain starts from another value)."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*columns).alias("_fp_1"), F.xxhash64(F.lit(1), *columns).alias("_fp_2")
+
+
 def val_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows, is_empty, duplicate_full_rows): duplicate rows are counted by
-    grouping on all columns, which combines map-side even for huge copy groups."""
-    out = None
-    for name, df in tables.items():
-        groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-        one = groups.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("row_count"),
-                         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long")
-                         .alias("duplicate_full_rows")) \
-            .select(F.lit(name).alias("table_name"), "row_count",
-                    (F.col("row_count") == 0).alias("is_empty"), "duplicate_full_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(table, rows, is_empty, duplicate_full_rows).
+
+    Rows are counted by a 128-bit fingerprint, so 16 bytes a row are shuffled and not the
+    row, for all tables at once; copies combine map-side, however many. Whole rows are
+    compared only where a fingerprint occurs more than once, so the counts are exact. Runs
+    when called: the counts are stored, a second pass reads only tables with such rows.
+    """
+    prints = None
+    for i, df in enumerate(tables.values()):
+        one = df.select(F.lit(i).alias("t"), *_fingerprints(df))
+        prints = one if prints is None else prints.unionByName(one)
+    groups = prints.groupBy("t", "_fp_1", "_fp_2").agg(F.count(F.lit(1)).alias("n"))
+    again = F.col("n") > 1
+    counts = freeze(groups.groupBy("t", F.when(again, F.col("_fp_1")).alias("_fp_1"),
+                                   F.when(again, F.col("_fp_2")).alias("_fp_2")).agg(F.sum("n").alias("n")))
+    repeated = counts.where(F.col("_fp_1").isNotNull())
+    spark = counts.sparkSession
+    found = {r.t for r in repeated.select("t").distinct().collect()}       # at most one row per table
+    copies = spark.createDataFrame([], "t int, duplicate_full_rows long")
+    for i, df in enumerate(tables.values()):
+        if i in found:
+            suspects = repeated.where(F.col("t") == i).select("_fp_1", "_fp_2")
+            rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *_fingerprints(df)) \
+                .join(suspects, ["_fp_1", "_fp_2"], "left_semi")
+            groups = rows.groupBy("_fp_1", "_fp_2", "row").agg(F.count(F.lit(1)).alias("n"))
+            copies = copies.unionByName(groups.agg(F.sum(F.col("n") - 1).alias("duplicate_full_rows"))
+                                        .select(F.lit(i).alias("t"), "duplicate_full_rows"))
+    meta = spark.createDataFrame(list(enumerate(tables)), "t int, table_name string")
+    rows = F.coalesce(F.col("row_count"), F.lit(0))
+    return (meta.join(counts.groupBy("t").agg(F.sum("n").alias("row_count")), "t", "left")
+            .join(copies, "t", "left")
+            .select("table_name", rows.alias("row_count"), (rows == 0).alias("is_empty"),
+                    F.coalesce(F.col("duplicate_full_rows"), F.lit(0)).alias("duplicate_full_rows")))
 
 
 def val_empty(tables: dict[str, DataFrame]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recurra.functions import month_start, pg_round, ratio, to_money
 from recurra.operators.sequence import lag_within
+from recurra.sources.colocated import Colocated
 
 ACTIVE, CHURNED, PAID = "Active", "Churned", "Paid"
 
@@ -86,14 +87,34 @@ def q10_nrr(p: DataFrame) -> DataFrame:
         F.add_months("payment_month", 1).alias("payment_month"),
         F.col("total_paid").alias("previous_mrr"))
     moves = msr.join(prev, ["subscription_id", "payment_month"], "left")
-    return (moves.groupBy("payment_month")
-            .agg(F.coalesce(F.sum("previous_mrr"), F.lit(0)).alias("start"),
-                 F.sum("total_paid").alias("end"))
-            .select("payment_month",
-                    pg_round("start", 2).alias("starting_mrr"),
-                    pg_round("end", 2).alias("ending_mrr"),
-                    pg_round(ratio(F.col("end") * 100, F.col("start")), 2)
-                    .alias("net_revenue_retention_percent"))
+    return _retention(moves.groupBy("payment_month")
+                      .agg(F.sum("previous_mrr").alias("start"), F.sum("total_paid").alias("end")))
+
+
+def q10_nrr_colocated(payments: Colocated) -> DataFrame:
+    """``q10_nrr`` over payments stored in buckets by subscription, each part by itself: the
+    monthly totals and the month before (by LAG over a subscription's months) come from the
+    buckets without a shuffle; only totals per month are shuffled. Subscriptions with very many
+    payments, stored apart, are combined before they are shuffled."""
+    totals = None
+    for part in (payments.bucketed, payments.hot):
+        months = W.partitionBy("subscription_id").orderBy("payment_month")      # a row per month
+        follows = (F.col("subscription_id").isNotNull()
+                   & (F.lag("payment_month").over(months) == F.add_months("payment_month", -1)))
+        moves = monthly_subscription_revenue(part).withColumn(
+            "previous_mrr", F.when(follows, F.lag("total_paid").over(months)))
+        one = moves.groupBy("payment_month").agg(F.sum("previous_mrr").alias("start"),
+                                                 F.sum("total_paid").alias("end"))
+        totals = one if totals is None else totals.unionByName(one)
+    return _retention(totals.groupBy("payment_month").agg(F.sum("start").alias("start"), F.sum("end").alias("end")))
+
+
+def _retention(months: DataFrame) -> DataFrame:
+    start = F.coalesce(F.col("start"), F.lit(0))
+    return (months.select("payment_month",
+                          pg_round(start, 2).alias("starting_mrr"),
+                          pg_round("end", 2).alias("ending_mrr"),
+                          pg_round(ratio(F.col("end") * 100, start), 2).alias("net_revenue_retention_percent"))
             .orderBy("payment_month"))
 
 

@@ -32,7 +32,7 @@ from recurra.operators import (
 )
 from recurra.session import apply_sql_conf, ensure_checkpoint_dir
 from recurra.sources.bindings import TEST_AS_OF, TEST_WINDOW_START, BoundModel
-from recurra.sources import readers, sinks
+from recurra.sources import colocated, readers, sinks
 from recurra.sources.load import stored_folder
 from recurra.sources.schema import TABLES
 from recurra.streaming import kpis as stream_kpis
@@ -182,6 +182,13 @@ def _append_twice(m: BoundModel) -> DataFrame:
     return m.spark.read.parquet(path)
 
 
+def _stored_payments(m: BoundModel) -> colocated.Colocated:
+    """Payments written as a new table in buckets by subscription, sorted by date."""
+    buckets = max(8, int(m.spark.conf.get("spark.sql.shuffle.partitions")))
+    return colocated.store_colocated(m.payments, f"recurra_payments_{uuid.uuid4().hex}", "subscription_id",
+                                     ["payment_date", "payment_id"], buckets=buckets, root=_folder(m))
+
+
 def _clean_layer(m: BoundModel) -> DataFrame:
     """Payments after the whole chain: CSV layer, clean, write, read back."""
     base = _folder(m)
@@ -215,6 +222,7 @@ def source_queries() -> dict[str, Query]:
         "etl_rejects": _o(lambda m: rejects.reject_counts(_checked_layer(m)[1])),
         "src_csv": _o(_csv_round_trip),
         "snk_append": _o(_append_twice),
+        "src_table": _o(lambda m: revenue.q10_nrr_colocated(_stored_payments(m))),
         "etl_layer": _o(_clean_layer),
     }
 

@@ -1,12 +1,15 @@
 """Distinct-count states, interval joins, grouped measures, exact AUC, running sums."""
 
+import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import D, d, pay, sub, table
-from recurra.operators import distinct, intervals, measures, ml, ranking
+from recurra.operators import distinct, intervals, measures, ml, quality, ranking, revenue
+from recurra.sources.colocated import Colocated, store_colocated
 
 
 def listed(df):
@@ -147,3 +150,45 @@ def test_running_sums_cross_partitions(spark):
         before[k] = total
         total += v
     assert {r.k: r.before_v for r in got} == before
+
+
+def test_payments_in_buckets_need_no_shuffle_and_hot_subscriptions_stand_apart(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, 7, 7, 7, *range(100, 400)]), dt.date(2024, rng.randint(1, 12), rng.randint(1, 28)),
+             rng.choice(["Paid", "Paid", "Failed"]), Decimal(rng.randint(1, 900))) for i in range(6000)]
+    rows += [(6000 + i, 7, dt.date(2024, rng.randint(1, 12), 3), "Paid", Decimal(2)) for i in range(3000)]
+    p = spark.createDataFrame(rows, "payment_id long, subscription_id long, payment_date date, "
+                                    "payment_status string, amount decimal(10,2)")
+    stored = store_colocated(p, "bucketed_payments", "subscription_id", ["payment_date", "payment_id"], buckets=12,
+                             root=str(tmp_path))
+    assert {r.subscription_id for r in stored.hot.select("subscription_id").distinct().collect()} == {7}
+    assert stored.bucketed.unionByName(stored.hot).exceptAll(p).count() == 0
+    assert stored.bucketed.count() + stored.hot.count() == len(rows)
+    assert len(list((tmp_path / "bucketed_payments").glob("*.parquet"))) <= 12
+    alone = revenue.q10_nrr_colocated(Colocated(stored.bucketed, stored.hot))
+    plan = alone._jdf.queryExecution().executedPlan().toString().split("Union")[1].split("\n")
+    scan = next(i for i, x in enumerate(plan) if "FileScan" in x)
+    at = next(i for i, x in enumerate(plan) if "Window" in x)
+    assert at < scan and "Bucketed: true" in plan[scan]
+    assert not any("Exchange" in x for x in plan[at:scan])
+    assert revenue.q10_nrr_colocated(stored).collect() == revenue.q10_nrr(p).collect()
+    empty = store_colocated(p.limit(0), "bucketed_nothing", "subscription_id", ["payment_id"], buckets=4,
+                            root=str(tmp_path))
+    assert revenue.q10_nrr_colocated(empty).count() == 0
+
+
+def test_duplicate_rows_are_counted_by_fingerprint(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (1, None, None), (None, 1.0, "a"), (2, 0.0, ""), (2, -0.0, ""),
+            (2, float("nan"), ""), (2, float("nan"), "")] + [(9, 9.0, "hot")] * 500
+    df = spark.createDataFrame(rows, "a int, `b.c` double, _fp string")
+    tables = {"some": df, "none": df.limit(0), "one": df.limit(1), "all": spark.range(1000).toDF("id")}
+    got = {r.table_name: (r.row_count, r.is_empty, r.duplicate_full_rows) for r in quality.val_tables(tables).collect()}
+    assert got == {"some": (508, False, 1 + 1 + 1 + 499), "none": (0, True, 0), "one": (1, False, 0),
+                   "all": (1000, False, 0)}
+
+
+def test_equal_fingerprints_of_different_rows_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_fingerprints", lambda df: (F.lit(1).cast("long").alias("_fp_1"),
+                                                              (F.col("id") % 3).alias("_fp_2")))
+    df = spark.range(50).union(spark.range(10))
+    assert quality.val_tables({"t": df}).collect()[0].duplicate_full_rows == 10
