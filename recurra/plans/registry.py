@@ -189,6 +189,63 @@ def _stored_payments(m: BoundModel) -> colocated.Colocated:
                                      ["payment_date", "payment_id"], buckets=buckets, root=_folder(m))
 
 
+def _csv_layer(m: BoundModel) -> str:
+    """Every canonical table but the campaigns, whose file is missing, as a CSV layer."""
+    base = _folder(m)
+    for name, df in m.tables().items():
+        if name != "marketing_campaigns":
+            sinks.snk_csv(df, f"{base}/{name}.csv")
+    return base
+
+
+def _loaded(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, loaded_rows, id_sum, filled) of loaded tables: ``filled`` is the number of
+    values that are not NULL in any column, less by one for each value a load cannot read."""
+    out = None
+    for name, df in tables.items():
+        filled = sum((F.count(F.col(c)) for c in df.columns), F.lit(0))
+        one = df.agg(F.count(F.lit(1)).alias("loaded_rows"),
+                     F.sum(F.col(TABLES[name].primary_key[0]).cast("decimal(38,0)")).cast("double").alias("id_sum"),
+                     filled.cast("long").alias("filled")).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _coerced_tickets(m: BoundModel) -> DataFrame:
+    """Tickets whose columns all came as text, typed at load."""
+    text = m.support_tickets.select(*[
+        (F.date_format(f.name, readers.TIMESTAMP_FORMAT) if f.name == "created_date" else F.col(f.name).cast("string"))
+        .alias(f.name) for f in TABLES["support_tickets"].schema.fields])
+    types = {f.name: f.dataType.simpleString() for f in TABLES["support_tickets"].schema.fields}
+    return readers.src_coerce(text, types)
+
+
+def _usage_with_defaults(m: BoundModel) -> DataFrame:
+    """Usage whose log ids are lost and some of whose values are missing: defaults filled in,
+    rows numbered anew in the order of user, day and old id."""
+    def some(column: str, k: int) -> F.Column:
+        return F.when(F.col("log_id") % 5 != k, F.col(column)).alias(column)
+    gaps = m.product_usage.select(F.col("log_id").alias("old_id"), "user_id", "event_date", some("feature", 0),
+                                  some("active_minutes", 1), some("events", 2))
+    return readers.src_defaults(gaps, readers.PRODUCT_USAGE_DEFAULTS, id_col="log_id",
+                                order=["user_id", "event_date", "old_id"])
+
+
+def _report_blocks(m: BoundModel) -> DataFrame:
+    """The report's blocks written as JSON and read again: (block, item, measure, value)."""
+    blocks = report.report_blocks(m.subscriptions, m.support_tickets, m.plans, m.payments)
+    out = None
+    for name, path in sinks.snk_report(blocks, _folder(m)).items():
+        df = m.spark.read.schema(blocks[name].schema).json(path)
+        item = next((c for c in ("plan", "month") if c in df.columns), None)
+        key = F.col(item).cast("string") if item else F.lit("all")
+        values = [c for c in df.columns if c != item]
+        one = df.select(key.alias("item"), *[F.col(c).cast("double").alias(c) for c in values]) \
+            .unpivot("item", values, "measure", "value").select(F.lit(name).alias("block"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _clean_layer(m: BoundModel) -> DataFrame:
     """Payments after the whole chain: CSV layer, clean, write, read back."""
     base = _folder(m)
@@ -222,6 +279,11 @@ def source_queries() -> dict[str, Query]:
         "etl_rejects": _o(lambda m: rejects.reject_counts(_checked_layer(m)[1])),
         "src_csv": _o(_csv_round_trip),
         "snk_append": _o(_append_twice),
+        "src_dir": _o(lambda m: _loaded(readers.src_dir(m.spark, _csv_layer(m)))),
+        "src_model": _o(lambda m: _loaded(readers.src_model(m.spark, _csv_layer(m)))),
+        "src_coerce": _o(_coerced_tickets),
+        "src_defaults": _o(_usage_with_defaults),
+        "snk_report": _o(_report_blocks),
         "src_table": _o(lambda m: revenue.q10_nrr_colocated(_stored_payments(m))),
         "etl_layer": _o(_clean_layer),
     }
