@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 
 from recurra.llm.common import slices, small_batches, text_of
 
-#: A worker forgets its encoded chunks when there are more of them (before the next column).
-CACHE_CHUNKS = 600_000
+#: A worker forgets its encoded chunks when they take more bytes (before the next column),
+#: strings and ids as they are and so much for a chunk's place in the dictionary.
+CACHE_BYTES = 80 << 20
+PLACE_BYTES = 120
 #: Fragments of up to this many units are merged as rows of a matrix, longer ones with a heap.
 SCAN_UNITS = 48
 NO_MERGE = np.iinfo(np.int32).max
@@ -78,6 +82,12 @@ class PairRanks:
         with np.errstate(over="ignore"):
             return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
+    @cached_property
+    def one(self) -> dict[int, int]:
+        """The same table for single lookups, by left id << 32 | right id; made when first used."""
+        full = self.keys >= 0
+        return dict(zip(self.keys[full].tolist(), self.ranks[full].tolist()))
+
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = self._key(left, right)
         at = self._slot(key)
@@ -121,6 +131,7 @@ class WordBpe:
         self.cache.clear()
         self.flat = np.empty(0, np.int32)
         self.bounds = np.zeros(1, np.int64)
+        self.held = 0
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each word) of pre-tokens given as UTF-8."""
@@ -185,12 +196,10 @@ class WordBpe:
 
     def _merge_long(self, part: list[int]) -> list[int]:
         """One long fragment by a heap over a linked list: n log n in its length."""
-        def ranks(a: list[int], b: list[int]) -> list[int]:
-            return self.ranks.get(np.array(a, np.int32), np.array(b, np.int32)).tolist()
-
+        rank_of = self.ranks.one.get
         right = [*range(1, len(part)), -1]
         left = list(range(-1, len(part) - 1))
-        heap = [(r, i, part[i], part[i + 1]) for i, r in enumerate(ranks(part[:-1], part[1:])) if r != NO_MERGE]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(part, part[1:])) if (r := rank_of(a << 32 | b)) is not None]
         heapq.heapify(heap)
         while heap:
             r, i, a, b = heapq.heappop(heap)
@@ -201,12 +210,9 @@ class WordBpe:
             right[i] = right[j]
             if right[j] >= 0:
                 left[right[j]] = i
-            near = [(x, y) for x, y in ((left[i], i), (i, right[i])) if x >= 0 and y >= 0]
-            if near:
-                new = ranks([part[x] for x, _ in near], [part[y] for _, y in near])
-                for (x, y), q in zip(near, new):
-                    if q != NO_MERGE:
-                        heapq.heappush(heap, (q, x, part[x], part[y]))
+            for x, y in ((left[i], i), (i, right[i])):
+                if x >= 0 and y >= 0 and (q := rank_of(part[x] << 32 | part[y])) is not None:
+                    heapq.heappush(heap, (q, x, part[x], part[y]))
         return [p for p in part if p >= 0]
 
     def _remember(self, chunks: list[str]) -> None:
@@ -225,6 +231,7 @@ class WordBpe:
         self.cache.update(zip(plain + extra, range(first, first + len(chunks))))
         self.flat = np.concatenate([self.flat, ids, np.array([self.special[c] for c in extra], np.int32)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.held += sum(map(sys.getsizeof, chunks)) + PLACE_BYTES * len(chunks) + 4 * int(sizes.sum())
 
     def _chunks(self, text: str | None) -> list[str]:
         """White-space-free chunks; special tokens come out as chunks of their own."""
@@ -242,7 +249,7 @@ class WordBpe:
 
     def encode_column(self, texts: pa.Array) -> pa.Array:
         """list<int32> of ids for a string column (NULL: no ids)."""
-        if len(self.cache) > CACHE_CHUNKS:
+        if self.held > CACHE_BYTES:
             self._clear()
         chunks, number = [], np.zeros(len(texts), np.int64)
         for row, text in enumerate(texts.to_pylist()):
@@ -281,7 +288,8 @@ def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", out: str
 
     Ids are those of the public library without special tokens added (special tokens that
     occur in the text itself are recognised). NULL and empty texts have no ids. Whole
-    texts of any length are encoded; rows are independent, so there is no shuffle.
+    texts of any length are encoded; rows are independent, so there is no shuffle. A column
+    that is called ``out`` already is replaced, the others stay as they are.
     """
     small_batches(docs.sparkSession)
     bundle = _send(docs.sparkSession, vocabulary)
@@ -296,7 +304,8 @@ def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", out: str
 
 
 def decode(df: DataFrame, vocabulary: str, *, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with a column ``out``: the text of the ids (special tokens kept); NULL and empty: ''."""
+    """``df`` with a column ``out``: the text of the ids (special tokens kept); NULL and empty: ''.
+    A column that is called ``out`` already is replaced."""
     small_batches(df.sparkSession)
     bundle = _send(df.sparkSession, vocabulary)
 

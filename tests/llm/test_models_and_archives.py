@@ -57,7 +57,7 @@ def test_bpe_random(library, own, texts):
 
 
 def test_bpe_forgets_and_goes_on(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 500)
     small = bpe.WordBpe(bpe.read_vocabulary(PATH))
     for text in ("one two three four five", "five six one two", "seven eight nine"):
         agree(library, small, [text])
