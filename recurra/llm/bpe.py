@@ -27,7 +27,7 @@ from recurra.llm.common import slices, small_batches, text_of
 
 #: A worker forgets its encoded chunks when they take more bytes (before the next column),
 #: strings and ids as they are and so much for a chunk's place in the dictionary.
-CACHE_BYTES = 80 << 20
+CACHE_BYTES = 128 << 20
 PLACE_BYTES = 120
 #: Fragments of up to this many units are merged as rows of a matrix, longer ones with a heap.
 SCAN_UNITS = 48
