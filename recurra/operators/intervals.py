@@ -1,9 +1,10 @@
 """Joins of intervals that overlap, without a range join.
 
-Both sides are cut into calendar months and joined on (key, month), an equi-join that Spark
-shuffles, spills and splits at skewed keys as any other. Two intervals may share many months; the
-pair is kept only in the first one they share, so it comes out once. An interval adds one row
-per month that it touches; a point in time adds one.
+Of two closed intervals that share a day, one contains the day on which the later of them begins.
+So the join is one of beginnings with intervals, in both directions: intervals are cut into bins
+of months, beginnings fall into one bin of each width, and both are joined on (key, bin), an
+equi-join that Spark shuffles, spills and splits at skewed keys as any other. A short interval
+takes narrow bins, a long one wide bins, so an interval adds a few rows however long it runs.
 """
 
 from __future__ import annotations
@@ -11,15 +12,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.functions import month_start, subscription_end
+from recurra.functions import subscription_end
 
+#: Widths of the bins in months. An interval takes the first width of which it touches few bins.
+BIN_MONTHS = (1, 6, 36)
+_FEW = 6
 
-def _binned(df: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per month that a row's interval touches, with the month it begins in."""
-    first = month_start(start)
-    months = F.sequence(first, month_start(end), F.expr("interval 1 month"))
-    return (df.where(F.col(start) <= F.col(end))              # empty intervals and NULL borders overlap nothing
-            .withColumn("_first", first).withColumn("_bin", F.explode(months)))
+
+def _month(day: str) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def _bin(day: str, months: int) -> Column:
+    return F.floor(_month(day) / months).cast("int")
+
+
+def _proper(df: DataFrame, on: tuple[str, str]) -> DataFrame:
+    return df.where(F.col(on[0]) <= F.col(on[1]))             # empty intervals and NULL borders overlap nothing
+
+
+def _spans(df: DataFrame, on: tuple[str, str]) -> DataFrame:
+    """One row per bin that a row's interval touches, in bins of the width that fits it."""
+    start, end = on
+    bins = None
+    for w in reversed(BIN_MONTHS):
+        first, last = _bin(start, w), _bin(end, w)
+        here = F.struct(F.lit(w).alias("_width"), first.alias("_first"), last.alias("_last"))
+        bins = here if bins is None else F.when(last - first < _FEW, here).otherwise(bins)
+    return (df.withColumn("_at", bins).withColumn("_bin", F.explode(F.sequence("_at._first", "_at._last")))
+            .withColumn("_width", F.col("_at._width")).drop("_at"))
+
+
+def _beginnings(df: DataFrame, start: str) -> DataFrame:
+    """One row per bin width, with the bin in which a row's interval begins."""
+    bins = F.array(*[F.struct(F.lit(w).alias("_width"), _bin(start, w).alias("_bin")) for w in BIN_MONTHS])
+    return df.withColumn("_at", F.explode(bins)).select("*", "_at.*").drop("_at")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str, left_on: tuple[str, str],
@@ -30,20 +57,23 @@ def overlap_join(left: DataFrame, right: DataFrame, key: str, left_on: tuple[str
     column twice for a point). Column names other than ``key`` must differ between the sides. A
     row whose interval ends before it starts, or has a NULL border or key, joins nothing.
 
-    The first month that two intervals share is the one in which the later of them begins. So
-    beginnings are joined with all months of the other side, in both directions: every pair comes
-    out once, and no pair is built for the other months that it shares.
+    A pair comes out once, where the later interval begins (the left one, if both begin on one
+    day). Both sides are shuffled: Spark's size estimates do not see that a row becomes several,
+    so a side that it takes for small enough to broadcast may not fit into the driver.
     """
     shared = (set(left.columns) & set(right.columns)) - {key}
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
-    a = _binned(left, *left_on)
-    b = _binned(right, *right_on).withColumnRenamed("_first", "_first_b")
-    a_begins = a.where(F.col("_bin") == F.col("_first")).join(b, [key, "_bin"])
-    b_begins = (a.where(F.col("_bin") > F.col("_first"))
-                .join(b.where(F.col("_bin") == F.col("_first_b")), [key, "_bin"]))
-    overlap = (F.col(left_on[0]) <= F.col(right_on[1])) & (F.col(right_on[0]) <= F.col(left_on[1]))
-    return a_begins.unionByName(b_begins).where(overlap).drop("_bin", "_first", "_first_b")
+    a, b = _proper(left, left_on), _proper(right, right_on)
+    (a_from, a_to), (b_from, b_to) = [[F.col(c) for c in on] for on in (left_on, right_on)]
+    by = [key, "_width", "_bin"]
+    joined = (_beginnings(a, left_on[0]).join(_spans(b, right_on).hint("merge"), by)
+              .where((b_from <= a_from) & (a_from <= b_to)))
+    if left_on[0] != left_on[1]:                              # nothing begins inside a point and after it
+        b_begins = (_spans(a, left_on).join(_beginnings(b, right_on[0]).hint("merge"), by)
+                    .where((a_from < b_from) & (b_from <= a_to)))
+        joined = joined.unionByName(b_begins)
+    return joined.drop("_width", "_bin")
 
 
 def subscription_intervals(s: DataFrame, as_of: str, *extra: Column | str) -> DataFrame:

@@ -192,3 +192,27 @@ def test_equal_fingerprints_of_different_rows_are_told_apart(spark, monkeypatch)
                                                               (F.col("id") % 3).alias("_fp_2")))
     df = spark.range(50).union(spark.range(10))
     assert quality.val_tables({"t": df}).collect()[0].duplicate_full_rows == 10
+
+
+def test_overlap_join_broadcasts_no_side_and_long_intervals_add_few_rows(spark):
+    rows = spark.createDataFrame([(1, i, f"{1950 + i}-03-31", f"{2020 + i}-02-29") for i in (0, 4)]
+                                 + [(1, 9, "2024-12-31", "2025-01-01"), (1, 10, "2025-01-01", "2025-01-01")], "k int, i int, s string, e string")
+    left = rows.select("k", "i", F.to_date("s").alias("s"), F.to_date("e").alias("e"))
+    right = left.select("k", F.col("i").alias("j"), F.col("s").alias("x"), F.col("e").alias("y"))
+    joined = intervals.overlap_join(left, right, "k", ("s", "e"), ("x", "y"))
+    assert sorted((r.i, r.j) for r in joined.collect()) == [(0, 0), (0, 4), (4, 0), (4, 4), (9, 9), (9, 10), (10, 9), (10, 10)]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+    assert intervals._spans(left, ("s", "e")).where("i in (0, 4)").groupBy("i").count().agg({"count": "max"}).first()[0] < 30
+
+
+def test_plan_overlaps_do_not_depend_on_how_long_subscriptions_run(spark):
+    """Pairs counted by hand: bins of one, six and 36 months meet in all combinations."""
+    runs = [(1, "2020-01-31", "2020-01-31"), (2, "2019-12-31", "2020-02-01"), (3, "2020-01-31", "2021-12-31"),
+            (4, "2001-01-01", "2031-12-31"), (5, "2020-02-01", "2020-02-01"), (6, "2022-01-01", "2022-01-01")]
+    subs = table(spark, "subscriptions", [dict(sub(i, uid=1, plan=1 + i % 2, start=a, status="Churned"), end_date=d(b)) for i, a, b in runs])
+    plans = spark.createDataFrame([(1, "odd"), (2, "even")], "plan_id int, plan_name string")
+    got = intervals.plan_overlaps(subs, plans, as_of="2030-01-01").agg({"pairs": "sum", "overlap_days": "sum"}).first()
+    want = [(max(a, x), min(b, y)) for i, a, b in runs for j, x, y in runs if i < j and max(a, x) <= min(b, y)]
+    days = sum((d(b) - d(a)).days + 1 for a, b in want)
+    assert (got["sum(pairs)"], got["sum(overlap_days)"]) == (len(want), days)
