@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -11,31 +12,35 @@ def first_id_column(df: DataFrame) -> str | None:
     return ids[0] if ids else None
 
 
-def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def keep_first(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """One row per ``key``: the first in ``order``, then in the order of all its columns, so
     that rows tied on ``order`` give the same row on every run.
 
-    Uses ``min_by`` over a struct of the row -- an aggregate with map-side partial
-    combining -- so a key with very many copies never gathers in a single task
-    (a ``row_number`` window would).
+    Spark pushes the limit of one row per key below the shuffle: a task sends one row of a key
+    at most, so a key with very many copies never gathers in a single task.
     """
-    rest = [c for c in df.columns if c != key]
-    ordering = F.struct(*[F.col(c) for c in [*order, *[c for c in rest if c not in order]]])
-    picked = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_r"))
-    return picked.select(key, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
+    keys = [key] if isinstance(key, str) else key
+    rest = [c for c in df.columns if c not in keys]
+    first = W.partitionBy(*keys).orderBy(*order, *[c for c in rest if c not in order])
+    return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
-def cln_generic(df: DataFrame, order_col: str = "ingest_seq",
-                issue_col: str = "quality_issue", word: str = "missing") -> DataFrame:
+def cln_generic(df: DataFrame, order_col: str = "ingest_seq", issue_col: str = "quality_issue",
+                word: str = "missing", aside_col: str | None = None) -> DataFrame:
     """If ``issue_col`` exists: keep the first row per first ``*_id`` column (by
     ``order_col``), then drop rows whose issue mentions ``word`` (case-insensitive,
-    NULL-safe). Tables without the column pass through unchanged."""
+    NULL-safe). Tables without the column pass through unchanged, and so do, in the same
+    scan, rows that have a value in ``aside_col``."""
     if issue_col not in df.columns:
         return df
+    keep = ~F.lower(F.coalesce(F.col(issue_col), F.lit(""))).contains(word.lower())
     key = first_id_column(df)
-    if key is not None:
-        df = keep_first(df, key, [order_col])
-    return df.where(~F.lower(F.coalesce(F.col(issue_col), F.lit(""))).contains(word.lower()))
+    if aside_col is None:
+        return (df if key is None else keep_first(df, key, [order_col])).where(keep)
+    if key is not None:                                       # a row set aside is a group of its own
+        own = F.when(F.col(aside_col).isNotNull(), F.monotonically_increasing_id())
+        df = keep_first(df.withColumn("_own", own), [key, "_own"], [order_col]).drop("_own")
+    return df.where(F.col(aside_col).isNotNull() | keep)
 
 
 def cln_subs(df: DataFrame) -> DataFrame:

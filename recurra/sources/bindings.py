@@ -217,13 +217,12 @@ MODEL_TABLES = ("plans", "users", "subscriptions", "payments", "churn_events", "
 def dirty_payments(p: DataFrame) -> DataFrame:
     """Payments with an ingest order and quality issues, plus a later second copy
     (amount + 1) of every payment whose id ends in 01, so keep-first matters."""
-    sub = F.col("subscription_id")
+    sub, seq = F.col("subscription_id"), F.col("ingest_seq")
     issue = F.when(sub % 40 == 0, "Missing amount").when(sub % 41 == 0, "outlier")
-    first = p.select("*", F.lit(0).alias("ingest_seq"), issue.alias("quality_issue"))
-    again = (p.where(F.col("payment_id") % 100 == 1)
-             .withColumn("amount", (F.col("amount") + 1).cast(MONEY))
-             .select("*", F.lit(1).alias("ingest_seq"), issue.alias("quality_issue")))
-    return first.unionByName(again)
+    copies = F.when(F.col("payment_id") % 100 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (p.select("*", F.explode(copies).alias("ingest_seq"))       # payments are derived once, not per copy
+            .withColumn("amount", F.when(seq == 1, (F.col("amount") + 1).cast(MONEY)).otherwise(F.col("amount")))
+            .withColumn("quality_issue", issue))
 
 
 def dirty_subscriptions(s: DataFrame) -> DataFrame:

@@ -243,3 +243,21 @@ def test_describe_exact_and_approximate_agree(spark):
         assert a[c]["count"] == b[c]["count"] == 3000
         assert abs(a[c]["mean"] - b[c]["mean"]) < 1e-9 and a[c]["max"] == b[c]["max"]
         assert abs(a[c]["p50"] - b[c]["p50"]) <= (0.01 if c == "v" else 1.0)
+
+
+def test_keep_first_sends_one_row_of_a_key_per_task_without_sort_aggregates(spark):
+    df = hot_key_frame(spark).withColumnRenamed("k", "x_id")
+    got = cleaning.keep_first(df, "x_id", ["t", "id"])
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
+
+
+def test_rows_set_aside_pass_the_cleaner_as_they_are(spark):
+    rows = [(1, 0, 5, None, None), (1, 1, 6, None, None), (1, 0, 7, "missing x", "bad"), (1, 0, 7, "missing x", "bad"),
+            (2, 0, 8, "Missing", None), (None, 1, 9, None, None), (None, 0, 10, None, None), (3, 0, None, None, "bad")]
+    df = spark.createDataFrame(rows, "a_id int, ingest_seq int, v int, quality_issue string, raw string")
+    got = cleaning.cln_generic(df, aside_col="raw")
+    assert got.columns == df.columns
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [rows[0], rows[2], rows[3], rows[6], rows[7]]))
+    assert sorted(r.v for r in cleaning.cln_generic(df.where("raw is null")).collect()) == [5, 10]
