@@ -37,13 +37,22 @@ def validate_layer(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFram
     return val_tables(dict(tables)), val_status(dict(tables))
 
 
+def _subs_cleaned(raw: DataFrame) -> DataFrame:
+    """Subscriptions by their typed cleaner with the types of ``raw``; unreadable records as they are."""
+    fields = raw.schema.fields
+    both = cln_subs(raw.select("*", *[F.col(f.name).alias(f"_raw_{f.name}") for f in fields]))
+    return both.select(*[F.when(F.col(f"_raw_{CORRUPT}").isNull(), F.col(f.name).try_cast(f.dataType))
+                         .otherwise(F.col(f"_raw_{f.name}")).alias(f.name) for f in fields])
+
+
 def load_layer(spark: SparkSession, source_dir: str, target_dir: str,
                schemas: Mapping[str, StructType] | None = None,
                overrides: Mapping[str, dict] | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """The whole chain over a CSV layer: read (unreadable records kept), clean, and store every
     canonical table with the rows that break its rules set aside: ({name: good}, {name: rejected}).
 
-    An unreadable record is rejected before cleaning can drop or merge it. ``schemas`` gives the
+    An unreadable record is rejected before cleaning can drop, merge or change it; a table is
+    read once for both kinds of records. ``schemas`` gives the
     columns of source tables that have more than the canonical ones, ``overrides`` other rules
     per table (domains, ranges). Tables that are not canonical are left out.
     """
@@ -53,11 +62,8 @@ def load_layer(spark: SparkSession, source_dir: str, target_dir: str,
         if name not in TABLES:
             continue
         raw = src_csv(spark, path, (schemas or {}).get(name, TABLES[name].schema), corrupt_col=CORRUPT)
-        readable = raw.where(F.col(CORRUPT).isNull())
-        unreadable = raw.where(F.col(CORRUPT).isNotNull())
-        cleaned = (cln_subs if name == "subscriptions" else cln_generic)(readable)
-        cleaned = cleaned.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in raw.schema.fields])
-        good[name], bad[name] = split_write(cleaned.unionByName(unreadable), TABLES[name],
+        cleaned = _subs_cleaned(raw) if name == "subscriptions" else cln_generic(raw, aside_col=CORRUPT)
+        good[name], bad[name] = split_write(cleaned, TABLES[name],
                                             f"{target_dir.rstrip('/')}/{name}", **(overrides or {}).get(name, {}))
     return good, bad
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from helpers import D, sub, table
 from recurra.operators import etl, rejects
 from recurra.sources import readers
+from recurra.session import apply_sql_conf
 from recurra.sources.schema import PAYMENTS, SUBSCRIPTIONS
 
 HEAD = "payment_id,subscription_id,user_id,plan_id,payment_date,amount,payment_status\n"
@@ -72,3 +73,28 @@ def test_split_is_one_pass_and_empty_tables_work(spark, tmp_path):
     extra = table(spark, "payments", [{"payment_id": 1, "amount": D("1.00")}]).withColumn("note", F.lit("kept"))
     good, bad = rejects.split_write(extra, PAYMENTS, str(tmp_path / "q"))
     assert good.count() == 0 and bad.first().note == "kept"
+
+
+def test_layer_reads_a_table_once_and_keeps_unreadable_records_as_they_are(spark, tmp_path, monkeypatch):
+    write_layer(tmp_path)
+    seen = []
+    split = etl.split_write
+    monkeypatch.setattr(etl, "split_write", lambda df, *a, **k: seen.append(df) or split(df, *a, **k))
+    _, bad = etl.load_layer(spark, str(tmp_path), str(tmp_path / "out"))
+    assert [df._jdf.queryExecution().executedPlan().toString().count("FileScan") for df in seen] == [1, 1]
+    late = {r.subscription_id: r for r in bad["subscriptions"].collect()}[3]
+    assert (late.monthly_price, late.mrr, late._corrupt_record) == (D("10.00"), D("10.00"), "3,1,1,Churned,2025-02-01,someday,10.00,10.00")
+
+
+def test_unset_sessions_get_small_reduce_tasks_and_set_ones_keep_theirs(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        apply_sql_conf(spark)
+        assert spark.conf.get(name) == "16m"
+        spark.conf.set(name, "3m")
+        apply_sql_conf(spark)
+        assert spark.conf.get(name) == "3m"
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
