@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from recurra.llm.bpe import byte_units
-from recurra.llm.common import WHITE, mix64, raw_bytes, slices, small_batches, text_of
+from recurra.llm.common import mix64, raw_bytes, slices, small_batches, text_of
 
 MAGIC = b"RPS1"
 HEADER = struct.Struct("<4sIIIIQ")
@@ -67,7 +68,6 @@ def _flags(chars: bytes) -> np.ndarray:
     return lut
 
 
-_ASCII_LETTER = _flags(bytes([*range(65, 91), *range(97, 123)]))
 _AFTER_C3 = _flags(bytes(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
 
 
@@ -75,9 +75,9 @@ class ChunkEncoder:
     """Encodes texts with the library, each distinct chunk once per worker.
 
     Chunks are separated by ASCII white space, and a chunk also ends between a Latin letter and
-    closing punctuation: the tokenizer's own pattern always splits at both. Chunks of up to 24
-    bytes are found again by their bytes as three integers, longer ones in a dictionary. For a
-    tokenizer with another pre-tokenizer whole texts go to the library.
+    an ASCII mark that stands in no added token: the tokenizer's own pattern always splits at
+    both. Chunks of up to 24 bytes are found again by their bytes as three integers, longer ones
+    in a dictionary. For a tokenizer with another pre-tokenizer whole texts go to the library.
     """
 
     def __init__(self, spec: str):
@@ -93,8 +93,10 @@ class ChunkEncoder:
             and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
             and steps[0]["pattern"].get("Regex") == WORD_SPLIT
             and not any(_LETTERS.fullmatch(t["content"]) for t in parsed.get("added_tokens", [])))
-        marks = "".join(t["content"] for t in parsed.get("added_tokens", []))
-        self.closing = _flags(bytes(c for c in b".,;:!?" if chr(c) not in marks))
+        marks = unicodedata.normalize("NFD", "".join(t["content"] for t in parsed.get("added_tokens", [])))
+        closing = np.array([c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in marks])
+        runs = np.split(closing, np.flatnonzero(np.diff(closing) > 1) + 1)
+        self.closing = [(np.uint8(r[0]), len(r)) for r in runs if len(r)]
         units = byte_units()
         self.units = {b: units[b] for b in range(256)}
         self._clear()
@@ -109,16 +111,25 @@ class ChunkEncoder:
         self.bounds = np.zeros(1025, np.int64)
 
     def _spans(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, end) of every chunk; ``data`` is followed by no padding here."""
+        """(start, end) of every chunk; ``data`` is followed by no padding here.
+
+        White space, letters and closing marks are told by comparisons: looked up in a table
+        of bytes they cost several times as much.
+        """
         n = len(data)
-        solid = ~WHITE[data]
+        solid = (data != 32) & (data - np.uint8(9) > 4)
         new_text = np.zeros(n + 1, bool)
         new_text[off] = True
         begin, cut = solid.copy(), np.zeros(n, bool)
         begin[1:] &= ~solid[:-1] | new_text[1:n]
-        letter = _ASCII_LETTER[data]
-        letter[1:] |= (data[:-1] == 0xC3) & _AFTER_C3[data[1:]]
-        cut[1:] = self.closing[data[1:]] & letter[:-1] & ~new_text[1:n]
+        letter = (data | np.uint8(32)) - np.uint8(97) < 26
+        lead = data[:-1] == 0xC3
+        if lead.any():
+            letter[1:] |= lead & _AFTER_C3[data[1:]]
+        closing = np.zeros(n, bool)
+        for low, size in self.closing:
+            closing |= data - low < size
+        cut[1:] = closing[1:] & letter[:-1] & ~new_text[1:n]
         begin |= cut
         last = solid.copy()
         last[:-1] &= ~solid[1:] | begin[1:]
@@ -196,6 +207,19 @@ class ChunkEncoder:
         return first
 
     def _slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Slots of the chunks. Arrow tells equal ones of this run of texts, each with the white
+        space behind it, so the worker's table is asked once for each."""
+        if len(start) == 0:
+            return np.empty(0, np.int64)
+        bounds = pa.py_buffer(np.r_[start, len(data)].astype(np.int64))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(start), [None, bounds, pa.py_buffer(data)])
+        coded = chunks.dictionary_encode()
+        number = coded.indices.to_numpy()
+        first = np.empty(len(coded.dictionary), np.int64)
+        first[number[::-1]] = np.arange(len(start))[::-1]
+        return self._distinct_slots(data, start[first], end[first])[number]
+
+    def _distinct_slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         padded = np.concatenate([data, np.zeros(_KEY_BYTES + 8, np.uint8)])
         word = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
         size = end - start
@@ -252,40 +276,56 @@ class ChunkEncoder:
 
 # --- Re-Pair --------------------------------------------------------------------------------
 
-def _chosen(seq: np.ndarray, closed: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+def _chosen(seq: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """(places, rule number of each) of one round: the first symbols of the replaced pairs.
 
-    Pairs are counted in hashed buckets; where pairs share a bucket, one of them has it for
-    this round. The most frequent buckets are ranked, and a place is taken if its pair ranks
-    before the pairs that overlap it; in a run of one symbol every other place is taken.
+    Pairs are counted in hashed buckets and the fullest buckets are ranked; where pairs share
+    a ranked bucket, the commoner of two of them has it for this round. A place is taken if its pair ranks
+    before the pairs that overlap it; in a run of one symbol every other place is taken. No
+    pair begins at one of ``ends``, the last symbols of the documents.
     """
     n = len(seq) - 1
     if n < 1:
         return None
-    code = seq[:-1].astype(np.int64) << 32 | seq[1:]
-    with np.errstate(over="ignore"):
-        bucket = (((code.view(_U) + _U(1)) * _U(0x9E3779B97F4A7C15)) >> _U(64 - _BUCKETS)).astype(np.int32)
-    bucket[closed[:-1]] = 0
-    owner = np.full(1 << _BUCKETS, -1, np.int64)
-    owner[bucket] = code
-    owner[0] = -1
-    bucket[owner[bucket] != code] = 0
-    places = np.bincount(bucket, minlength=1 << _BUCKETS)
-    places[0] = 0
+    mixed = seq[:-1] * np.uint32(0x9E3779B1)
+    mixed += seq[1:] * np.uint32(0x85EBCA6B)
+    mixed >>= np.uint32(32 - _BUCKETS)
+    bucket = mixed.astype(np.intp)
+    bucket[ends[:-1]] = 1 << _BUCKETS                                # a bucket of no pair
+    places = np.bincount(bucket, minlength=(1 << _BUCKETS) + 1)
+    places[-1] = 0
     often = np.flatnonzero(places >= MIN_PLACES)
     if len(often) == 0:
         return None
-    often = often[np.lexsort((owner[often], -places[often]))][:ROUND_PAIRS]
+    often = often[np.argsort(-places[often], kind="stable")][:ROUND_PAIRS]
     none = len(often)
-    rank_of = np.full(1 << _BUCKETS, none, np.int32)
+    rank_of = np.full((1 << _BUCKETS) + 1, none, np.int16)
     rank_of[often] = np.arange(none)
-    rank = np.concatenate([[none], rank_of[bucket], [none]])         # a border on both sides
+    rank = np.full(n + 2, none, np.int16)                            # a border on both sides
+    np.take(rank_of, bucket, out=rank[1:-1], mode="clip")
     at = np.flatnonzero(rank[1:-1] < none)
-    own, before, after = rank[1:-1][at], rank[at], rank[at + 2]
-    run = np.flatnonzero((own != before) | np.r_[True, np.diff(at) > 1])
-    nth = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
-    clear = np.repeat(before[run] > own[run], np.diff(np.r_[run, len(at)]))
-    take = clear & (nth % 2 == 0) & (after >= own)
+    own, pair = rank[1:-1][at], seq[at].astype(_U) << _U(32) | seq[at + 1]
+    owner, other = np.zeros(none, _U), np.zeros(none, _U)
+    owner[own] = pair
+    has = owner[own] == pair
+    other[own[~has]] = pair[~has]                                    # where pairs share the bucket
+    had, would = (np.bincount(own[x], minlength=none) for x in (has, other[own] == pair))
+    owner = np.where(would > had, other, owner)
+    has = owner[own] == pair
+    has &= (np.bincount(own[has], minlength=none) >= MIN_PLACES)[own]
+    rank[1:-1][at[~has]] = none
+    at, own = at[has], own[has]
+    if len(at) == 0:
+        return None
+    before, after = rank[at], rank[at + 2]
+    take = (before > own) & (after >= own)
+    inner = np.flatnonzero(before == own)                            # runs: all places but the first
+    if len(inner):
+        run = np.flatnonzero(np.r_[True, np.diff(inner) > 1])
+        length = np.diff(np.r_[run, len(inner)])
+        nth = np.arange(len(inner)) - np.repeat(run, length) + 1
+        clear = np.repeat(rank[at[inner[run] - 1]] > own[inner[run]], length)
+        take[inner] = clear & (nth % 2 == 0) & (after[inner] >= own[inner])
     at, own = at[take], own[take]
     used = np.bincount(own, minlength=none)
     worth = used >= max(2, MIN_PLACES // 2)
@@ -303,13 +343,12 @@ def compress(ids: np.ndarray, counts: np.ndarray, base: int, rounds: int = ROUND
     """
     base = max(base, int(ids.max()) + 1 if len(ids) else 0)
     most = (1 << 16) - base if base < (1 << 16) - 256 else (1 << 31) - base
-    seq = ids.astype(np.int32)
-    closed = np.zeros(len(seq), bool)
-    ends = np.cumsum(counts)
-    closed[ends[counts > 0] - 1] = True
+    counts = np.asarray(counts)
+    seq = ids.astype(np.uint32)
+    ends = np.cumsum(counts)[counts > 0] - 1                         # last symbol of every document
     left, right, length = (np.empty(0, np.int32) for _ in range(3))
     for _ in range(rounds):
-        found = _chosen(seq, closed)
+        found = _chosen(seq, ends)
         if found is None:
             break
         at, rule = found
@@ -319,22 +358,22 @@ def compress(ids: np.ndarray, counts: np.ndarray, base: int, rounds: int = ROUND
             break
         some = np.zeros(int(rule.max()) + 1, np.int64)
         some[rule] = at                                              # one place of each rule
-        a, b = seq[some], seq[some + 1]
+        a, b = seq[some].astype(np.int64), seq[some + 1].astype(np.int64)
         size = [np.where(x < base, 1, np.r_[length, 0][np.maximum(x - base, -1)]) for x in (a, b)]
         seq[at] = base + len(left) + rule
-        closed[at] = closed[at + 1]
+        ends = ends - np.searchsorted(at, ends)                      # the symbols at + 1 go
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, closed = seq[stay], closed[stay]
+        seq = seq[stay]
         left, right = np.r_[left, a].astype(np.int32), np.r_[right, b].astype(np.int32)
         length = np.r_[length, size[0] + size[1]].astype(np.int32)
     symbols = np.zeros(len(counts), np.int64)
-    symbols[counts > 0] = np.diff(np.r_[-1, np.flatnonzero(closed)])
+    symbols[counts > 0] = np.diff(np.r_[-1, ends])
     width = 2 if base + len(left) <= 1 << 16 else 4
     kind = f"<u{width}"
     return b"".join([HEADER.pack(MAGIC, width, base, len(left), len(counts), len(seq)),
                      left.astype(kind).tobytes(), right.astype(kind).tobytes(), length.astype("<u4").tobytes(),
-                     symbols.astype("<u4").tobytes(), np.asarray(counts).astype("<u4").tobytes(),
+                     symbols.astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
                      seq.astype(kind).tobytes()])
 
 

@@ -1,5 +1,6 @@
 """Spelling variants, token shards and collocations against brute force and round trips."""
 
+import json
 import random
 import re
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -207,6 +209,69 @@ def test_grammar_round_trip_on_runs_and_wide_symbols():
     assert len(ts.compress(np.zeros(1 << 16, np.int64), np.array([1 << 16]), 50)) < 2000
 
 
+def encoder(spec=None):
+    return ts.ChunkEncoder(spec or open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+
+
+def test_each_chunk_is_looked_up_and_encoded_once():
+    """Words before marks are the same chunks as words alone, and a run of texts asks the table
+    once for each distinct chunk."""
+    rnd = random.Random(2)
+    words = sorted({"".join(rnd.choices("abcdeéñXY", k=rnd.randint(3, 9))) for _ in range(300)})
+    marks = ["###", "$$$", "***", "&&&", "%%%", "-", ")", "_", "=", "'", ".", ""]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    enc, sent, asked = encoder(), [], []
+    library_ids, find = enc._library_ids, enc._find
+    enc._library_ids = lambda chunks: sent.extend(chunks) or library_ids(chunks)
+    enc._find = lambda key, spread: asked.append(key.shape[1]) or find(key, spread)
+    ids, sizes = enc.encode(pa.array(texts + texts))
+    chunks = len(words) + len(marks) - 1
+    assert len(sent) == len(set(sent)) == chunks
+    assert sum(asked) <= 3 * chunks                                  # some with other white space behind
+    assert ids.tolist() == [i for t in texts + texts for i in library().encode(t, add_special_tokens=False).ids]
+    assert sizes.sum() == len(ids)
+
+
+@pytest.mark.parametrize("added", [None, "#x", "\u2260", "a-b", "_"])
+def test_chunks_cut_before_marks_encode_as_whole_texts(added):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    if added:
+        spec["added_tokens"].append({**spec["added_tokens"][0], "id": 49408, "content": added, "special": False})
+    spec = json.dumps(spec)
+    lib = Tokenizer.from_str(spec)
+    lib.no_truncation()
+    lib.no_padding()
+    rnd = random.Random(5)
+    alpha = [chr(c) for c in range(32, 127)] + list("aaBBéÉ×ẞ") + ["\u0338", "\u0301", "\u0307", "\u0331", "\n", "'s",
+                                                                   "#x", "a-b", "a=\u0338", "<|endoftext|>", "日"]
+    texts = ["".join(rnd.choices(alpha, k=rnd.randint(0, 40))) for _ in range(3000)] + [None, "", "a#", "#a", " a"]
+    ids, sizes = encoder(spec).encode(pa.array(texts))
+    got = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_commoner_of_two_pairs_has_a_shared_bucket():
+    """500 places of one pair, then 20 of a pair in its bucket: the 500 are replaced."""
+    def bucket(a, b):
+        return (a * 0x9E3779B1 + b * 0x85EBCA6B) % (1 << 32) >> 32 - ts._BUCKETS
+
+    a, b = next((a, b) for a in range(10, 2000) for b in range(10, 2000) if bucket(a, b) == bucket(3, 4))
+    seq = np.array([x for i in range(500) for x in (3, 4, 5000 + i)] + [x for i in range(20) for x in (a, b, 6000 + i)])
+    at, rule = ts._chosen(seq.astype(np.uint32), np.array([len(seq) - 1]))
+    assert at.tolist() == list(range(0, 1500, 3)) and not rule.any()
+
+
+def test_places_of_a_round_do_not_overlap_or_cross_documents():
+    rnd = np.random.default_rng(4)
+    for seq in (rnd.integers(0, 3, 4000), np.zeros(4000, int), np.repeat(rnd.integers(0, 9, 900), rnd.integers(1, 9, 900))):
+        ends = np.unique(np.r_[rnd.integers(0, len(seq), 300), len(seq) - 1])
+        at, rule = ts._chosen(seq.astype(np.uint32), ends)
+        assert (np.diff(at) > 1).all() and not np.isin(at, ends).any() and at[-1] < len(seq) - 1
+        for r in range(int(rule.max()) + 1):
+            assert len({(seq[i], seq[i + 1]) for i in at[rule == r]}) == 1
+
+
 # --- collocations ---------------------------------------------------------------------------
 
 def brute_collocations(rows, least, percent=50, top=2000):
