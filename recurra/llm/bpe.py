@@ -14,6 +14,8 @@ import heapq
 import json
 import sys
 import unicodedata
+import uuid
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -25,9 +27,9 @@ from pyspark.sql import functions as F
 
 from recurra.llm.common import slices, small_batches, text_of
 
-#: A worker forgets its encoded chunks when they take more bytes (before the next column),
-#: strings and ids as they are and so much for a chunk's place in the dictionary.
-CACHE_BYTES = 128 << 20
+#: A worker forgets its encoded chunks at the end of a task, and when they take more bytes (before
+#: the next column), strings and ids as they are and so much for a chunk's place in the dictionary.
+CACHE_BYTES = 64 << 20
 PLACE_BYTES = 120
 #: Fragments of up to this many units are merged as rows of a matrix, longer ones with a heap.
 SCAN_UNITS = 48
@@ -283,6 +285,36 @@ def _send(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_vocabulary(path))
 
 
+def _by_batch(vocabulary: str, bundle, work: Callable[[WordBpe, pa.Array], pa.Array]):
+    """``work`` on every batch of a task. Idle workers live on beside the next stages' memory, so a
+    task leaves the encoder's tables behind but none of its chunks."""
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = _model(vocabulary, bundle)
+        try:
+            for column in columns:
+                yield work(bpe, column)
+        finally:
+            bpe._clear()
+            pa.default_memory_pool().release_unused()
+    return run
+
+
+def _ids(bpe: WordBpe, texts: pa.Array) -> pa.Array:
+    done = [bpe.encode_column(part) for _, part in slices(texts)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
+
+
+def _texts(bpe: WordBpe, ids: pa.Array) -> pa.Array:
+    step = 64
+    done = [bpe.decode_column(ids.slice(at, step)) for at in range(0, len(ids), step)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+
+def _both(bpe: WordBpe, texts: pa.Array) -> pa.Array:
+    ids = _ids(bpe, texts)
+    return pa.StructArray.from_arrays([ids, _texts(bpe, ids)], names=["ids", "decoded"])
+
+
 def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with a column ``out`` (array<int>) of token ids.
 
@@ -292,14 +324,7 @@ def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", out: str
     that is called ``out`` already is replaced, the others stay as they are.
     """
     small_batches(docs.sparkSession)
-    bundle = _send(docs.sparkSession, vocabulary)
-
-    @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
-        bpe = _model(vocabulary, bundle)
-        done = [bpe.encode_column(part) for _, part in slices(texts)]
-        return pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
-
+    ids_of = F.arrow_udf(_by_batch(vocabulary, _send(docs.sparkSession, vocabulary), _ids), "array<int>")
     return docs.withColumn(out, ids_of(text_of(text_col)))
 
 
@@ -307,16 +332,23 @@ def decode(df: DataFrame, vocabulary: str, *, ids_col: str = "ids", out: str = "
     """``df`` with a column ``out``: the text of the ids (special tokens kept); NULL and empty: ''.
     A column that is called ``out`` already is replaced."""
     small_batches(df.sparkSession)
-    bundle = _send(df.sparkSession, vocabulary)
+    text_of_ids = F.arrow_udf(_by_batch(vocabulary, _send(df.sparkSession, vocabulary), _texts), "string")
+    return df.withColumn(out, text_of_ids(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
 
-    @F.arrow_udf("string")
-    def text_of_ids(ids: pa.Array) -> pa.Array:
-        bpe = _model(vocabulary, bundle)
-        step = 64
-        done = [bpe.decode_column(ids.slice(at, step)) for at in range(0, len(ids), step)]
-        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
-    return df.withColumn(out, text_of_ids(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
+def round_trip(docs: DataFrame, vocabulary: str, *, text_col: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))``: the columns ``ids`` and ``decoded``, made by the same encoder and decoder.
+
+    Two operators in a row run two Python workers a core at a time, each with tables of its own;
+    here one worker encodes a batch and decodes its ids, which never leave it in between.
+    """
+    small_batches(docs.sparkSession)
+    coded = F.arrow_udf(_by_batch(vocabulary, _send(docs.sparkSession, vocabulary), _both),
+                        "struct<ids:array<int>,decoded:string>")
+    both = f"both_{uuid.uuid4().hex}"
+    return (docs.withColumn(both, coded(text_of(text_col)))
+            .withColumns({ids: F.col(both)["ids"], decoded: F.col(both)["decoded"]}).drop(both))
 
 
 _MODELS: dict[str, WordBpe] = {}

@@ -52,8 +52,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs, vocabulary_path())
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from recurra.llm import bpe, knn_quality, license_scan, revisits, url_filter
 from recurra.llm.common import table
+from recurra.llm.queries import token_digests
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
@@ -91,6 +92,36 @@ def test_bpe_on_documents(spark, library):
         assert list(r.ids) == library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
 
 
+def test_bpe_round_trip_is_decode_of_encode(spark):
+    rows = [(1, "Hello there", "x", 5), (None, None, "y", 6), (3, "", "z", 7), (1, "Hello there", "x", 5),
+            (4, "<|endoftext|>a \u0130stanbul " * 400, "w", 8), (5, "\x1c \u3000", None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, both long").repartition(2)
+    got, want = bpe.round_trip(docs, PATH), bpe.decode(bpe.encode(docs, PATH), PATH)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert bpe.round_trip(docs.limit(0), PATH).count() == 0
+
+
+def test_token_digests_run_one_python_worker_a_core(spark):
+    docs = spark.createDataFrame([(1, "Hello there")], "doc_id long, text string")
+    plan = token_digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_bpe_task_leaves_no_chunks(whole):
+    bundle = type("Sent", (), {"value": bpe.read_vocabulary(PATH)})
+    out = bpe._by_batch(PATH, bundle, bpe._both)(iter([pa.array(["one two three", None]), pa.array(["four"])]))
+    assert len(next(out)) == 2
+    model = bpe._model(PATH, bundle)
+    assert model.held > 0
+    if whole:
+        assert [len(x) for x in out] == [1]
+    else:
+        out.close()
+    assert (model.held, len(model.cache), len(model.flat)) == (0, 0, 0)
+
+
 # --- quality voting ---------------------------------------------------------------------------
 
 def test_held_out_accuracy(spark):
